@@ -156,13 +156,13 @@ def panel_padded(spark, folder):
 @query(
     "feat_lag_rolling",
     f"""{_padded_sql(SUBCATEGORY, ['sales'])} select month, {_PAIR}, sales,
-    lag(sales) over w as sales_lag_1, round(avg(sales) over (w rows between 2 preceding and current row), 4)
+    lag(sales) over w as sales_lag_1, round(avg(sales) over (w rows between 2 preceding and current row), 6)
     as sales_rolling_avg_3m from full_panel join ids using (id) window w as (partition by id order by pos)""",
 )
 def feat_lag_rolling(spark, folder):
     full = panels.padded(_panel(spark, folder, SUBCATEGORY, ["sales"]), SUBCATEGORY, ["sales"])
     featured = panels.lag_and_rolling(full, SUBCATEGORY, "sales")
-    return featured.withColumn("sales_rolling_avg_3m", F.round("sales_rolling_avg_3m", 4))
+    return featured.withColumn("sales_rolling_avg_3m", F.round("sales_rolling_avg_3m", 6))
 
 
 @query(
