@@ -43,7 +43,7 @@ BRONZE_HEADERS = {
 
 def _bronze(spark, folder):
     """The order lines as bronze text: spaced headers, day-first dates."""
-    lines = order_lines(spark, folder, *BRONZE_HEADERS.values())
+    lines = order_lines(spark, folder, *BRONZE_HEADERS.values(), spread=True)
     return lines.select(
         *[
             (
@@ -192,12 +192,12 @@ _KEPT = """order_id, line_no, product_id, supplier_id, ship_date, cast(list_pric
 
 @query("quarantine_good", f"{LINES} select {_KEPT} from lines where not ({_BAD})")
 def quarantine_good(spark, folder):
-    return as_doubles(clean.good_rows(order_lines(spark, folder, *_RULE_COLUMNS), RULES), "list_price", "sales")
+    return as_doubles(clean.good_rows(order_lines(spark, folder, *_RULE_COLUMNS, spread=True), RULES), "list_price", "sales")
 
 
 @query("quarantine_bad", f"{LINES} select {_KEPT}, {_REASONS} as bad_reasons from lines where {_BAD}")
 def quarantine_bad(spark, folder):
-    bad = clean.bad_rows(order_lines(spark, folder, *_RULE_COLUMNS), RULES)
+    bad = clean.bad_rows(order_lines(spark, folder, *_RULE_COLUMNS, spread=True), RULES)
     return as_doubles(bad, "list_price", "sales").withColumn("bad_reasons", F.array_join("bad_reasons", ","))
 
 
@@ -210,7 +210,7 @@ def quarantine_bad(spark, folder):
     where cast(profit as double) < q1 - 1.5 * (q3 - q1) or cast(profit as double) > q3 + 1.5 * (q3 - q1)""",
 )
 def outliers_iqr(spark, folder):
-    lines = order_lines(spark, folder, "sub_category", "profit", *LINE_KEY)
+    lines = order_lines(spark, folder, "sub_category", "profit", *LINE_KEY, spread=True)
     return as_doubles(quality.outliers(lines, "sub_category", "profit", LINE_KEY), "list_price", "profit")
 
 
@@ -232,7 +232,7 @@ def quartiles_by_category(spark, folder):
     ),
 )
 def null_profile(spark, folder):
-    return quality.null_profile(order_lines(spark, folder))
+    return quality.null_profile(order_lines(spark, folder, spread=True))
 
 
 @query(
@@ -276,7 +276,7 @@ def table_shape(spark, folder):
     select cast(coalesce(sum(n - 1), 0) as bigint) as total_duplicates from g""",
 )
 def duplicate_rows(spark, folder):
-    return quality.surplus_duplicates(order_lines(spark, folder))
+    return quality.surplus_duplicates(order_lines(spark, folder, spread=True))
 
 
 @query(

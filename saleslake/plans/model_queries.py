@@ -17,7 +17,7 @@ _TRAIN = """((order_id * 3 + line_no * 5 + product_id * 7 + supplier_id * 9 + da
 
 
 def _features(spark, folder):
-    lines = order_lines(spark, folder, *dict.fromkeys([*_FEATURE_COLUMNS, *LINE_KEY]))
+    lines = order_lines(spark, folder, *dict.fromkeys([*_FEATURE_COLUMNS, *LINE_KEY]), spread=True)
     return features.base_table(lines, extra=LINE_KEY)
 
 
@@ -166,7 +166,9 @@ _NUMERIC_PLANNED = [
 @query("ml_cv_grid")
 def ml_cv_grid(spark, folder):
     """Average error of each parameter pair over three folds, for forests on the planned features."""
-    lines = order_lines(spark, folder, *LINE_KEY, "order_date", "customer_id", "category", "quantity", "sales")
+    lines = order_lines(
+        spark, folder, *LINE_KEY, "order_date", "customer_id", "category", "quantity", "sales", spread=True
+    )
     planned = features.planned_features(
         lines, features.yearly_holidays(lines.select("order_date"), "order_date", HOLIDAYS)
     ).select(

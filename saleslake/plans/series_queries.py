@@ -18,7 +18,7 @@ _MONTH = "cast(date_trunc('month', order_date) as date)"
 
 
 def _panel(spark, folder, keys, measures, whole_months=True):
-    lines = order_lines(spark, folder, "order_date", *keys, *measures)
+    lines = order_lines(spark, folder, "order_date", *keys, *measures, spread=True)
     if whole_months:
         lines = lines.filter(F.col("order_date") < F.lit(CUT).cast("date"))
     return panels.monthly(lines, keys, measures)
@@ -70,7 +70,7 @@ _ALL_KEYS = list(dict.fromkeys(k for g in _GRAINS for k in g))
     ),
 )
 def panel_grouping_sets(spark, folder):
-    lines = order_lines(spark, folder, "order_date", *_ALL_KEYS, "sales")
+    lines = order_lines(spark, folder, "order_date", *_ALL_KEYS, "sales", spread=True)
     return _named(panels.monthly_grains(lines, _GRAINS, ["sales"]), ["sales"])
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleslake.operators import star
-from saleslake.operators.keys import first_per_key, numbered
+from saleslake.operators.keys import first_per_key
 from saleslake.plans.registry import LINES, query
 from saleslake.sources.order_lines import LINE_KEY, order_lines
-from saleslake.sources.shared import written
 
 _PRODUCTS = """select product_id, min(product_name) as product_name, min(category) as category,
     min(sub_category) as sub_category from lines group by product_id"""
@@ -51,13 +50,9 @@ def _as_doubles(df):
     return df.withColumns({c: F.col(c).cast("double") for c in _MEASURES})
 
 
-def _silver(spark, folder):
-    """All lines, joined once and written, as the star reads them several times."""
-    return written(order_lines(spark, folder), "silver")
-
-
 def _star(spark, folder):
-    lines = _silver(spark, folder)
+    """All lines, joined once, numbered and written, as the star reads them several times."""
+    lines = star.number_lines(order_lines(spark, folder, spread=True))
     dims = star.build_dims(lines)
     return lines, dims, star.build_fact(lines, dims)
 

@@ -10,17 +10,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_DISCOUNT = "cast(l_discount as decimal(3,2))"
-_PRICE = "cast(l_extendedprice as decimal(12,2))"
-_SALES = f"{_PRICE} * (cast(1 as decimal(3,2)) - {_DISCOUNT})"
-_COST = "cast(l_quantity as decimal(6,2)) * cast(p_retailprice as decimal(9,2))"
+from saleslake.sources.shared import spread_out
 
-# column: (deepest tables needed, SQL). Decimals stay within 18 digits, so they are stored as plain longs.
+
+def _hundredths(column: str) -> str:
+    """A double with two decimals as an exact whole number of hundredths; rint needs no decimal arithmetic."""
+    return f"cast(rint({column} * 100) as bigint)"
+
+
+def _scaled(whole: str, digits: int, places: int, factor: str) -> str:
+    """A whole number of 1/10^places as a decimal of that scale."""
+    return f"cast(cast({whole} as decimal({digits},0)) * cast({factor} as decimal(4,4)) as decimal({digits},{places}))"
+
+
+_PRICE = _hundredths("l_extendedprice")
+_SALES = f"{_PRICE} * (100 - {_hundredths('l_discount')})"
+_COST = f"{_hundredths('l_quantity')} * {_hundredths('p_retailprice')}"
+
+# column: (deepest tables needed, SQL). Decimals stay within 18 digits, so they are held as plain longs.
 LINE_COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
     "order_id": ((), "l_orderkey"),
     "line_no": ((), "l_linenumber"),
     "supplier_id": ((), "l_suppkey"),
-    "list_price": ((), _PRICE),
+    "list_price": ((), _scaled(_PRICE, 14, 2, "0.01")),
     "order_date": (("orders",), "cast(o_orderdate as date)"),
     "ship_date": ((), "cast(l_shipdate as date)"),
     "ship_mode": ((), "l_returnflag"),
@@ -45,11 +57,11 @@ LINE_COLUMNS: dict[str, tuple[tuple[str, ...], str]] = {
     "product_name": (("part",), "p_name"),
     "category": (("part",), "p_type"),
     "sub_category": (("part",), "p_brand"),
-    "quantity": ((), "cast(l_quantity as decimal(6,2))"),
-    "discount": ((), _DISCOUNT),
-    "sales": ((), _SALES),
-    "profit": (("part",), f"{_SALES} - {_COST}"),
-    "shipping_cost": ((), f"{_PRICE} * cast(l_tax as decimal(4,2))"),
+    "quantity": ((), _scaled(_hundredths("l_quantity"), 14, 2, "0.01")),
+    "discount": ((), _scaled(_hundredths("l_discount"), 4, 2, "0.01")),
+    "sales": ((), _scaled(_SALES, 18, 4, "0.0001")),
+    "profit": (("part",), _scaled(f"{_SALES} - {_COST}", 18, 4, "0.0001")),
+    "shipping_cost": ((), _scaled(f"{_PRICE} * {_hundredths('l_tax')}", 18, 4, "0.0001")),
 }
 
 # table: (table it hangs on, join condition); in join order
@@ -79,11 +91,16 @@ def _tables_for(columns) -> set[str]:
     return needed
 
 
-def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Order lines with the given columns (all without any), joined only as far as those columns need."""
+def order_lines(spark: SparkSession, folder: str, *columns: str, spread: bool = False) -> DataFrame:
+    """Order lines with the given columns (all without any), joined only as far as those columns need.
+
+    `spread` is for wide or repeated work on small inputs: see shared.spread_out.
+    """
     columns = columns or tuple(LINE_COLUMNS)
     needed = _tables_for(columns)
     lines = table(spark, folder, "lineitem")
+    if spread:
+        lines = spread_out(lines, "l_orderkey", "l_partkey", "l_suppkey")
     for name, (_, condition) in _JOINS.items():
         if name in needed:
             lines = lines.join(table(spark, folder, name), F.expr(condition), "inner")
@@ -91,7 +108,7 @@ def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def lines_sql() -> str:
-    """The same model as an SQL query over all six tables (no join left out)."""
-    projection = ", ".join(f"{sql} as {name}" for name, (_, sql) in LINE_COLUMNS.items())
+    """The same model as an SQL query over all six tables (no join left out); there rint is called round."""
+    projection = ", ".join(f"{sql} as {name}" for name, (_, sql) in LINE_COLUMNS.items()).replace("rint(", "round(")
     joins = " ".join(f"join {name} on {condition}" for name, (_, condition) in _JOINS.items())
     return f"select {projection} from lineitem {joins}"

@@ -37,3 +37,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_out(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of fewer splits than the cluster has cores; a scan of more splits stays as it is.
+
+    For a plain file scan only: counting its splits plans it, but runs nothing. `keys` should be close to unique.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
