@@ -124,7 +124,8 @@ def monthly_history(lines: DataFrame, keys: list[str]) -> DataFrame:
 
 def planned_features(lines: DataFrame, holidays: DataFrame) -> DataFrame:
     """Lines with month, year, quantity, sales history of the category, holiday flag and customer score."""
-    history = monthly_history(lines, ["category"])
+    # few rows; written, so that the planner sees that and leaves the lines where they are
+    history = written(monthly_history(lines, ["category"]), "history")
     scores = rfm(lines).select("customer_id", "rfm_score")
     wide = (
         lines.withColumn("month", month_start("order_date"))

@@ -28,14 +28,14 @@ SEED = 42
 
 
 def vectors(features: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Train and test frames (key, label, features). The indexers see the training lines only.
+    """Train and test frames (label, features). The indexers see the training lines only.
 
-    Both are written: every fit passes over the training frame many times.
+    A fit passes over its frame many times, so the lines are first spread evenly by their key and then kept.
     """
-    train, test = split(features, key)
+    train, test = split(features.repartition(*key), key)
     model = vector_pipeline().fit(train)
     wanted = [F.col("sales").alias("label"), "features"]
-    # a written vector column loses the category marks the trees need, so the frames are persisted
+    # a file would lose the category marks of the vectors which the trees need, so the frames are persisted
     return (
         model.transform(train).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK),
         model.transform(test).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK),
@@ -93,7 +93,8 @@ def group_mean(train: DataFrame, test: DataFrame, keys: list[str], label: str) -
     """Predict the training mean of the group: the baseline of the models. Exact sums, one division."""
     means = train.groupBy(*keys).agg((F.sum(label).cast("double") / F.count(label)).alias("prediction"))
     if keys:
-        return test.join(means, keys).withColumn("label", F.col(label).cast("double"))
+        # written, so that the planner knows the size and joins without moving the test lines if it is small
+        return test.join(written(means, "means"), keys).withColumn("label", F.col(label).cast("double"))
     return test.withColumn("prediction", means.scalar()).withColumn("label", F.col(label).cast("double"))
 
 

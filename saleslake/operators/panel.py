@@ -38,9 +38,15 @@ def monthly_grains(lines: DataFrame, grains: list[list[str]], measures: list[str
     return grouped.select(number.alias("grain"), "month", *keys, *measures)
 
 
-def span(panel: DataFrame) -> tuple[Column, Column]:
-    """First and last month of the whole panel, as scalar subqueries over the same shuffle as the panel."""
-    return panel.agg(F.min("month")).scalar(), panel.agg(F.max("month")).scalar()
+def span(panel: DataFrame, measures: list[str]) -> tuple[Column, Column]:
+    """First and last month of the whole panel, as a scalar subquery.
+
+    The measures are counted along: then the subquery needs the same aggregate as the panel itself and reuses its
+    shuffle. Without them the optimizer would find the months by a second pass over the lines.
+    """
+    ends = F.struct(F.min("month").alias("first"), F.max("month").alias("last"), *[F.count(m) for m in measures])
+    found = panel.agg(ends).scalar()
+    return found.getField("first"), found.getField("last")
 
 
 def series(panel: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -49,7 +55,7 @@ def series(panel: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     All series get the span of the whole panel. A series has at most one point per month, so its row stays small
     however many lines are behind it.
     """
-    first, last = span(panel)
+    first, last = span(panel, measures)
     at = panel.withColumn("first_month", first).withColumn("last_month", last)
     point = F.struct(
         months_between_starts(F.col("month"), F.col("first_month")).alias("at"),

@@ -174,4 +174,5 @@ def holt_winters(
             fits.fit(y[:train] if train else y, rows, grid, multiplicative, least)
         return fits.to_arrow()
 
-    return fit
+    # equal input gives equal output; the mark keeps the optimizer from running it in a filter and then once more
+    return fit.asNondeterministic()
