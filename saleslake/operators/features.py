@@ -78,13 +78,14 @@ def rfm(lines: DataFrame, tiles: int = 5) -> DataFrame:
 
     The scores rank all customers, so each ranking numbers the table over the whole cluster.
     """
-    last = lines.agg(F.max("order_date")).scalar()
     customers = lines.groupBy("customer_id").agg(
-        F.datediff(last, F.max("order_date")).alias("recency_days"),
+        F.max("order_date").alias("last_order"),
         F.count_distinct("order_id").alias("frequency"),
         F.sum("sales").alias("money"),
     )
     customers = written(customers, "customers")
+    last = customers.agg(F.max("last_order")).scalar()
+    customers = customers.withColumn("recency_days", F.datediff(last, "last_order"))
     count = customers.agg(F.count(F.lit(1))).scalar()
     ranked = customers
     for name, order in (

@@ -5,14 +5,15 @@ interpreted for each series and parameter set. Here an Arrow UDF gets a batch of
 for all of them, with numpy arrays of (series x parameter sets). The UDF is an expression on the series row: Spark
 partitions the series, and key columns never leave the JVM.
 
-Start of the recursion: level = mean of months 1-12; trend = (mean of months 13-24 - level) / 12, or the twelfth
-root of the ratio of the means; season = difference to, or ratio with, the level. It runs from month 13 on.
+Start of the recursion: trend = (mean of months 13-24 - mean of months 1-12) / 12, or the twelfth root of the ratio of
+the means; the first mean, moved along the trend from the middle of the year, is the level of each month 1-12; season =
+difference to, or ratio with, that level. The recursion runs from month 13 on. A straight line with a fixed season is
+thus met without error.
 Parameters: the set of the grid with the least sum of squared one-step errors, the first in order if equal.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 
 import numpy as np
@@ -51,12 +52,16 @@ def _walk(y: np.ndarray, grid, multiplicative: bool, horizon: int):
     alpha, beta, gamma = (np.array([p[i] for p in grid]) for i in range(3))
     keep_a, keep_b, keep_g = 1.0 - alpha, 1.0 - beta, 1.0 - gamma
     first, second = _mean(y[:PERIOD]), _mean(y[PERIOD : 2 * PERIOD])
+    middle = (PERIOD + 1) / 2  # the mean of the first year stands for its middle
+    away = [i - middle for i in range(1, PERIOD + 1)]
     if multiplicative:
-        start = np.array([math.pow(v, 1.0 / PERIOD) for v in second / first])
-        season = y[:PERIOD] / first
+        start = np.power(second / first, 1.0 / PERIOD)
+        season = [y[i] / (first * np.power(start, d)) for i, d in enumerate(away)]
+        first = first * np.power(start, PERIOD - middle)
     else:
         start = (second - first) / PERIOD
-        season = y[:PERIOD] - first
+        season = [y[i] - (first + start * d) for i, d in enumerate(away)]
+        first = first + start * (PERIOD - middle)
     shape = (count, len(grid))
     level = np.broadcast_to(first[:, None], shape).copy()
     trend = np.broadcast_to(start[:, None], shape).copy()

@@ -12,7 +12,11 @@ from saleslake.operators.keys import first_per_key, numbered
 from saleslake.schema import GOLD
 from saleslake.sources.order_lines import LINE_KEY
 
-_LINE_ORDER = [c for c in LINE_KEY if c != "order_id"]
+
+
+def _within_order(line_key: list[str]):
+    """The order of the lines of one order; `line_key` are the columns that tell lines apart."""
+    return F.struct(*[c for c in line_key if c != "order_id"])
 
 
 def keyed_distinct(lines: DataFrame, columns: list[str], key: str, order: list[str] | None = None) -> DataFrame:
@@ -52,30 +56,36 @@ def dim_date(lines: DataFrame) -> DataFrame:
     )
 
 
-def consolidated_orders(lines: DataFrame) -> DataFrame:
+def consolidated_orders(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
     """One row per order: earliest ship date, most urgent priority, ship mode of the first line."""
     return lines.groupBy("order_id").agg(
         F.min("ship_date").alias("ship_date"),
-        F.min_by("ship_mode", F.struct(*_LINE_ORDER)).alias("ship_mode"),
+        F.min_by("ship_mode", _within_order(line_key)).alias("ship_mode"),
         F.min(priority_rank(F.col("order_priority"))).alias("rank"),
     )
 
 
-def dim_order(lines: DataFrame) -> DataFrame:
-    orders = consolidated_orders(lines).withColumn("order_priority", priority_label(F.col("rank"))).drop("rank")
+def dim_order(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
+    orders = consolidated_orders(lines, line_key).withColumn("order_priority", priority_label(F.col("rank"))).drop("rank")
     return numbered(orders, ["order_id"], "order_key").select(*GOLD["dim_order"])
 
 
-def build_dims(lines: DataFrame) -> dict[str, DataFrame]:
+def build_dims(lines: DataFrame, line_key: list[str] = LINE_KEY) -> dict[str, DataFrame]:
     """All dimensions. They do not depend on each other, so their jobs share the cluster at the same time."""
-    builders = (dim_product, dim_customer, dim_location, dim_date, dim_order)
-    with ThreadPoolExecutor(len(builders)) as pool:
-        return dict(zip((b.__name__ for b in builders), pool.map(lambda build: build(lines), builders)))
-
-
-def number_lines(lines: DataFrame) -> DataFrame:
+    with ThreadPoolExecutor(5) as pool:
+        jobs = {
+            "dim_product": pool.submit(dim_product, lines),
+            "dim_customer": pool.submit(dim_customer, lines),
+            "dim_location": pool.submit(dim_location, lines),
+            "dim_date": pool.submit(dim_date, lines),
+            "dim_order": pool.submit(dim_order, lines, line_key),
+        }
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def number_lines(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
     """Lines with the dense fact key, in line order. Done before the joins, which then run only once."""
-    return numbered(lines, LINE_KEY, "fact_key")
+    return numbered(lines, line_key, "fact_key")
 
 
 def with_date_keys(lines: DataFrame, dates: DataFrame) -> DataFrame:
@@ -138,11 +148,11 @@ def reconcile(lines: DataFrame, fact: DataFrame) -> DataFrame:
     ).select(source.alias("source_rows"), "fact_rows", "distinct_fact_rows")
 
 
-def normalised_orders(lines: DataFrame) -> DataFrame:
+def normalised_orders(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
     return lines.groupBy("order_id").agg(
         F.min("order_date").alias("order_date"),
         F.min("ship_date").alias("ship_date"),
-        F.min_by("ship_mode", F.struct(*_LINE_ORDER)).alias("ship_mode"),
+        F.min_by("ship_mode", _within_order(line_key)).alias("ship_mode"),
         F.min("customer_id").alias("customer_id"),
     )
 
@@ -153,19 +163,19 @@ def normalised_details(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id", "product_id").agg(*[F.sum(c).cast("double").alias(c) for c in measures])
 
 
-def normalised_locations(lines: DataFrame) -> DataFrame:
+def normalised_locations(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
     """One place per order, as the unique order reference asks: the place of its first line."""
     place = F.struct("city", "state", "country", "region", "customer_id")
-    places = lines.groupBy("order_id").agg(F.min_by(place, F.struct(*_LINE_ORDER)).alias("p"))
+    places = lines.groupBy("order_id").agg(F.min_by(place, _within_order(line_key)).alias("p"))
     return numbered(places.select("order_id", "p.*"), ["order_id"], "location_id")
 
 
-def normalised(lines: DataFrame) -> dict[str, DataFrame]:
+def normalised(lines: DataFrame, line_key: list[str] = LINE_KEY) -> dict[str, DataFrame]:
     """The flat lines as entities, each with one row per primary key."""
     return {
         "customers": first_per_key(lines, "customer_id", ["customer_name", "segment"]),
-        "orders": normalised_orders(lines),
+        "orders": normalised_orders(lines, line_key),
         "products": first_per_key(lines, "product_id", ["product_name", "category", "sub_category"]),
         "order_details": normalised_details(lines),
-        "locations": normalised_locations(lines),
+        "locations": normalised_locations(lines, line_key),
     }

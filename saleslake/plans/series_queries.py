@@ -211,14 +211,16 @@ def _walk_sql(keys, measures, grid=GRID, multiplicative=False, train=None, horiz
         "(" + " + ".join(f"ys[{i}]" for i in range(lo, lo + 12)) + ") / 12.0::double" for lo in (1, 13)
     )
     if multiplicative:
-        trend, season = "pow(m2 / m1, 1.0::double / 12)", "x / m1"
+        trend = "pow(m2 / m1, 1.0::double / 12)"
+        season, begin = "x / (m1 * pow(b0, i - 6.5::double))", "m1 * pow(b0, 5.5::double)"
         level = "a * y / s[1] + (1.0::double - a) * (l * tr)"
         slope = "b * nl / l + (1.0::double - b) * tr"
         turn = "g * y / (l * tr) + (1.0::double - g) * s[1]"
         miss = "(y - (l * tr) * s[1])"
         usable = "where list_min(ys) > 0"
     else:
-        trend, season = "(m2 - m1) / 12.0::double", "x - m1"
+        trend = "(m2 - m1) / 12.0::double"
+        season, begin = "x - (m1 + b0 * (i - 6.5::double))", "m1 + b0 * 5.5::double"
         level = "a * (y - s[1]) + (1.0::double - a) * (l + tr)"
         slope = "b * (nl - l) + (1.0::double - b) * tr"
         turn = "g * (y - l - tr) + (1.0::double - g) * s[1]"
@@ -228,9 +230,9 @@ def _walk_sql(keys, measures, grid=GRID, multiplicative=False, train=None, horiz
     stacked as ({stacked}),
     listed as materialized (select id, measure, list(y order by pos) as ys, count(*) as n
         from stacked {limit} group by id, measure),
-    means as (select *, {first} as m1, {second} as m2 from listed {usable}),
+    means as (select *, {first} as m1, {second} as m2, {trend} as b0 from listed {usable}),
     walk(id, measure, p, t, l, tr, s, e) as (
-        select id, measure, p, 13, m1, {trend}, list_transform(ys[1:12], lambda x: {season}), 0.0::double
+        select id, measure, p, 13, {begin}, b0, list_transform(ys[1:12], lambda x, i: {season}), 0.0::double
         from means cross join grid
         union all
         select id, measure, p, t + 1, nl, {slope}, list_append(s[2:12], {turn}), e + {miss} * {miss}
