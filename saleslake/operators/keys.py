@@ -41,9 +41,10 @@ def numbered(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per key: the first in `order`.
+    """One row per key: the first in `order`, which names all columns besides the key.
 
-    A `min` over the ordered columns, not a window: the aggregate is combined before the shuffle, so a
-    key that holds most of the rows costs no more than any other. `order` must name all columns besides the key.
+    Repeated rows go first, in a hash aggregate that is combined before the shuffle; only the few distinct ones meet
+    the `min` over ordered columns, which Spark has to sort for. No window, so a hot key gathers nothing in one task.
     """
-    return df.groupBy(key).agg(F.min(F.struct(*order)).alias("_first")).select(key, "_first.*")
+    distinct = df.select(key, *order).dropDuplicates()
+    return distinct.groupBy(key).agg(F.min(F.struct(*order)).alias("_first")).select(key, "_first.*")
