@@ -1,6 +1,6 @@
 """Run registered queries against their SQL in DuckDB and compare types and all rows.
 
-    python tests/compare.py [--sf 0.01] [--dir FOLDER] [name ...]
+    python tests/compare.py [--sf 0.01] [--dir FOLDER] [--partitions N] [--no-broadcast] [name ...]
 """
 
 from __future__ import annotations
@@ -72,12 +72,16 @@ def main() -> int:
     parser.add_argument("--sf", default="0.01")
     parser.add_argument("--dir")
     parser.add_argument("--partitions", default="8")
+    parser.add_argument("--no-broadcast", action="store_true", help="plan all joins as for large tables")
     options = parser.parse_args()
     import __spark_entry__ as entry
     from saleslake.session import local_session
 
     folder = options.dir or f"/root/testdata/sf{options.sf}"
     spark = local_session("compare", 8, spark__sql__shuffle__partitions=options.partitions)
+    if options.no_broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     connection = duck(folder)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
