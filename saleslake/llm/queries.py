@@ -1,4 +1,15 @@
 """All registered queries of this subpackage."""
 
-from saleslake.llm import personal, pieces, shuffle_shards, urls  # noqa: F401  (register)
+import corpus_pipeline  # noqa: F401  (register)
+from saleslake.llm import (  # noqa: F401  (register)
+    decontaminate,
+    fingerprint,
+    language,
+    personal,
+    pieces,
+    shuffle_shards,
+    simhash,
+    toxicity,
+    urls,
+)
 from saleslake.llm.common import ORACLES, QUERIES  # noqa: F401

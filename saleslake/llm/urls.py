@@ -72,7 +72,10 @@ def _bits(key: str, level: int, bits: int) -> Column:
     """The bit positions of a key in a level; each level hashes anew."""
     first, second = F.xxhash64(F.lit(level), key), F.xxhash64(F.lit(-1 - level), key)
     return F.array(
-        *[F.pmod(F.shiftrightunsigned(first, 1) + F.shiftrightunsigned(second, 1) % (1 << 40) * i, F.lit(bits)) for i in range(HASHES)]
+        *[
+            F.pmod(F.shiftrightunsigned(first, 2) + F.shiftrightunsigned(second, 1) % (1 << 40) * i, F.lit(bits))
+            for i in range(HASHES)
+        ]
     )
 
 
@@ -87,7 +90,7 @@ def _built(keys: DataFrame, key: str, level: int, bits: int) -> np.ndarray:
     words = (
         keys.select(F.explode(_bits(key, level, bits)).alias("bit"))
         .groupBy(F.floor(F.col("bit") / 64).cast("int").alias("word"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), (F.col("bit") % 64).cast("int"))).alias("ones"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("ones"))
     )
     out = np.zeros(bits // 64, dtype=np.int64)
     for batch in words.toArrow().to_batches():
@@ -95,9 +98,8 @@ def _built(keys: DataFrame, key: str, level: int, bits: int) -> np.ndarray:
     return out
 
 
-def _passes(keys: DataFrame, key: str, levels: list[tuple[int, np.ndarray]], broadcast) -> Column:
-    """Whether a key is listed, by the levels so far."""
-    sizes = [bits for bits, _ in levels]
+def _passes(key: str, sizes: list[int], broadcast) -> Column:
+    """Whether a key is listed, by all levels; `sizes` are their bits."""
 
     @F.arrow_udf("boolean")
     def listed(positions: pa.Array) -> pa.Array:
@@ -136,29 +138,27 @@ class Cascade:
                 raise RuntimeError("equal hashes of different keys at every level")
             bits = _filter_bits(count, rate if level == 0 else LATER_RATE)
             self.levels.append((bits, _built(held, key, level, bits)))
-            alone = Cascade.of(self, level)
             # the next level encodes what this one wrongly takes
-            held, kept_out = written(kept_out.filter(alone), "urls-level"), held
+            held, kept_out = written(kept_out.filter(self._in_level(level)), "urls-level"), held
             count = held.count()
 
-    @staticmethod
-    def of(cascade: Cascade, level: int) -> Column:
+    def _in_level(self, level: int) -> Column:
         """Membership in a single level."""
-        bits, words = cascade.levels[level]
-        shared = cascade._context.broadcast(words)
+        bits, words = self.levels[level]
+        shared = self._context.broadcast(words)
 
         @F.arrow_udf("boolean")
         def held(positions: pa.Array) -> pa.Array:
             at = positions.flatten().to_numpy(zero_copy_only=False).reshape(len(positions), HASHES)
             return pa.array(((shared.value[at >> 6] >> (at & 63)) & 1).all(axis=1))
 
-        return held(_bits(cascade.key, level, bits))
+        return held(_bits(self.key, level, bits))
 
     def contains(self) -> Column:
         if self.everything is not None:
             return F.lit(self.everything)
         shared = self._context.broadcast([words for _, words in self.levels])
-        return _passes(None, self.key, self.levels, shared)
+        return _passes(self.key, [bits for bits, _ in self.levels], shared)
 
 
 def listed_by_cascade(df: DataFrame, listed: DataFrame, key: str, shard_keys: int = SHARD_KEYS) -> DataFrame:
