@@ -28,6 +28,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def worker_memory() -> dict:
+    """What a Python worker remembers from task to task.
+
+    Functions travel by value, so their module's own variables are new in each task; this dictionary is not.
+    """
+    import sys
+    import types
+
+    return sys.modules.setdefault("_saleslake_worker_memory", types.ModuleType("memory")).__dict__
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

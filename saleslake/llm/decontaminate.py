@@ -20,7 +20,7 @@ texts are all reported; repeated document keys are reported once, with what eith
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saleslake.llm.common import query, table
@@ -60,7 +60,10 @@ def with_tokens(df: DataFrame, text: str) -> DataFrame:
     Angle brackets of the text itself go first, so that no text can look like a slot.
     """
     safe = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "[<>]", " ")
-    df = df.withColumns({"template": _tokens(_typed(safe)), "surface": _tokens(safe)})
+    df = df.withColumn("_typed", _typed(safe)).withColumn("template", _tokens(F.col("_typed")))
+    # without slots both are the same, and the text need not be cut twice
+    plain = F.when(F.col("_typed").contains("<"), _tokens(safe)).otherwise(F.col("template"))
+    df = df.withColumn("surface", plain).drop("_typed")
     # a word of marks around digits only would be a slot without surface; then the text has no slots
     aligned = F.size("template") == F.size("surface")
     return df.withColumn("template", F.when(aligned, F.col("template")).otherwise(F.col("surface")))
@@ -80,20 +83,20 @@ def item_windows(items: DataFrame, item: str, text: str) -> DataFrame:
     windows = sized.select(
         F.col(item).alias("_item"),
         "length",
-        (F.size("template") - F.col("length") + 1).alias("n_windows"),
         F.posexplode(F.sequence(F.lit(1), F.size("template") - F.col("length") + 1)).alias("at", "start"),
         "template",
         "surface",
     ).select(
         "_item",
         "length",
-        "n_windows",
         "at",
         F.expr("slice(template, start, length)").alias("item_template"),
         F.expr("slice(surface, start, length)").alias("item_surface"),
     )
     literal = F.size(F.filter("item_template", lambda t: ~t.startswith("<")))
-    return windows.filter(literal >= LITERALS).withColumn("hash", F.xxhash64("item_template"))
+    usable = windows.filter(literal >= LITERALS).withColumn("hash", F.xxhash64("item_template"))
+    # a benchmark item is a text of its own, so its windows are few
+    return usable.withColumn("n_windows", F.count(F.lit(1)).over(Window.partitionBy("_item")))
 
 
 def leaks(

@@ -16,15 +16,13 @@ A word in a script of no known language takes part in no decision. Ties go to th
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleslake.llm.common import bucket_of, joined, list_array, query, slices, strings, table
+from saleslake.llm.common import bucket_of, joined, list_array, query, slices, strings, table, worker_memory
 
 GRAMS = (1, 2, 3, 4)
 BUCKET_BITS = 16
@@ -57,9 +55,15 @@ N_SCRIPTS = 22
 _TABLE = 0x30000  # letters beyond are treated alike
 
 
-@lru_cache(1)
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: its lower case where that is one character, whether it is a letter, and its script."""
+    memory = worker_memory()
+    if "characters" not in memory:
+        memory["characters"] = _character_table()
+    return memory["characters"]
+
+
+def _character_table() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     lower, letter = np.arange(_TABLE, dtype=np.uint32), np.zeros(_TABLE, dtype=bool)
     for code in range(_TABLE):
         c = chr(code)
@@ -151,9 +155,10 @@ def train(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndar
     def counted(batches):
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
+            start = 0
             for piece in slices(batch["text"]):
-                start = piece.offset - batch["text"].offset
                 langs = batch["lang"].slice(start, len(piece)).to_pylist()
+                start += len(piece)
                 for group in _pieces(strings(piece)):
                     words = Words([t for _, _, t in group])
                     of = np.array([langs[i] for i, _, _ in group], dtype=object)[words.text]

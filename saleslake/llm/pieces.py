@@ -21,14 +21,13 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm.common import joined, list_array, query, slices, strings, table
+from saleslake.llm.common import joined, list_array, query, slices, strings, table, worker_memory
 
 MARK = "▁"
 # Entries that a worker remembers at most; a full memo starts again.
@@ -118,7 +117,7 @@ class PrefixTable:
         self.length_of = np.array([len(p) for p in pieces])
         self.pairs = _Table(PAIR_BITS)
         self._forget()
-        self.run = lru_cache(1024)(lambda length: np.array(self.merged(MARK * length), dtype=np.int32))
+        self.runs: dict[int, np.ndarray] = {}
 
     def _forget(self) -> None:
         self.index, self.flat = _Index(), np.zeros(0, dtype=np.int32)
@@ -170,6 +169,14 @@ class PrefixTable:
             propose(left)
         return [self.ids[s] for s in symbols if s]
 
+    def run(self, length: int) -> np.ndarray:
+        """Ids of a run of marks."""
+        if length not in self.runs:
+            if len(self.runs) > 1000:
+                self.runs.clear()
+            self.runs[length] = np.array(self.merged(MARK * length), dtype=np.int32)
+        return self.runs[length]
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether the two tokens' characters encode to just these two; with left < 0, whether the token stands alone."""
         pieces, ids, scores = self.pieces, self.ids, self.scores
@@ -337,12 +344,15 @@ def _bytewise(error: UnicodeDecodeError):
     return "�", error.start + 1
 
 
-@lru_cache(2)
 def _of_worker(pieces, scores, kinds) -> PrefixTable:
+    """The worker's table for a vocabulary; it remembers the last one."""
     import codecs
 
     codecs.register_error("piecewise", _bytewise)
-    return PrefixTable(pieces, scores, kinds)
+    memory, key = worker_memory(), hash((pieces, scores, kinds))
+    if memory.get("pieces_key") != key:
+        memory["pieces_key"], memory["pieces"] = key, PrefixTable(pieces, scores, kinds)
+    return memory["pieces"]
 
 
 class Pieces:

@@ -5,6 +5,7 @@ from saleslake.llm import (  # noqa: F401  (register)
     decontaminate,
     fingerprint,
     language,
+    licences,
     personal,
     pieces,
     shuffle_shards,

@@ -8,9 +8,10 @@ pairs expected from exact histograms of 8-bit chunks, whose distance distributio
 To differ by at most t bits within a part is to agree outside some t of its bits, so each fingerprint emits one key per
 choice of t bits of each probed part, and candidates are the members of a bucket. They are verified by the bits that differ.
 
-Hot buckets. A bucket with more than `HOT` members isn't paired. Its members emit one key per choice of `tau` bits among those
-that the bucket leaves open, holding all other bits. Two members are linked exactly if they share such a key, and a
-key has at most 2**tau distinct fingerprints, so the work stays linear in the members.
+Hot buckets. A bucket with more than `HOT` members isn't paired. The bits that it leaves open are cut into tau + 1 parts, and its
+members emit one finer key per part, by the same principle. Where no more than `OPEN` bits are open, they emit one key per
+choice of `tau` of them, holding all other bits: members are linked exactly if they share such a key, and a key has at
+most 2**tau distinct fingerprints. So the work stays linear in the members, however alike they are.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero, which is linked like any other. Rows with a
 null key keep their fingerprint and component. Columns named like the results are replaced.
@@ -35,6 +36,7 @@ from saleslake.sources.shared import written
 BITS = 64
 CHUNK = 8
 HOT = 64
+OPEN = 20  # open bits down to which a crowded bucket is made finer
 SEED = 42
 BLOCK = 1 << 16  # features whose bits are held unpacked at a time
 # Relative cost of an emitted key and of a candidate pair.
@@ -213,46 +215,70 @@ def links(fingerprints: DataFrame, tau: int) -> DataFrame:
     def arranged(numbers: pa.Array) -> pa.Array:
         return pa.array(_arranged(numbers.to_numpy(zero_copy_only=False), order))
 
-    # bits that a key fixes, one number per key; the key's place tells keys of different masks apart
-    fixed = [
+    # a key is the number of the bits that it fixes, and their values
+    start = [
         ((1 << width) - 1 << first) & ~mask
         for first, width, t in parts
         for mask in _choices(list(range(first, first + width)), t)
     ]
-    masks = F.array(*[F.lit(_signed(f)).cast("bigint") for f in fixed])
-    keyed = (
-        fingerprints.select("space", "p", arranged("p").alias("q"))
-        .select("space", "p", "q", F.posexplode(masks).alias("key", "fixed"))
-        .select("space", "p", "q", "key", F.col("q").bitwiseAND(F.col("fixed")).alias("value"))
-    )
-    bucket = ["space", "key", "value"]
-    crowded = written(keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "simhash-buckets")
-    members = written(keyed.join(crowded, bucket), "simhash-members")
-    near = F.expr(f"bit_count(a.q ^ b.q) <= {tau} and a.p < b.p")
-    few = members.filter(F.col("members") <= HOT)
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in bucket]
-    pairs = few.alias("a").join(few.alias("b"), [*same, near]).select("a.space", F.col("a.p").alias("a"), F.col("b.p").alias("b"))
-
-    # per key, the choices of tau bits among those it leaves open
-    open_masks = {f: _choices([b for b in range(BITS) if not f >> b & 1], tau) for f in set(fixed)}
-    hot = members.filter(F.col("members") > HOT)
-    for key, f in enumerate(fixed) if hot.limit(1).count() else ():
-        at_key = hot.filter(F.col("key") == key)
-        if len(fixed) > 4 and not at_key.limit(1).count():
-            continue
-        kept = F.array(*[F.lit(_signed((1 << BITS) - 1 & ~mask)).cast("bigint") for mask in open_masks[f]])
-        groups = (
-            at_key.select("space", "p", "q", F.posexplode(kept).alias("mask", "kept"))
-            .groupBy("space", "mask", F.col("q").bitwiseAND(F.col("kept")).alias("rest"))
-            .agg(F.collect_set("p").alias("all"))  # at most 2**tau
-            .filter(F.size("all") > 1)
-        )
-        close = groups.select("space", F.explode("all").alias("b"), "all").select("space", F.explode("all").alias("a"), "b")
-        pairs = pairs.union(close.filter("a < b"))
+    fixed = F.explode(F.array(*[F.lit(_signed(f)).cast("bigint") for f in start]))
+    entries = fingerprints.select("space", "p", arranged("p").alias("q")).select("*", fixed.alias("fixed"))
+    bucket, pairs = ["space", "fixed", "value"], None
+    while True:
+        keyed = entries.withColumn("value", F.col("q").bitwiseAND(F.col("fixed")))
+        sizes = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        members = written(keyed.join(written(sizes, "simhash-buckets"), bucket), "simhash-members")
+        few = members.filter(F.col("members") <= HOT)
+        near = F.expr(f"bit_count(a.q ^ b.q) <= {tau} and a.p < b.p")
+        same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in bucket]
+        found = few.alias("a").join(few.alias("b"), [*same, near])
+        pairs = _united(pairs, found.select("a.space", F.col("a.p").alias("a"), F.col("b.p").alias("b")))
+        hot = members.filter(F.col("members") > HOT).select("space", "p", "q", "fixed")
+        # one number per kind of key
+        masks = [row[0] & (1 << BITS) - 1 for row in hot.select("fixed").distinct().collect()]
+        narrow = [f for f in masks if BITS - bin(f).count("1") <= max(OPEN, tau)]
+        if narrow:
+            pairs = _united(pairs, _linked_by_choices(hot, narrow, tau))
+        wide = [f for f in masks if f not in narrow]
+        if not wide:
+            break
+        entries = _joined_masks(hot, {f: _finer(f, tau) for f in wide}, "finer").select("space", "p", "q", F.col("finer").alias("fixed"))
     pairs = pairs.distinct()
     return pairs if space else pairs.drop("space")
 
 
+def _united(first: DataFrame | None, second: DataFrame) -> DataFrame:
+    return second if first is None else first.union(second)
+
+
+def _finer(fixed: int, tau: int) -> list[int]:
+    """The open bits cut into tau + 1 parts, each fixed on top: rows at `tau` bits agree in one of the parts."""
+    bits = [b for b in range(BITS) if not fixed >> b & 1]
+    cuts = [round(i * len(bits) / (tau + 1)) for i in range(tau + 2)]
+    return [fixed | sum(1 << b for b in bits[a:z]) for a, z in itertools.pairwise(cuts)]
+
+
+def _joined_masks(rows: DataFrame, masks: dict[int, list[int]], name: str) -> DataFrame:
+    """Each row once for every number of its `fixed`. The numbers depend on the bits only, not on the data's size."""
+    flat = [(_signed(f), _signed(m)) for f, many in masks.items() for m in many]
+    small = rows.sparkSession.createDataFrame(flat, f"fixed bigint, {name} bigint")
+    return rows.join(F.broadcast(small), "fixed")
+
+
+def _linked_by_choices(hot: DataFrame, masks: list[int], tau: int) -> DataFrame:
+    """Links within crowded buckets: rows that agree outside some `tau` of the open bits."""
+    every = (1 << BITS) - 1
+    kept = {f: [every & ~m for m in _choices([b for b in range(BITS) if not f >> b & 1], tau)] for f in masks}
+    groups = (
+        _joined_masks(hot, kept, "kept")
+        .groupBy("space", "kept", F.col("q").bitwiseAND(F.col("kept")).alias("rest"))
+        .agg(F.collect_set("p").alias("all"))  # at most 2**tau
+        .filter(F.size("all") > 1)
+    )
+    close = groups.select("space", F.explode("all").alias("b"), "all").select("space", F.explode("all").alias("a"), "b")
+    return close.filter("a < b")
+
+
 def clustered(df: DataFrame, key: str, words: int, tau: int, text: str = "text") -> DataFrame:
     """(key, fingerprint number `p`, component_id): components of fingerprints linked at `tau` or fewer bits.
 
@@ -328,8 +354,9 @@ def _word_sequence(text: str) -> Column:
 def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`df` less the copies: of each group of near-duplicate texts one row stays, with all its columns.
 
-    Rows with equal word sequences are copies; the smallest key of them stays (null last; among repeated keys an arbitrary
-    one). Texts without words are no copies of each other and all stay, as do rows with a null key.
+    Rows with equal word sequences are copies; those with the smallest key of them stay (rows that share a key are one
+    document, and stay or go together). Texts without words are no copies of each other and all stay, as do rows with a
+    null key.
     For other texts, `SPACES` independent fingerprints over their word sets, linked at `NEAR_BITS` bits in any of them, propose
     groups. In each group the text nearest to the group's bitwise majority is its centre; a text whose Jaccard similarity to
     the centre's five-word shingles is 0.8 or more goes. The rest of the group is regrouped around a new centre until a round
@@ -349,11 +376,11 @@ def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text")
     same = spaced.join(distinct.filter("n > 1"), ["space", "p"]).filter("id > least")
     pairs = between.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).union(same.select(F.col("id").alias("a"), F.col("least").alias("b")))
     groups = written(components(pairs).select(F.col("node").alias("id"), F.col("root").alias("group")), "near-groups")
-    texts = rows.select(F.col(key).alias("id"), _shingle_sets(text).alias("shingles"))
     # a key that stands in several rows counts once, with one of its texts
-    open_rows = written(
-        groups.join(firsts.select("id", F.element_at("prints", 1).alias("p")), "id").join(texts, "id").dropDuplicates(["id"]), "near-open"
-    )
+    members = groups.join(firsts.select("id", F.element_at("prints", 1).alias("p")), "id").dropDuplicates(["id"])
+    texts = rows.select(F.col(key).alias("id"), F.col(text).alias("of_id")).join(written(members, "near-members"), "id")
+    shingled = texts.select("id", "group", "p", _shingle_sets("of_id").alias("shingles"))
+    open_rows = written(shingled.dropDuplicates(["id"]), "near-open")
     gone = None
     while True:
         narrow = open_rows.select("id", "group", "p")
