@@ -28,20 +28,11 @@ def base_table(lines: DataFrame, extra: list[str] | None = None) -> DataFrame:
 def is_train(key: list[str], percent: int = 80) -> Column:
     """A split that depends only on the line: the same in every run and under every partitioning.
 
-    Each part of the key counts with its own odd factor, so lines that differ in one part fall apart.
+    The key, of columns of any type, is hashed as text; NULL counts as the empty text.
     """
-    mixed = F.lit(0).cast("bigint")
-    for position, column in enumerate(key):
-        mixed = mixed + _whole_number(column) * F.lit(2 * position + 3)
-    return F.pmod(mixed, F.lit(100)) < percent
-
-
-def _whole_number(column: str) -> Column:
-    if column.endswith("_date"):
-        return F.unix_date(column).cast("bigint")
-    if column.endswith("_price"):
-        return (F.col(column) * 100).cast("bigint")
-    return F.col(column).cast("bigint")
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(number, F.lit(100)) < percent
 
 
 def split(df: DataFrame, key: list[str], percent: int = 80) -> tuple[DataFrame, DataFrame]:

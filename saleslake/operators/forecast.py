@@ -11,12 +11,21 @@ from saleslake.operators.smoothing import GRID, PERIOD, holt_winters
 
 
 def fits(panel: DataFrame, keys: list[str], measures: list[str], **settings) -> DataFrame:
-    """One row per key with the fit of each measure as `fit_<measure>` (see smoothing.RESULT)."""
+    """One row per key with the fit of each measure as `fit_<measure>` (see smoothing.RESULT).
+
+    A key with sums that have no month gets the status `undated` and no forecast.
+    """
     smooth = holt_winters(**settings)
-    return panels.series(panel, keys, measures).withColumns(
+    fitted = panels.series(panel, keys, measures).withColumns(
         {f"fit_{m}": smooth(F.col("points.at"), F.col(f"points.{m}"), F.col("months")) for m in measures}
     )
 
+    def marked(fit: Column) -> Column:
+        undated = fit.withField("status", F.lit("undated")).withField("forecast", F.lit(None).cast("array<double>"))
+        return F.when(F.col("undated") > 0, undated).otherwise(fit)
+
+    return fitted.withColumns({f"fit_{m}": marked(F.col(f"fit_{m}")) for m in measures})
+
 
 def ahead(fitted: DataFrame, keys: list[str], measures: list[str], start: Column | None = None) -> DataFrame:
     """Fits to rows (month, keys, forecasted_<measure>); by default the months after the last of the panel."""
@@ -36,25 +45,25 @@ def forecast(panel: DataFrame, keys: list[str], measures: list[str], grid=GRID,
 
 
 def fit_status(panel: DataFrame, keys: list[str], measure: str, **settings) -> DataFrame:
-    """Per key: ok, short, nonfinite or nonpositive."""
+    """Per key: ok, short, nonfinite, nonpositive or undated."""
     return fits(panel, keys, [measure], **settings).select(*keys, F.col(f"fit_{measure}.status").alias("status"))
 
 
-def holdout(panel: DataFrame, keys: list[str], measure: str, train: int, months: int, **settings) -> DataFrame:
-    """Fit on the first `train` months; rows of the months after them with actual value and forecast."""
-    fitted = fits(panel, keys, [measure], train=train, horizon=months, **settings)
+def holdout(panel: DataFrame, keys: list[str], measure: str, train: int, **settings) -> DataFrame:
+    """Fit on the first `train` months; rows of all later months with actual value and forecast."""
+    fitted = fits(panel, keys, [measure], train=train, horizon=None, **settings)
     wide = fitted.select(
         *keys,
         F.add_months("first_month", train - 1).alias("_start"),
         F.posexplode(
             F.arrays_zip(
-                F.slice(panels.dense(measure), train + 1, months).alias("actual"),
+                F.slice(panels.dense(measure), F.lit(train + 1), F.col("months")).alias("actual"),
                 F.col(f"fit_{measure}.forecast").alias("forecast"),
             )
         ).alias("_h", "_f"),
     )
-    # where the panel ends before the horizon there is nothing to compare with
-    return wide.filter("_f.actual is not null").select(
+    # a series without a fit has nothing to compare with
+    return wide.filter("_f.forecast is not null").select(
         F.add_months("_start", F.col("_h") + 1).alias("month"), *keys, "_f.actual", "_f.forecast"
     )
 

@@ -23,7 +23,7 @@ from saleslake.operators.features import split, vector_pipeline
 from saleslake.operators.forecast import accuracy
 from saleslake.sources.shared import written
 
-MAX_BINS = 1100  # fixed value: at least the number of values of the widest category
+MAX_BINS = 1100  # fixed value; wider categories get as many bins as they have values, see `fitted`
 SEED = 42
 
 
@@ -68,6 +68,15 @@ def tree(**settings) -> DecisionTreeRegressor:
     return DecisionTreeRegressor(**{"maxBins": MAX_BINS, "seed": SEED, **settings})
 
 
+def fitted(estimator, train: DataFrame):
+    """The model of a training frame. Tree models get a bin for each value of the widest category, if that is more."""
+    if estimator.hasParam("maxBins"):
+        nominal = train.schema["features"].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+        widest = max((len(a.get("vals", [])) or a.get("num_vals", 0) for a in nominal), default=0)
+        estimator = estimator.copy({estimator.maxBins: max(estimator.getMaxBins(), widest)})
+    return estimator.fit(train)
+
+
 def score(predictions: DataFrame, name: str) -> DataFrame:
     """One row: model, RMSE, R2 and MAPE of (label, prediction) rows."""
     return accuracy(predictions, [], "label", "prediction").select(F.lit(name).alias("model"), "rmse", "r2", "mape")
@@ -100,7 +109,7 @@ def group_mean(train: DataFrame, test: DataFrame, keys: list[str], label: str) -
 
 def fit_log_target(estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Fit on log(1 + label) and return predictions on the scale of the label."""
-    model = estimator.setLabelCol("log_label").fit(train.withColumn("log_label", log_target("label")))
+    model = fitted(estimator.setLabelCol("log_label"), train.withColumn("log_label", log_target("label")))
     return model.transform(test).withColumn("prediction", log_target_inverse("prediction"))
 
 
@@ -120,11 +129,19 @@ class BoostedMedian:
         attributes = train.schema["features"].metadata
         held = None
         for number in range(1, self.rounds + 1):
-            model = tree(maxDepth=self.depth, weightCol="weight").fit(frame)
-            missed = model.transform(frame).withColumn("miss", F.abs(F.col("label") - F.col("prediction")))
+            model = fitted(tree(maxDepth=self.depth, weightCol="weight"), frame)
+            # kept, and filled by the aggregate below: the tree is applied once per round
+            missed = (
+                model.transform(frame)
+                .select("label", "features", "weight", F.abs(F.col("label") - F.col("prediction")).alias("miss"))
+                .persist(StorageLevel.MEMORY_AND_DISK)
+            )
             largest, mass, weighted = missed.agg(
                 F.max("miss"), F.sum("weight"), F.sum(F.col("weight") * F.col("miss"))
             ).first()
+            if held is not None:
+                held.unpersist()
+            held = missed
             if not largest:  # a perfect tree decides alone
                 self.members.append((model, 1.0))
                 break
@@ -139,11 +156,7 @@ class BoostedMedian:
             following = missed.select("label", "features", weight.alias("weight"))
             if number % self.write_every == 0:
                 following = written(following, "boosted").withMetadata("features", attributes)
-            following = following.persist(StorageLevel.MEMORY_AND_DISK)
-            following.count()
-            if held is not None:
-                held.unpersist()
-            frame = held = following
+            frame = following
         if held is not None:
             held.unpersist()
         return self

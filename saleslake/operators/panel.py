@@ -8,9 +8,21 @@ from pyspark.sql import functions as F
 from saleslake.functions.dates import month_start, months_between_starts
 
 
-def monthly(lines: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Exact sums per month and key; columns month, keys, measures."""
-    return lines.groupBy(month_start("order_date").alias("month"), *keys).agg(*[F.sum(m).alias(m) for m in measures])
+def monthly(lines: DataFrame, keys: list[str], measures: list[str], whole_months: bool = False) -> DataFrame:
+    """Exact sums per month and key; columns month, keys, measures.
+
+    `whole_months` leaves out the last month if no line is dated on its last day, so that a month that is still
+    running does not count as a weak one. The day is found in the aggregate itself, not by a second pass over the lines.
+    """
+    sums = [F.sum(m).alias(m) for m in measures]
+    by_month = lines.groupBy(month_start("order_date").alias("month"), *keys)
+    if not whole_months:
+        return by_month.agg(*sums)
+    panel = by_month.agg(*sums, F.max("order_date").alias("_seen"))
+    latest = panel.agg(F.struct(F.max("_seen").alias("day"), *[F.count(m) for m in measures])).scalar().getField("day")
+    running = latest < F.last_day(latest)
+    end = F.when(running, F.trunc(latest, "MM")).otherwise(F.add_months(F.trunc(latest, "MM"), 1))
+    return panel.filter(F.col("month").isNull() | (F.col("month") < end)).drop("_seen")
 
 
 def daily(lines: DataFrame, measures: list[str]) -> DataFrame:
@@ -49,35 +61,38 @@ def span(panel: DataFrame, measures: list[str]) -> tuple[Column, Column]:
     return found.getField("first"), found.getField("last")
 
 
-def series(panel: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """One row per key: `points` (position of the month and measures), `first_month`, `last_month`, `months`.
+def series(panel: DataFrame, keys: list[str], measures: list[str], exact: bool = False) -> DataFrame:
+    """One row per key: `points` (position of the month and measures), `first_month`, `last_month`, `months`, `undated`.
 
     All series get the span of the whole panel. A series has at most one point per month, so its row stays small
-    however many lines are behind it.
+    however many lines are behind it. Sums without a month are no points; `undated` counts them. Measures are doubles, or
+    with `exact` keep their type.
     """
     first, last = span(panel, measures)
     at = panel.withColumn("first_month", first).withColumn("last_month", last)
     point = F.struct(
         months_between_starts(F.col("month"), F.col("first_month")).alias("at"),
-        *[F.col(m).cast("double").alias(m) for m in measures],
+        *[(F.col(m) if exact else F.col(m).cast("double")).alias(m) for m in measures],
     )
+    dated = F.when(F.col("month").isNotNull(), point)  # collect_list leaves nulls out
     # the span is equal in all rows; without keys it makes one series of the whole panel
-    return at.groupBy(*keys, "first_month", "last_month").agg(F.collect_list(point).alias("points")).withColumn(
-        "months", months_between_starts(F.col("last_month"), F.col("first_month")) + 1
-    )
+    return at.groupBy(*keys, "first_month", "last_month").agg(
+        F.collect_list(dated).alias("points"), F.count_if(F.col("month").isNull()).alias("undated")
+    ).withColumn("months", F.coalesce(months_between_starts(F.col("last_month"), F.col("first_month")) + 1, F.lit(0)))
 
 
 def dense(measure: str) -> Column:
     """The values of one measure for every month of the span, 0 where the series has none."""
     known = F.map_from_arrays(F.col("points.at"), F.col(f"points.{measure}"))
     return F.transform(
-        F.sequence(F.lit(0), F.col("months") - 1), lambda i: F.coalesce(F.try_element_at(known, i), F.lit(0.0))
+        F.filter(F.sequence(F.lit(0), F.col("months")), lambda i: i < F.col("months")),
+        lambda i: F.coalesce(F.try_element_at(known, i), F.lit(0)),
     )
 
 
-def padded(panel: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """The panel with a row for every key and every month of the whole span."""
-    wide = series(panel, keys, measures).select(
+def padded(panel: DataFrame, keys: list[str], measures: list[str], exact: bool = False) -> DataFrame:
+    """The panel with a row for every key and every month of the whole span; sums without a month are left out."""
+    wide = series(panel, keys, measures, exact).select(
         *keys, "first_month", F.arrays_zip(*[dense(m).alias(m) for m in measures]).alias("rows")
     )
     return wide.select(*keys, "first_month", F.posexplode("rows").alias("at", "row")).select(
@@ -100,7 +115,7 @@ def lag_and_rolling(full: DataFrame, keys: list[str], measure: str) -> DataFrame
 
 
 def split_by_position(panel: DataFrame, keys: list[str], train_months: int) -> DataFrame:
-    """Mark the first `train_months` months of each key as train, the rest as test."""
+    """Mark the first `train_months` months of a padded panel as train, the rest as test."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("month"))
     return panel.withColumn("part", F.when(place <= train_months, "train").otherwise("test"))
 
@@ -123,7 +138,7 @@ def decompose(full: DataFrame, keys: list[str], measure: str) -> DataFrame:
     first = F.row_number().over(position.orderBy("month")) == 1
     at = at.withColumn("lead_raw", F.when(first, F.col("raw")))
     scale = F.avg("lead_raw").over(Window.partitionBy(*keys))
-    at = at.withColumn("seasonal", F.col("raw") / scale)
+    at = at.withColumn("seasonal", F.try_divide(F.col("raw"), scale))
     return at.select(
         "month", *keys, F.col("y").alias(measure), "trend", "seasonal",
         F.try_divide("y", F.col("trend") * F.col("seasonal")).alias("resid"),

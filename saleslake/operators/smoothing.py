@@ -29,8 +29,6 @@ PERIOD = 12
 
 # The parameter sets (alpha, beta, gamma) that are tried, in order.
 GRID = [(a, b, g) for a in (0.1, 0.3, 0.5) for b in (0.01, 0.1) for g in (0.1, 0.3)]
-# The one set for series too sparse to choose by error.
-SPARSE = [(0.3, 0.01, 0.1)]
 
 RESULT = (
     "status string, alpha double, beta double, gamma double, sse double, steps int, level double, trend double, "
@@ -83,7 +81,7 @@ def _walk(y: np.ndarray, grid, multiplicative: bool, horizon: int):
             season[t % PERIOD] = gamma * rest + keep_g * old
         level = new_level
         sse += error * error
-    best = np.argmin(sse, axis=1)
+    best = np.argmin(np.where(np.isnan(sse), np.inf, sse), axis=1)
     pick = (np.arange(count), best)
     level, trend = level[pick], trend[pick]
     ahead = []
@@ -115,9 +113,11 @@ class _Fits:
         self.numbers = {name: np.zeros(count) for name in ("alpha", "beta", "gamma", "sse", "level", "trend")}
         self.steps = np.zeros(count, dtype=np.int32)
         self.ahead = np.zeros((count, horizon))
+        self.lengths = np.full(count, horizon)
 
-    def fit(self, y: np.ndarray, rows: np.ndarray, grid, multiplicative: bool, least: int) -> None:
+    def fit(self, y: np.ndarray, rows: np.ndarray, grid, multiplicative: bool, least: int, horizon: int) -> None:
         """Fit the series `y` (months x series), which are the given rows of the batch."""
+        self.lengths[rows] = horizon
         status = np.full(len(rows), "ok", dtype=object)
         status[~np.isfinite(y).all(axis=0)] = "nonfinite"
         if multiplicative:
@@ -130,18 +130,22 @@ class _Fits:
         sets = np.array(grid)
         for start in range(0, len(usable), _CHUNK):
             some = usable[start : start + _CHUNK]
-            best, sse, level, trend, ahead = _walk(y[:, some], grid, multiplicative, self.ahead.shape[1])
+            with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                best, sse, level, trend, ahead = _walk(y[:, some], grid, multiplicative, horizon)
             found = (*sets[best].T, sse, level, trend)
             for name, values in zip(self.numbers, found):
                 self.numbers[name][rows[some]] = values
-            self.ahead[rows[some]] = ahead
+            self.ahead[rows[some], :horizon] = ahead.reshape(len(some), horizon)
+            # finite values may still run off to infinity
+            lost = ~(np.isfinite(sse) & np.isfinite(ahead.reshape(len(some), horizon)).all(axis=1))
+            self.status[rows[some][lost]] = "nonfinite"
 
     def to_arrow(self) -> pa.Array:
         missing = self.status != "ok"
-        lengths = np.where(missing, 0, self.ahead.shape[1])
+        lengths = np.where(missing, 0, self.lengths)
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         ahead = pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(self.ahead[~missing].ravel()), mask=pa.array(missing)
+            pa.array(offsets), pa.array(self.ahead[np.arange(self.ahead.shape[1]) < lengths[:, None]]), mask=pa.array(missing)
         )
         n = {name: pa.array(values, mask=missing) for name, values in self.numbers.items()}
         steps = pa.array(self.steps, mask=missing)
@@ -156,27 +160,28 @@ class _Fits:
 def holt_winters(
     grid: list[tuple[float, float, float]] = GRID,
     multiplicative: bool = False,
-    horizon: int = PERIOD,
+    horizon: int | None = PERIOD,
     train: int | None = None,
     least: int = 2 * PERIOD,
 ):
     """An Arrow UDF (positions, values, months) -> RESULT.
 
-    `train` fits on the first so many months only. A series that cannot be fitted gets a status and no forecast,
+    `train` fits on the first so many months only; with `horizon` None all later months are forecast. A series that cannot be fitted gets a status and no forecast,
     and leaves the others alone.
     """
 
     @F.arrow_udf(RESULT)
     def fit(at: pa.Array, values: pa.Array, months: pa.Array) -> pa.Array:
         lengths = months.to_numpy(zero_copy_only=False)
-        fits = _Fits(len(lengths), horizon)
+        wanted = np.maximum(0, lengths - train) if horizon is None else np.full(len(lengths), horizon)
+        fits = _Fits(len(lengths), int(wanted.max(initial=0)))
         for length in np.unique(lengths):
             rows = np.flatnonzero(lengths == length)
             whole = len(rows) == len(lengths)
             y = _matrix(
                 at if whole else at.take(pa.array(rows)), values if whole else values.take(pa.array(rows)), int(length)
             )
-            fits.fit(y[:train] if train else y, rows, grid, multiplicative, least)
+            fits.fit(y[:train] if train else y, rows, grid, multiplicative, least, int(wanted[rows[0]]))
         return fits.to_arrow()
 
     # equal input gives equal output; the mark keeps the optimizer from running it in a filter and then once more

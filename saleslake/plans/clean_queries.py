@@ -13,6 +13,7 @@ from saleslake.sources.order_lines import LINE_COLUMNS, LINE_KEY, order_lines, t
 from saleslake.sources.shared import fresh_path
 
 DECIMALS = ["list_price", "sales", "quantity", "discount", "profit", "shipping_cost"]
+NUMBERS = [*DECIMALS, "order_id", "line_no", "supplier_id", "customer_id", "product_id"]
 
 
 def as_doubles(df, *columns):
@@ -20,16 +21,25 @@ def as_doubles(df, *columns):
     return df.withColumns({c: F.col(c).cast("double") for c in columns})
 
 
-# Bronze headers of the columns carried through the CSV files.
+# The bronze headers, all 24, and the number of a line within its order.
 BRONZE_HEADERS = {
+    "Row ID": "row_id",
     "Order ID": "order_id",
     "Line No": "line_no",
     "Order Date": "order_date",
     "Ship Date": "ship_date",
     "Ship Mode": "ship_mode",
     "Customer ID": "customer_id",
+    "Customer Name": "customer_name",
+    "Segment": "segment",
+    "City": "city",
+    "State": "state",
+    "Country": "country",
+    "Region": "region",
+    "Market": "market",
     "Product ID": "product_id",
     "Postal Code": "postal_code",
+    "Product Name": "product_name",
     "Category": "category",
     "Sub-Category": "sub_category",
     "Sales": "sales",
@@ -41,10 +51,14 @@ BRONZE_HEADERS = {
 }
 
 
+# The lines have no number of their own.
+_ROW_ID = "order_id * 8 + line_no"
+
+
 def _bronze(spark, folder):
     """The order lines as bronze text: spaced headers, day-first dates."""
-    lines = order_lines(spark, folder, *BRONZE_HEADERS.values(), spread=True)
-    return lines.select(
+    lines = order_lines(spark, folder, *[c for c in BRONZE_HEADERS.values() if c != "row_id"])
+    return lines.withColumn("row_id", F.expr(_ROW_ID)).select(
         *[
             (
                 F.date_format(column, dates.BRONZE_FORMAT)
@@ -56,7 +70,8 @@ def _bronze(spark, folder):
     )
 
 
-_SILVER_SQL = """select cast(order_id as varchar) as order_id, cast(line_no as varchar) as line_no, order_date, ship_date,
+_SILVER_SQL = """select cast({row_id} as integer) as row_id, customer_name, segment, city, state, country, region, market,
+    product_name, cast(order_id as varchar) as order_id, cast(line_no as varchar) as line_no, order_date, ship_date,
     ship_mode, cast(customer_id as varchar) as customer_id, cast(product_id as varchar) as product_id,
     {postal} as postal_code, category, sub_category, cast(sales as double) as sales, cast(quantity as integer) as quantity,
     cast(discount as double) as discount, cast(profit as double) as profit,
@@ -69,7 +84,7 @@ _CALENDAR_SQL = "".join(
 ) + ", cast(year(order_date) as integer) as sales_year"
 
 
-@query("scan_csv_bronze", f"{LINES} {_SILVER_SQL.format(postal='postal_code', more='')}")
+@query("scan_csv_bronze", f"{LINES} {_SILVER_SQL.format(row_id=_ROW_ID, postal='postal_code', more='')}")
 def scan_csv_bronze(spark, folder):
     """Lines through CSV files: written as bronze, read as text, renamed, typed."""
     path = fresh_path(spark, "bronze")
@@ -82,7 +97,7 @@ def scan_csv_bronze(spark, folder):
 _FILLED = "coalesce(postal_code, 'Unknown')"
 
 
-@query("clean_lines", f"{LINES} {_SILVER_SQL.format(postal=_FILLED, more=_CALENDAR_SQL)}")
+@query("clean_lines", f"{LINES} {_SILVER_SQL.format(row_id=_ROW_ID, postal=_FILLED, more=_CALENDAR_SQL)}")
 def clean_lines(spark, folder):
     silver = clean.clean_lines(_bronze(spark, folder)).withColumnRenamed("sub-category", "sub_category")
     return as_doubles(silver, "sales", "discount", "profit", "shipping_cost")
@@ -91,14 +106,31 @@ def clean_lines(spark, folder):
 @query(
     "scan_parquet",
     f"""{LINES} select cast(year(order_date) as integer) as order_year, count(*) as line_count,
-    cast(sum(sales) as double) as total_sales from lines where order_date >= date '1997-01-01' group by 1""",
+    cast(sum(sales) as double) as total_sales from lines group by 1""",
 )
 def scan_parquet(spark, folder):
-    """Silver written by year and read back; the year filter reaches only the folders it needs."""
+    """Silver written by year and read back whole."""
+    return _by_year(_silver_by_year(spark, folder))
+
+
+@query(
+    "scan_parquet_pruned",
+    f"""{LINES} select cast(year(order_date) as integer) as order_year, count(*) as line_count,
+    cast(sum(sales) as double) as total_sales from lines where order_date >= date '1997-01-01' group by 1""",
+)
+def scan_parquet_pruned(spark, folder):
+    """The later years only: the filter reaches no other folders."""
+    return _by_year(_silver_by_year(spark, folder).filter("order_year >= 1997"))
+
+
+def _silver_by_year(spark, folder):
     path = fresh_path(spark, "silver")
     lines = order_lines(spark, folder, "order_date", "sales").withColumn("order_year", F.year("order_date"))
     layers.write_silver(lines, path, partition_by=["order_year"])
-    silver = layers.read_silver(spark, path).filter("order_year >= 1997")
+    return layers.read_silver(spark, path)
+
+
+def _by_year(silver):
     return silver.groupBy("order_year").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum("sales").cast("double").alias("total_sales")
     )
@@ -175,14 +207,7 @@ def shipment_days(spark, folder):
     return explore.line_counts(lines.withColumn("shipment_days", dates.shipment_days()), "shipment_days")
 
 
-# Rules of a bad line: name, and the predicate which holds for bad lines.
-RULES = {
-    "no_order_id": "order_id is null",
-    "no_order_date": "order_date is null",
-    "ship_before_order": "ship_date < order_date",
-    "no_priority": "order_priority is null",
-    "no_sales": "sales is null or sales <= 0",
-}
+RULES = clean.RULES
 _RULE_COLUMNS = LINE_KEY + ["order_date", "order_priority", "sales"]
 _BAD = " or ".join(f"coalesce({p}, false)" for p in RULES.values())
 _REASONS = "concat_ws(',', " + ", ".join(f"case when {p} then '{n}' end" for n, p in RULES.items()) + ")"
@@ -192,15 +217,65 @@ _KEPT = """order_id, line_no, product_id, supplier_id, ship_date, cast(list_pric
 
 @query("quarantine_good", f"{LINES} select {_KEPT} from lines where not ({_BAD})")
 def quarantine_good(spark, folder):
-    return as_doubles(clean.good_rows(order_lines(spark, folder, *_RULE_COLUMNS, spread=True), RULES), "list_price", "sales")
+    return as_doubles(clean.good_rows(order_lines(spark, folder, *_RULE_COLUMNS), RULES), "list_price", "sales")
 
 
 @query("quarantine_bad", f"{LINES} select {_KEPT}, {_REASONS} as bad_reasons from lines where {_BAD}")
 def quarantine_bad(spark, folder):
-    bad = clean.bad_rows(order_lines(spark, folder, *_RULE_COLUMNS, spread=True), RULES)
+    bad = clean.bad_rows(order_lines(spark, folder, *_RULE_COLUMNS), RULES)
     return as_doubles(bad, "list_price", "sales").withColumn("bad_reasons", F.array_join("bad_reasons", ","))
 
 
+# Text as it might come: some values of four columns are damaged, by arithmetic on the ids.
+_DAMAGED = {
+    "Sales": ("sales", "order_id % 7 = 0", "'n/a'"),
+    "Quantity": ("quantity", "order_id % 11 = 0", "'two'"),
+    "Discount": ("discount", "order_id % 13 = 0", "'10 %'"),
+    "Ship Date": ("ship_date", "order_id % 17 = 0", "'31-02-2020'"),
+}
+_TEXT_REASONS = [f"case when {when} then 'unreadable_{c}' end" for c, when, _ in _DAMAGED.values()]
+_LEFT_READABLE = {
+    "order_priority": "order_priority is null",
+    "ship": "order_id % 17 <> 0 and ship_date < order_date",
+    "sales": "order_id % 7 = 0 or sales <= 0",
+}
+
+
+@query(
+    "quarantine_text",
+    f"""{LINES}, reasons as (select cast(order_id as varchar) as order_id, cast(line_no as varchar) as line_no,
+    cast(product_id as varchar) as product_id, cast(list_price as double) as list_price,
+    case when {_DAMAGED['Quantity'][1]} then 'two' else cast(cast(quantity as integer) as varchar) end as quantity,
+    concat_ws(',', {', '.join(_TEXT_REASONS)}, case when {_LEFT_READABLE['ship']} then 'ship_before_order' end,
+        case when {_LEFT_READABLE['order_priority']} then 'no_priority' end,
+        case when {_LEFT_READABLE['sales']} then 'no_sales' end) as bad_reasons from lines)
+    select * from reasons where bad_reasons <> ''""",
+)
+def quarantine_text(spark, folder):
+    """Bad lines keep the text they came with, and a reason for each value that could not be read."""
+    lines = order_lines(spark, folder, *LINE_KEY, "quantity", "order_date", "order_priority", "sales", "discount")
+    bronze = lines.select(
+        *[F.col(c).cast("string").alias(c.replace("_", " ").title()) for c in ("order_id", "line_no", "product_id")],
+        F.col("list_price").cast("double").alias("List Price"),
+        F.date_format("order_date", dates.BRONZE_FORMAT).alias("Order Date"),
+        F.col("order_priority").alias("Order Priority"),
+        F.lit(None).cast("string").alias("Postal Code"),
+        *[
+            F.when(F.expr(when), F.expr(text)).otherwise(
+                F.date_format(c, dates.BRONZE_FORMAT)
+                if c == "ship_date"
+                else F.col(c).cast("int" if c == "quantity" else "string").cast("string")
+            ).alias(header)
+            for header, (c, when, text) in _DAMAGED.items()
+        ],
+    )
+    bad = clean.checked(bronze, RULES).filter(F.size("bad_reasons") > 0)
+    return bad.select(
+        "raw.order_id", "raw.line_no", "raw.product_id", "raw.list_price", "raw.quantity",
+        F.array_join("bad_reasons", ",").alias("bad_reasons"),
+    )
+
+
 @query(
     "outliers_iqr",
     f"""{LINES}, f as (select sub_category, round(quantile_cont(cast(profit as double), 0.25), 6) as q1,
@@ -210,7 +285,7 @@ def quarantine_bad(spark, folder):
     where cast(profit as double) < q1 - 1.5 * (q3 - q1) or cast(profit as double) > q3 + 1.5 * (q3 - q1)""",
 )
 def outliers_iqr(spark, folder):
-    lines = order_lines(spark, folder, "sub_category", "profit", *LINE_KEY, spread=True)
+    lines = order_lines(spark, folder, "sub_category", "profit", *LINE_KEY)
     return as_doubles(quality.outliers(lines, "sub_category", "profit", LINE_KEY), "list_price", "profit")
 
 
@@ -232,7 +307,7 @@ def quartiles_by_category(spark, folder):
     ),
 )
 def null_profile(spark, folder):
-    return quality.null_profile(order_lines(spark, folder, spread=True))
+    return quality.null_profile(order_lines(spark, folder))
 
 
 @query(
@@ -242,26 +317,29 @@ def null_profile(spark, folder):
         f"""select '{c}' as column_name, count({c}) as n, round(avg(cast({c} as double)), 4) as mean,
         round(stddev_samp(cast({c} as double)), 4) as stddev, cast(min({c}) as double) as min,
         cast(max({c}) as double) as max from lines"""
-        for c in DECIMALS
+        for c in NUMBERS
     ),
 )
 def numeric_profile(spark, folder):
-    profile = quality.numeric_profile(order_lines(spark, folder, *DECIMALS), DECIMALS)
+    profile = quality.numeric_profile(order_lines(spark, folder, *NUMBERS), NUMBERS)
     return profile.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
-_TEXTS = ["ship_mode", "customer_name", "segment", "market", "country", "city", "product_name", "category"]
+_TEXTS = [c for c in LINE_COLUMNS if c not in NUMBERS]  # the dates too, as text
 
 
 @query(
     "text_profile",
     f"{LINES} "
     + " union all ".join(
-        f"select '{c}' as column_name, count({c}) as n, min({c}) as min, max({c}) as max from lines" for c in _TEXTS
+        f"""select '{c}' as column_name, count({c}) as n, cast(min({c}) as varchar) as min, cast(max({c}) as varchar) as max
+        from lines"""
+        for c in _TEXTS
     ),
 )
 def text_profile(spark, folder):
-    return quality.text_profile(order_lines(spark, folder, *_TEXTS), _TEXTS)
+    lines = order_lines(spark, folder, *_TEXTS)
+    return quality.text_profile(lines.select(*[F.col(c).cast("string").alias(c) for c in _TEXTS]), _TEXTS)
 
 
 @query("table_shape", f"{LINES} select count(*) as row_count, {len(LINE_COLUMNS)} as column_count from lines")
@@ -276,7 +354,7 @@ def table_shape(spark, folder):
     select cast(coalesce(sum(n - 1), 0) as bigint) as total_duplicates from g""",
 )
 def duplicate_rows(spark, folder):
-    return quality.surplus_duplicates(order_lines(spark, folder, spread=True))
+    return quality.surplus_duplicates(order_lines(spark, folder))
 
 
 @query(

@@ -12,12 +12,12 @@ from saleslake.sources.order_lines import LINE_KEY, order_lines
 from saleslake.sources.shared import written
 
 _FEATURE_COLUMNS = ["sales", "profit", "quantity", "discount", "order_date", *features.CATEGORIES]
-_TRAIN = """((order_id * 3 + line_no * 5 + product_id * 7 + supplier_id * 9 + datediff('day', date '1970-01-01', ship_date) * 11
-    + cast(list_price * 100 as bigint) * 13) % 100 < 80)"""
+_KEY_TEXT = "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), '')" for c in LINE_KEY) + ")"
+_TRAIN = f"(cast('0x' || substr(md5({_KEY_TEXT}), 1, 8) as bigint) % 100 < 80)"
 
 
 def _features(spark, folder):
-    lines = order_lines(spark, folder, *dict.fromkeys([*_FEATURE_COLUMNS, *LINE_KEY]), spread=True)
+    lines = order_lines(spark, folder, *dict.fromkeys([*_FEATURE_COLUMNS, *LINE_KEY]))
     return features.base_table(lines, extra=LINE_KEY)
 
 
@@ -105,19 +105,38 @@ def feat_holiday(spark, folder):
     return features.with_holiday(days, features.yearly_holidays(days, "order_date", HOLIDAYS))
 
 
-@query("ml_feature_vectors")
+_INDEXED = f"{LINES}, " + ", ".join(
+    f"""i_{c} as (select {c}, cast(row_number() over (order by count(*) desc, {c}) - 1 as double) as {c}_idx
+    from lines group by {c})"""
+    for c in features.CATEGORIES
+)
+_INPUTS = [*[c for c in features.NUMERIC if c != "sales"], *[f"{c}_idx" for c in features.CATEGORIES]]
+
+
+@query(
+    "ml_feature_vectors",
+    f"""{_INDEXED} select order_id, line_no, cast(sales as double) as sales, cast(profit as double) as profit,
+    cast(quantity as double) as quantity, cast(discount as double) as discount, cast(ship_date - order_date as double)
+    as shipment_days, {', '.join(f'{c}_idx' for c in features.CATEGORIES)} from lines """
+    + " ".join(f"join i_{c} using ({c})" for c in features.CATEGORIES),
+)
 def ml_feature_vectors(spark, folder):
-    """The fitted stages applied to all lines: the ten inputs as one array."""
+    """The fitted stages applied to all lines: the ten inputs, taken from the vector."""
     base = _features(spark, folder)
-    vectors = features.vector_pipeline().fit(base).transform(base)
-    return vectors.select("order_id", "line_no", "sales", vector_to_array("features").alias("features"))
+    vectors = features.vector_pipeline().fit(base).transform(base).withColumn("v", vector_to_array("features"))
+    return vectors.select("order_id", "line_no", "sales", *[F.get("v", i).alias(name) for i, name in enumerate(_INPUTS)])
+
+
+def _fit(model, train):
+    """Boosting by weighted trees sets its bins itself."""
+    return model.fit(train) if isinstance(model, models.BoostedMedian) else models.fitted(model, train)
 
 
 def _model_query(name: str, make) -> None:
     @query(name)
     def run(spark, folder):
         train, test = models.vectors(_features(spark, folder), LINE_KEY)
-        result = written(models.score(make().fit(train).transform(test), name), name)
+        result = written(models.score(_fit(make(), train).transform(test), name), name)
         train.unpersist()
         test.unpersist()
         return result
@@ -158,6 +177,62 @@ def ml_linear_one_feature(spark, folder):
     )
 
 
+_STUMPS = ["tree", "forest of one tree", "one round of boosting"]
+
+
+@query(
+    "ml_stump",
+    f"""{LINES}, g as (select cast(discount as double) as discount, count(*) as n, cast(sum(sales) as double) as s
+        from lines group by 1),
+    cuts as (select l.discount as cut, sum(r.n) filter (r.discount <= l.discount) as nl,
+        sum(r.s) filter (r.discount <= l.discount) as sl, sum(r.n) filter (r.discount > l.discount) as nr,
+        sum(r.s) filter (r.discount > l.discount) as sr from g l cross join g r group by 1 having nr > 0),
+    best as (select * from cuts order by sl * sl / nl + sr * sr / nr desc limit 1)
+    select model, discount, round(case when discount <= cut then sl / nl else sr / nr end, 4) as prediction
+    from g cross join best cross join (select unnest({_STUMPS}) as model)""",
+)
+def ml_stump(spark, folder):
+    """Trees of depth one on one input: all of them have to find the split of least variance."""
+    base = order_lines(spark, folder, "sales", "discount").select(
+        F.col("sales").cast("double").alias("label"), F.col("discount").cast("double").alias("discount")
+    )
+    frame = written(models.VectorAssembler(inputCols=["discount"], outputCol="features").transform(base), "stump")
+    values = frame.select("discount", "features").dropDuplicates(["discount"])
+    alike = {
+        "tree": models.tree(maxDepth=1),
+        "forest of one tree": models.random_forest(maxDepth=1, numTrees=1, bootstrap=False, featureSubsetStrategy="all"),
+        "one round of boosting": models.gradient_boosting(maxDepth=1, maxIter=1),
+    }
+    out = None
+    for name in _STUMPS:
+        predicted = alike[name].fit(frame).transform(values)
+        rows = predicted.select(F.lit(name).alias("model"), "discount", F.round("prediction", 4).alias("prediction"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(
+    "ml_linear_two_features",
+    f"""{LINES}, d as (select cast(sales as double) as y, cast(profit as double) as a, cast(quantity as double) as b from lines),
+    c as (select covar_pop(a, a) as aa, covar_pop(b, b) as bb, covar_pop(a, b) as ab, covar_pop(a, y) as ay,
+        covar_pop(b, y) as yb, avg(a) as ma, avg(b) as mb, avg(y) as my from d),
+    w as (select (ay * bb - yb * ab) / (aa * bb - ab * ab) as wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) as wb, * from c)
+    select round(wa, 6) as profit_weight, round(wb, 4) as quantity_weight, round(my - wa * ma - wb * mb, 2) as intercept from w""",
+)
+def ml_linear_two_features(spark, folder):
+    """Two inputs: the fit must equal the normal equations."""
+    base = order_lines(spark, folder, "sales", "profit", "quantity").select(
+        F.col("sales").cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in ("profit", "quantity")]
+    )
+    model = models.linear().fit(models.VectorAssembler(inputCols=["profit", "quantity"], outputCol="features").transform(base))
+    profit, quantity = map(float, model.coefficients)
+    return base.agg(
+        F.round(F.lit(profit), 6).alias("profit_weight"),
+        F.round(F.lit(quantity), 4).alias("quantity_weight"),
+        F.round(F.lit(float(model.intercept)), 2).alias("intercept"),
+    )
+
+
 _NUMERIC_PLANNED = [
     "order_month", "order_year", "quantity_n", "sales_lag_1", "sales_rolling_avg_3m", "is_holiday", "rfm_score",
 ]
@@ -167,7 +242,7 @@ _NUMERIC_PLANNED = [
 def ml_cv_grid(spark, folder):
     """Average error of each parameter pair over three folds, for forests on the planned features."""
     lines = order_lines(
-        spark, folder, *LINE_KEY, "order_date", "customer_id", "category", "quantity", "sales", spread=True
+        spark, folder, *LINE_KEY, "order_date", "customer_id", "category", "quantity", "sales"
     )
     planned = features.planned_features(
         lines, features.yearly_holidays(lines.select("order_date"), "order_date", HOLIDAYS)
@@ -258,7 +333,7 @@ def ml_model_comparison(spark, folder):
         "linear": models.linear,
         "decision tree": models.tree,
     }
-    scores = [models.score(make().fit(train).transform(test), name) for name, make in makers.items()]
+    scores = [models.score(_fit(make(), train).transform(test), name) for name, make in makers.items()]
     result = written(models.compare(scores), "comparison")
     train.unpersist()
     test.unpersist()

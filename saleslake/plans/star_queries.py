@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from saleslake.operators import star
+from saleslake.operators import quality, star
 from saleslake.operators.keys import first_per_key
 from saleslake.plans.registry import LINES, query
 from saleslake.sources.order_lines import LINE_KEY, order_lines
@@ -35,7 +35,7 @@ DIMS = f"""{LINES},
         as order_priority from ordered),
     joined as (select l.*, product_key, customer_key, location_key, order_key, o.date_key as order_date_key,
         s.date_key as ship_date_key, o.order_year, o.order_month
-        from lines l join dim_product using (product_id) join dim_customer using (customer_id)
+        from lines l join dim_product using (product_id) join dim_customer using (customer_id, customer_name, segment)
         join dim_location using (country, state, region, market, city) join dim_order d on d.order_id = l.order_id
         join dim_date o on o.order_date = l.order_date join dim_date s on s.order_date = l.ship_date),
     fact as (select row_number() over (order by {', '.join(LINE_KEY)}) as fact_key, order_key, customer_key, product_key,
@@ -52,7 +52,7 @@ def _as_doubles(df):
 
 def _star(spark, folder):
     """All lines, joined once, numbered and written, as the star reads them several times."""
-    lines = star.number_lines(order_lines(spark, folder, spread=True))
+    lines = star.number_lines(order_lines(spark, folder))
     dims = star.build_dims(lines)
     return lines, dims, star.build_fact(lines, dims)
 
@@ -254,3 +254,94 @@ def norm_locations(spark, folder):
     return star.normalised_locations(
         order_lines(spark, folder, *LINE_KEY, "city", "state", "country", "region", "customer_id")
     )
+
+
+# Lines with lost keys and contradicting customers, by arithmetic on their ids.
+_DIRTY = {
+    "customer_id": "case when order_id % 11 = 0 then null else customer_id end",
+    "customer_name": "case when order_id % 11 = 0 then null else customer_name end",
+    "segment": "case when order_id % 11 = 0 then null when line_no % 2 = 0 and customer_id % 5 = 0 then 'Other' else segment end",
+    "city": "case when product_id % 7 = 0 then null else city end",
+}
+
+
+def _dirty_lines(spark, folder):
+    lines = order_lines(spark, folder)
+    return lines.select(*[F.expr(_DIRTY.get(c, c)).alias(c) for c in lines.columns])
+
+
+_CUSTOMER = ["customer_id", "customer_name", "segment"]
+
+
+@query(
+    "fact_reconcile_dirty",
+    f"""{LINES}, dirty as (select * replace ({', '.join(f'{e} as {c}' for c, e in _DIRTY.items())}) from lines),
+    c as (select distinct {', '.join(_CUSTOMER)} from dirty), p as (select distinct {', '.join(_PLACE)} from dirty),
+    f as (select d.* from dirty d join c on {' and '.join(f'd.{x} is not distinct from c.{x}' for x in _CUSTOMER)}
+        join p on {' and '.join(f'd.{x} is not distinct from p.{x}' for x in _PLACE)})
+    select (select count(*) from dirty) as source_rows, count(*) as fact_rows, count(distinct ({', '.join(LINE_KEY)}))
+    as distinct_fact_rows from f""",
+)
+def fact_reconcile_dirty(spark, folder):
+    """Every line keeps its place in the fact table, whatever keys it lacks."""
+    lines = star.number_lines(_dirty_lines(spark, folder))
+    return star.reconcile(lines, star.build_fact(lines, star.build_dims(lines)))
+
+
+# Table of the star, column that has to be unique in it.
+STAR_KEYS = {
+    "dim_product": ["product_key", "product_id"],
+    "dim_customer": ["customer_key"],
+    "dim_location": ["location_key"],
+    "dim_date": ["date_key", "order_date"],
+    "dim_order": ["order_key", "order_id"],
+    "fact": ["fact_key"],
+}
+# Column of the fact table, the dimension and column that it refers to.
+STAR_REFERENCES = {
+    "order_key": ("dim_order", "order_key"),
+    "customer_key": ("dim_customer", "customer_key"),
+    "product_key": ("dim_product", "product_key"),
+    "location_key": ("dim_location", "location_key"),
+    "order_date_key": ("dim_date", "date_key"),
+    "ship_date_key": ("dim_date", "date_key"),
+}
+
+
+def _stacked(frames):
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+@query(
+    "dq_star_pk",
+    f"{DIMS} "
+    + " union all ".join(
+        f"""select '{t}.{c}' as constraint_name, count(*) as row_count, count(distinct {c}) as key_count,
+        count(*) - count(distinct {c}) as repeated_keys from {t}"""
+        for t, columns in STAR_KEYS.items()
+        for c in columns
+    ),
+)
+def dq_star_pk(spark, folder):
+    """Keys of the built star: rows, distinct keys, repeated keys."""
+    _, dims, fact = _star(spark, folder)
+    tables = {**dims, "fact": fact}
+    return _stacked([quality.uniqueness(tables[t], f"{t}.{c}", c) for t, columns in STAR_KEYS.items() for c in columns])
+
+
+@query(
+    "dq_star_fk",
+    f"{DIMS} "
+    + " union all ".join(
+        f"""select 'fact.{c}' as constraint_name, count(*) as orphan_rows, count(distinct {c}) as orphan_keys
+        from fact where {c} is not null and {c} not in (select {k} from {t})"""
+        for c, (t, k) in STAR_REFERENCES.items()
+    ),
+)
+def dq_star_fk(spark, folder):
+    """References of the built fact table that meet no dimension row."""
+    _, dims, fact = _star(spark, folder)
+    return _stacked([quality.orphans(fact, c, dims[t], k, f"fact.{c}") for c, (t, k) in STAR_REFERENCES.items()])

@@ -1,7 +1,8 @@
 """The flat order-line model over the normalised test tables.
 
 Each column lists the tables it needs, so a caller that asks for a few columns gets only the joins behind them.
-Leaving a join out is sound because the foreign keys are total; `dq_fk` is the check of that.
+The joins are outer joins to unique keys, so every source line occurs exactly once whatever columns are asked: a line
+without its order, customer or product has NULL there, and `dq_fk` counts such lines.
 The SQL text of each column is shared with the oracle queries.
 """
 
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.sources.shared import spread_out
-
 
 def _hundredths(column: str) -> str:
     """A double with two decimals as an exact whole number of hundredths; rint needs no decimal arithmetic."""
@@ -107,24 +106,19 @@ def _tables_for(columns) -> set[str]:
     return needed
 
 
-def order_lines(spark: SparkSession, folder: str, *columns: str, spread: bool = False) -> DataFrame:
-    """Order lines with the given columns (all without any), joined only as far as those columns need.
-
-    `spread` is for wide or repeated work on small inputs: see shared.spread_out.
-    """
+def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Order lines with the given columns (all without any), joined only as far as those columns need."""
     columns = columns or tuple(LINE_COLUMNS)
     needed = _tables_for(columns)
     lines = table(spark, folder, "lineitem")
-    if spread:
-        lines = spread_out(lines, "l_orderkey", "l_partkey", "l_suppkey")
     for name, (_, condition) in _JOINS.items():
         if name in needed:
-            lines = lines.join(table(spark, folder, name), F.expr(condition), "inner")
+            lines = lines.join(table(spark, folder, name), F.expr(condition), "left")
     return lines.select(*[F.expr(LINE_COLUMNS[c][1]).alias(c) for c in columns])
 
 
 def lines_sql() -> str:
     """The same model as an SQL query over all six tables (no join left out); there rint is called round."""
     projection = ", ".join(f"{sql} as {name}" for name, (_, sql) in LINE_COLUMNS.items()).replace("rint(", "round(")
-    joins = " ".join(f"join {name} on {condition}" for name, (_, condition) in _JOINS.items())
+    joins = " ".join(f"left join {name} on {condition}" for name, (_, condition) in _JOINS.items())
     return f"select {projection} from lineitem {joins}"

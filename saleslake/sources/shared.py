@@ -1,18 +1,20 @@
-"""Written intermediate tables in the shared folder of the cluster.
+"""Written intermediate tables in the shared folder of the cluster, and their removal.
 
 A written table cuts the lineage, survives the loss of executors, and gives the planner true file sizes
-for its join choices. The folder is `spark.checkpoint.dir`; only where the session names none (a test on one
-machine) a temporary one is made.
+for its join choices. The folder is `spark.checkpoint.dir`; only where the session names none and all work is done in
+one process (a test) a folder below the session's own scratch folder is taken.
 """
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_fallback: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,13 +24,16 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder which all executors can reach")
-    return _fallback.setdefault(context.applicationId, tempfile.mkdtemp(prefix="saleslake-"))
+    return f"{context.getConf().get('spark.local.dir', '/tmp')}/saleslake-{context.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -39,10 +44,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread_out(scan: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan of fewer splits than the cluster has cores; a scan of more splits stays as it is.
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end all that `fresh_path` and `written` have named inside, on any thread.
 
-    For a plain file scan only: counting its splits plans it, but runs nothing. `keys` should be close to unique.
+    Frames that were made inside may read those tables, so use or write the results before the end. Scopes nest; the
+    innermost owns a path. Scopes of one process should not overlap in other ways.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+    _scopes.append(paths := [])
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)

@@ -29,7 +29,11 @@ LINES = [
     line(4, "B", "05-02-2020", "09-03-2020", priority="Odd"),
     line(5, "C", "31-02-2020", "09-03-2020"),
     line(6, "D", "07-02-2020", "01-02-2020", sales="abc"),
-    line(7, "E", "08-02-2020", "08-02-2020", priority=None),
+    line(7, "F", "08-02-2020", "08-02-2020", priority=None),
+    line(8, "E", "08-02-2020", "08-02-2020", priority="Odd"),
+    line(9, "G", "08-02-2020", "08-02-2020", priority="Odd"),
+    line(9, "G", "08-02-2020", "08-02-2020"),
+    line("x", "H", "08-02-2020", "08-02-2020"),
 ]
 
 
@@ -44,9 +48,18 @@ def layered(spark, tmp_path_factory):
 
 def test_good_and_bad_are_disjoint_and_complete(spark, layered):
     root, silver, _ = layered
-    bad = {r.row_id: r.bad_reasons for r in layers.read_silver(spark, f"{root}/bad").collect()}
-    assert {r.row_id for r in silver.collect()} == {1, 2, 3, 4, 7}
-    assert bad == {5: ["unreadable_order_date"], 6: ["unreadable_sales", "ship_before_order"]}
+    bad = layers.read_silver(spark, f"{root}/bad").collect()
+    assert {r.row_id for r in silver.collect()} == {1, 2, 3, 4, 8}
+    assert {r.row_id: r.bad_reasons for r in bad} == {
+        "5": ["unreadable_order_date", "no_order_date"],
+        "6": ["unreadable_sales", "ship_before_order", "no_sales"],
+        "7": ["no_priority"],
+        "9": ["repeated_row_id"],
+        "x": ["unreadable_row_id", "no_row_id"],
+    }
+    # the text that did not fit is still there
+    assert {r.order_date for r in bad if r.row_id == "5"} == {"31-02-2020"} and {r.sales for r in bad if r.row_id == "6"} == {"abc"}
+    assert len(bad) + silver.count() == len(LINES)
 
 
 def test_silver_is_typed_and_filled(layered):
@@ -95,7 +108,67 @@ def test_forecasts_are_written(spark, tmp_path):
         F.add_months(F.lit("2018-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"),
         (100 + F.col("id") % 12).cast("decimal(18,4)").alias("sales"), F.lit("x").alias("category"),
     )
-    written = medallion.to_forecasts(months, str(tmp_path), grains={"category": ["category"]})
+    written = medallion.to_forecasts(months, str(tmp_path), grains={"category": (["category"], ["sales"])})
     got = [round(r.forecasted_sales, 6) for r in written["category"].orderBy("month").collect()]
     assert got == [100.0 + i for i in range(12)]
     assert written["category"].agg(F.min("month")).first()[0] == date(2021, 1, 1)
+
+
+def dirty_lines(spark):
+    rows = [
+        (1, "A", "C1", "Ann", "Consumer", "Rome"), (2, "A", "C1", "Ann", "Corporate", "Rome"), (3, "B", None, None, None, "Oslo"),
+        (4, "B", "C2", "Bob", "Consumer", None), (5, "C", "C2", "Bob", "Consumer", None),
+    ]
+    keys = "row_id int, order_id string, customer_id string, customer_name string, segment string, city string"
+    return spark.createDataFrame(rows, keys).selectExpr(
+        "*", "date '2020-01-05' as order_date", "if(row_id = 5, null, date '2020-01-06') as ship_date", "'First' as ship_mode",
+        "'High' as order_priority", "'Italy' as country", "'L' as state", "'South' as region", "'EU' as market",
+        "if(row_id = 4, null, 'P1') as product_id", "'Chair' as product_name", "'F' as category", "'C' as sub_category",
+        "cast(1.5 as decimal(18,4)) as sales", "2 as quantity", "cast(0 as decimal(18,4)) as discount",
+        "cast(1 as decimal(18,4)) as profit", "cast(1 as decimal(18,4)) as shipping_cost",
+    )
+
+
+def test_star_keeps_lines_with_lost_keys(spark, tmp_path):
+    lines = dirty_lines(spark)
+    gold = medallion.to_gold(lines, str(tmp_path), ["row_id"])
+    assert tuple(star.reconcile(lines, gold["fact_sales"]).first()) == (5, 5, 5)
+    data = {r.fact_key: r for r in gold["fact_data"].collect()}
+    assert len(data) == 5 and data[3].customer_id is None and data[4].city is None and data[4].product_id is None
+    assert (data[1].segment, data[2].segment) == ("Consumer", "Corporate") and data[5].ship_date_value is None
+
+
+def test_all_forecasts_equal_their_operator(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from saleslake.operators import forecast, panel
+
+    lines = spark.range(0, 60).selectExpr(
+        "add_months(date '2018-01-01', cast(id % 30 as int)) as order_date", "concat('s', id % 2) as segment", "'c' as category",
+        "concat('u', id % 3) as sub_category", "'r' as region", "'l' as country", "'t' as state", "concat('y', id % 2) as city",
+        "concat('p', id % 4) as product_name", "cast(10 + id % 7 as decimal(18,4)) as sales",
+        "cast(id % 5 as decimal(18,4)) as profit", "cast(1 + id % 3 as int) as quantity",
+    )
+    written = medallion.to_forecasts(lines, str(tmp_path))
+    assert set(written) == set(medallion.FORECASTS)
+    for name, (keys, measures) in medallion.FORECASTS.items():
+        direct = forecast.forecast(panel.monthly(lines, keys, measures), keys, measures)
+        assert written[name].count() > 0
+        assert written[name].exceptAll(direct).count() == 0 and direct.exceptAll(written[name]).count() == 0
+    short = medallion.to_forecasts(lines, str(tmp_path / "w"), {"total": ([], ["sales"])}, whole_months=True)
+    # the last line is dated on the first of its month
+    assert short["total"].agg(F.min("month")).first()[0] == date(2020, 6, 1)
+
+
+def test_scratch_tables_are_removed(spark, tmp_path):
+    import os
+
+    from saleslake.sources.shared import fresh_path, scratch, written
+
+    with scratch(spark):
+        path = fresh_path(spark, "x")
+        frame = written(spark.range(3), "y")
+        spark.range(2).write.parquet(path)
+        files = frame.inputFiles()
+        assert frame.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path) and not os.path.exists(files[0].removeprefix("file://"))

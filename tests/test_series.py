@@ -140,3 +140,49 @@ def test_padded_and_lag(spark):
     assert [r.sales for r in rows] == [1.0, 0.0, 0.0, 4.0, 0.0, 2.0, 0.0, 0.0]
     assert [r.sales_lag_1 for r in rows] == [None, 1.0, 0.0, 0.0, None, 0.0, 2.0, 0.0]
     assert rows[3].sales_rolling_avg_3m == pytest.approx(4 / 3)
+
+
+def test_no_month_is_left_out(spark):
+    """Two more years of lines are seen by every operator of series."""
+    lines = spark.range(0, 72).selectExpr(
+        "add_months(date '1996-01-10', cast(id as int)) as order_date", "cast(100 + id as decimal(18,4)) as sales", "'k' as k"
+    )
+    short = lines.filter("order_date < date '2000-01-01'")
+    for operator in (
+        lambda p: panels.spine(p).agg(F.max("month")),
+        lambda p: panels.padded(p, ["k"], ["sales"]).agg(F.max("month")),
+        lambda p: fc.forecast(p, ["k"], ["sales"]).agg(F.add_months(F.min("month"), -1)),
+        lambda p: fc.seasonal_regression(p, ["k"], "sales").agg(F.add_months(F.min("month"), -1)),
+        lambda p: fc.with_interval(p, ["k"], "sales").agg(F.add_months(F.min("month"), -1)),
+        lambda p: fc.holdout(p, ["k"], "sales", train=36).agg(F.max("month")),
+        lambda p: panels.decompose(panels.padded(p, ["k"], ["sales"], exact=True), ["k"], "sales").agg(F.max("month")),
+    ):
+        assert operator(panels.monthly(lines, ["k"], ["sales"])).first()[0] == date(2001, 12, 1)
+        assert operator(panels.monthly(short, ["k"], ["sales"])).first()[0] == date(1999, 12, 1)
+    assert panels.monthly(lines, ["k"], ["sales"], whole_months=True).agg(F.max("month")).first()[0] == date(2001, 11, 1)
+    ended = lines.union(spark.sql("select date '2001-12-31', cast(1 as decimal(18,4)), 'k'"))
+    assert panels.monthly(ended, ["k"], ["sales"], whole_months=True).agg(F.max("month")).first()[0] == date(2001, 12, 1)
+
+
+def test_lines_without_a_month_leave_other_series_alone(spark):
+    values = {"fine": [5.0 + i % 12 for i in range(30)], "lost": [3.0 + i % 12 for i in range(30)]}
+    panel = frame(spark, values).union(spark.createDataFrame([("lost", None, 7.0)], "k string, month date, sales double"))
+    status = {r.k: r.status for r in fc.fit_status(panel, ["k"], "sales").collect()}
+    assert status == {"fine": "ok", "lost": "undated"}
+    assert {r.k for r in fc.forecast(panel, ["k"], ["sales"]).collect()} == {"fine"}
+    assert panels.padded(panel, ["k"], ["sales"]).count() == 60
+
+
+def test_values_that_run_off_get_a_status(spark):
+    panel = frame(spark, {"huge": [1e300 * (1 + i * 7 % 5) for i in range(30)], "fine": [1.0 + i % 3 for i in range(30)]})
+    assert {r.k: r.status for r in fc.fit_status(panel, ["k"], "sales").collect()} == {"huge": "nonfinite", "fine": "ok"}
+
+
+def test_decomposition_of_a_series_with_a_gap(spark):
+    full = [5.0 + i % 12 for i in range(40)]
+    gap = [v if i != 17 else None for i, v in enumerate(full)]
+    panel = frame(spark, {"a": full, "g": gap})
+    rows = panels.decompose(panels.padded(panel, ["k"], ["sales"]), ["k"], "sales").filter("k = 'g'").orderBy("month").collect()
+    ys = [v or 0.0 for v in gap]
+    want = [(2 * sum(ys[i - 5 : i + 6]) + ys[i - 6] + ys[i + 6]) / 24 for i in range(6, 34)]
+    assert [r.trend for r in rows[6:34]] == pytest.approx(want)
