@@ -35,8 +35,8 @@ from saleslake.sources.shared import written
 
 BITS = 64
 CHUNK = 8
-HOT = 64
-OPEN = 20  # open bits down to which a crowded bucket is made finer
+HOT = 200
+OPEN = 12  # open bits down to which a crowded bucket is made finer
 SEED = 42
 BLOCK = 1 << 16  # features whose bits are held unpacked at a time
 # Relative cost of an emitted key and of a candidate pair.
@@ -195,10 +195,12 @@ def _choices(bits: list[int], size: int) -> list[int]:
     return [sum(1 << b for b in chosen) for chosen in itertools.combinations(bits, size)]
 
 
-def links(fingerprints: DataFrame, tau: int) -> DataFrame:
+def links(fingerprints: DataFrame, tau: int, reach: int | None = None) -> DataFrame:
     """All (a, b) with a < b of the distinct numbers in column `p` that differ in at most `tau` bits.
 
-    A column `space` may hold groups that are joined apart (fingerprints of different kinds).
+    A column `space` may hold groups that are joined apart (fingerprints of different kinds). With `reach`, for proposals that
+    are verified anyway, members of a crowded bucket are linked to its first member if they differ from it in at most
+    `reach` bits; then a dense group costs one link a member, and only the others are refined, among themselves.
     """
     space = "space" in fingerprints.columns
     fingerprints = fingerprints if space else fingerprints.withColumn("space", F.lit(0))
@@ -226,14 +228,21 @@ def links(fingerprints: DataFrame, tau: int) -> DataFrame:
     bucket, pairs = ["space", "fixed", "value"], None
     while True:
         keyed = entries.withColumn("value", F.col("q").bitwiseAND(F.col("fixed")))
-        sizes = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        first = F.min(F.struct("q", "p")).alias("first")
+        sizes = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("members"), first).filter("members > 1")
         members = written(keyed.join(written(sizes, "simhash-buckets"), bucket), "simhash-members")
         few = members.filter(F.col("members") <= HOT)
         near = F.expr(f"bit_count(a.q ^ b.q) <= {tau} and a.p < b.p")
         same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in bucket]
         found = few.alias("a").join(few.alias("b"), [*same, near])
         pairs = _united(pairs, found.select("a.space", F.col("a.p").alias("a"), F.col("b.p").alias("b")))
-        hot = members.filter(F.col("members") > HOT).select("space", "p", "q", "fixed")
+        hot = members.filter(F.col("members") > HOT).select("space", "p", "q", "fixed", "first")
+        if reach is not None:
+            close = F.expr(f"bit_count(q ^ first.q) <= {reach}")
+            ends = [f(F.col("p"), F.col("first.p")).alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
+            pairs = _united(pairs, hot.filter(close).select("space", *ends).filter("a < b"))
+            hot = hot.filter(~close)
+        hot = hot.drop("first")
         # one number per kind of key
         masks = [row[0] & (1 << BITS) - 1 for row in hot.select("fixed").distinct().collect()]
         narrow = [f for f in masks if BITS - bin(f).count("1") <= max(OPEN, tau)]
@@ -307,6 +316,7 @@ def op1_simhash_links(spark, folder):
 
 SPACES = 6  # independent fingerprints per text
 NEAR_BITS = 2
+NEAR_REACH = 10
 SIMILARITY = 0.8
 SHINGLE = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -368,7 +378,7 @@ def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text")
     copies = prints.join(firsts.select("words", F.col("id").alias("first")), "words").filter("id > first").select("id")
     spaced = firsts.select("id", F.posexplode("prints").alias("space", "p"))
     distinct = written(spaced.groupBy("space", "p").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "near-distinct")
-    close = links(distinct.select("space", "p"), NEAR_BITS)
+    close = links(distinct.select("space", "p"), NEAR_BITS, NEAR_REACH)
     least_of = distinct.select("space", "p", "least")
     between = close.join(least_of.withColumnsRenamed({"p": "a", "least": "id_a"}), ["space", "a"]).join(
         least_of.withColumnsRenamed({"p": "b", "least": "id_b"}), ["space", "b"]

@@ -70,6 +70,20 @@ def test_links_equal_brute_force(spark, monkeypatch, tau, hot):
     assert got == want
 
 
+def test_proposals_hold_all_links(spark, monkeypatch):
+    """With `reach` a crowded bucket may link more, but connects all that the exact join connects."""
+    monkeypatch.setattr(simhash, "HOT", 4)
+    random.seed(6)
+    centre = random.getrandbits(64)
+    numbers = {centre ^ sum(1 << b for b in random.sample(range(64), random.randint(0, 3))) for _ in range(60)}
+    numbers = sorted(map(signed, numbers | {random.getrandbits(64) for _ in range(40)}))
+    df = spark.createDataFrame([(n,) for n in numbers], "p long")
+    exact, loose = ({tuple(r) for r in simhash.links(df, 2, reach).collect()} for reach in (None, 10))
+    assert all(a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= 10 for a, b in loose)
+    root = {r.node: r.root for r in components(spark.createDataFrame(sorted(loose), "a long, b long")).collect()}
+    assert exact and all(root[a] == root[b] for a, b in exact)
+
+
 def test_allocation_covers_all_pairs():
     """Thresholds sum to tau - m + 1, so two rows at tau bits are near in some part; costs decide among them."""
     flat = np.ones((8, 256), dtype=np.int64)
