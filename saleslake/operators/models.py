@@ -30,9 +30,10 @@ SEED = 42
 def vectors(features: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """Train and test frames (label, features). The indexers see the training lines only.
 
-    A fit passes over its frame many times, so the lines are first spread evenly by their key and then kept.
+    The features are written once, spread evenly by their key: indexing, both frames and the fits, which pass over them many
+    times, then read that and not the source tables.
     """
-    train, test = split(features.repartition(*key), key)
+    train, test = split(written(features.repartition(*key), "features"), key)
     model = vector_pipeline().fit(train)
     wanted = [F.col("sales").alias("label"), "features"]
     # a file would lose the category marks of the vectors which the trees need, so the frames are persisted

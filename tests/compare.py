@@ -76,6 +76,7 @@ def main() -> int:
     options = parser.parse_args()
     import __spark_entry__ as entry
     from saleslake.session import local_session
+    from saleslake.sources.shared import scratch
 
     folder = options.dir or f"/root/testdata/sf{options.sf}"
     spark = local_session("compare", 8, spark__sql__shuffle__partitions=options.partitions)
@@ -88,12 +89,13 @@ def main() -> int:
     for name in options.names or queries:
         started = time.time()
         try:
-            df = queries[name](spark, folder)
-            if name in oracles:
-                problem = difference(df, connection, oracles[name])
-                state = "ok" if problem is None else "DIFFERS " + problem
-            else:
-                state = f"rows only: {len(df.collect())}"
+            with scratch(spark):
+                df = queries[name](spark, folder)
+                if name in oracles:
+                    problem = difference(df, connection, oracles[name])
+                    state = "ok" if problem is None else "DIFFERS " + problem
+                else:
+                    state = f"rows only: {len(df.collect())}"
         except Exception as error:  # report and go on with the next query
             state = f"FAILED {type(error).__name__}: {str(error)[:1500]}"
         bad += state.startswith(("DIFFERS", "FAILED"))
