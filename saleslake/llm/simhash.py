@@ -319,7 +319,13 @@ NEAR_BITS = 2
 NEAR_REACH = 10
 SIMILARITY = 0.8
 SHINGLE = 5
+# Bands of minimum hashes. At a Jaccard similarity s two texts share a band with probability 1 - (1 - s**BAND_ROWS)**BANDS:
+# 0.99994 at 0.8 and 0.999998 at 0.85.
+BANDS = 32
+BAND_ROWS = 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * BAND_ROWS), dtype=np.uint32)
+_FACTORS |= np.uint32(1)
 
 
 def _spaced(hashes: np.ndarray, space: int) -> np.ndarray:
@@ -345,6 +351,30 @@ def _word_prints(texts: pa.Array) -> pa.Array:
     return joined(pieces, pa.list_(pa.int64()))
 
 
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """One number per band over the minima of `BAND_ROWS` hash functions each; of no shingles, none."""
+    if not len(hashes):
+        return np.zeros(0, dtype=np.uint64)
+    high, least = (hashes >> np.uint64(32)).astype(np.uint32)[:, None], np.full(len(_FACTORS), (1 << 32) - 1, dtype=np.uint32)
+    for i in range(0, len(high), 512):
+        least = np.minimum(least, (high[i : i + 512] * _FACTORS + _SHIFTS).min(axis=0))
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for minima in least.reshape(BANDS, BAND_ROWS).T.astype(np.uint64):
+        keys = (keys ^ (keys >> np.uint64(29)) ^ minima) * _ODD
+    return keys ^ (keys >> np.uint64(32))
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _bands(texts: pa.Array) -> pa.Array:
+    """The band keys of the shingles of each text."""
+    pieces = []
+    for piece in slices(texts):
+        rows = [band_keys(shingle_hashes(raw, SHINGLE)) for raw in _raw_texts(piece)]
+        flat = np.concatenate([np.zeros(0, dtype=np.uint64), *rows]).view(np.int64)
+        pieces.append(list_array(pa.array(flat), map(len, rows)))
+    return joined(pieces, pa.list_(pa.int64()))
+
+
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _shingle_sets(texts: pa.Array) -> pa.Array:
     pieces = []
@@ -367,14 +397,16 @@ def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text")
     Rows with equal word sequences are copies; those with the smallest key of them stay (rows that share a key are one
     document, and stay or go together). Texts without words are no copies of each other and all stay, as do rows with a
     null key.
-    For other texts, `SPACES` independent fingerprints over their word sets, linked at `NEAR_BITS` bits in any of them, propose
-    groups. In each group the text nearest to the group's bitwise majority is its centre; a text whose Jaccard similarity to
+    For other texts, `SPACES` independent fingerprints over their word sets, linked at `NEAR_BITS` bits in any of them, and
+    `BANDS` bands of minimum hashes of their shingles, linked where one is equal, propose groups. In each group the text nearest to the group's bitwise majority is its centre; a text whose Jaccard similarity to
     the centre's five-word shingles is 0.8 or more goes. The rest of the group is regrouped around a new centre until a round
     removes nothing. So a text goes only for one that stays and is that similar, and the work per round is linear.
     """
     rows = df.filter(F.col(key).isNotNull() & (F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x09-\x0D]", " ")) != ""))
-    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _word_prints(text).alias("prints")), "near-prints")
-    firsts = written(prints.groupBy("words").agg(F.min("id").alias("id"), F.first("prints").alias("prints")), "near-firsts")
+    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _word_prints(text).alias("prints"), _bands(text).alias("bands")), "near-prints")
+    firsts = written(
+        prints.groupBy("words").agg(F.min("id").alias("id"), F.first("prints").alias("prints"), F.first("bands").alias("bands")), "near-firsts"
+    )
     copies = prints.join(firsts.select("words", F.col("id").alias("first")), "words").filter("id > first").select("id")
     spaced = firsts.select("id", F.posexplode("prints").alias("space", "p"))
     distinct = written(spaced.groupBy("space", "p").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "near-distinct")
@@ -385,6 +417,9 @@ def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text")
     )
     same = spaced.join(distinct.filter("n > 1"), ["space", "p"]).filter("id > least")
     pairs = between.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).union(same.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    keyed = firsts.select("id", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = pairs.union(keyed.join(shared, "key").filter("id > least").select(F.col("id").alias("a"), F.col("least").alias("b")))
     groups = written(components(pairs).select(F.col("node").alias("id"), F.col("root").alias("group")), "near-groups")
     # a key that stands in several rows counts once, with one of its texts
     members = groups.join(firsts.select("id", F.element_at("prints", 1).alias("p")), "id").dropDuplicates(["id"])

@@ -166,3 +166,31 @@ def test_near_copies_go_and_others_stay(spark):
         missed += sum(len(a & b) / len(a | b) >= 0.8 for i, a in enumerate(stay) for b in stay[:i])
     assert missed <= 2
     assert simhash.without_near_copies(df.limit(0)).count() == 0
+
+
+def test_bands_propose_blocks_that_were_added_cut_or_inserted():
+    random.seed(21)
+    words = [f"w{i}" for i in range(4000)]
+    for n in (50, 100, 300):
+        missed = pairs = 0
+        for _ in range(100):
+            base, new = ([random.choice(words) for _ in range(size)] for size in (n, n // 5 - 5))
+            for text in (base + new, new + base, base[: n // 2] + new[: n // 8] + base[n // 2 :], base[n // 8 :]):
+                a, b = (np.unique(simhash.shingle_hashes(" ".join(t).encode(), 5)) for t in (base, text))
+                if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+                    pairs += 1
+                    missed += not (simhash.band_keys(a) == simhash.band_keys(b)).any()
+        assert pairs >= 200 and missed == 0
+
+
+def test_near_copies_with_a_block_added_or_cut_go(spark):
+    random.seed(22)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for group in range(60):
+        n = random.choice([50, 150, 300])
+        base, new = ([random.choice(words) for _ in range(size)] for size in (n, n // 8))
+        rows.append((group * 10, " ".join(base)))
+        rows.append((group * 10 + 1, " ".join([base + new, new + base, base[n // 8 :]][group % 3])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert simhash.without_near_copies(df).count() == 60
