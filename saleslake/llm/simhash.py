@@ -199,8 +199,8 @@ def links(fingerprints: DataFrame, tau: int, reach: int | None = None) -> DataFr
     """All (a, b) with a < b of the distinct numbers in column `p` that differ in at most `tau` bits.
 
     A column `space` may hold groups that are joined apart (fingerprints of different kinds). With `reach`, for proposals that
-    are verified anyway, members of a crowded bucket are linked to its first member if they differ from it in at most
-    `reach` bits; then a dense group costs one link a member, and only the others are refined, among themselves.
+    are verified anyway, members of a crowded bucket are linked to its first member as well if they differ from it in at
+    most `reach` bits. That only adds links.
     """
     space = "space" in fingerprints.columns
     fingerprints = fingerprints if space else fingerprints.withColumn("space", F.lit(0))
@@ -241,7 +241,6 @@ def links(fingerprints: DataFrame, tau: int, reach: int | None = None) -> DataFr
             close = F.expr(f"bit_count(q ^ first.q) <= {reach}")
             ends = [f(F.col("p"), F.col("first.p")).alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
             pairs = _united(pairs, hot.filter(close).select("space", *ends).filter("a < b"))
-            hot = hot.filter(~close)
         hot = hot.drop("first")
         # one number per kind of key
         masks = [row[0] & (1 << BITS) - 1 for row in hot.select("fixed").distinct().collect()]

@@ -84,6 +84,22 @@ def test_proposals_hold_all_links(spark, monkeypatch):
     assert exact and all(root[a] == root[b] for a, b in exact)
 
 
+def test_reach_only_adds_links(spark, monkeypatch):
+    """A pair that is near, one of it within `reach` of the first member of their only bucket and one beyond, is linked."""
+    monkeypatch.setattr(simhash, "HOT", 4)
+    monkeypatch.setattr(simhash, "bit_order", lambda together, n: list(range(64)))
+    monkeypatch.setattr(simhash, "allocation", lambda histograms, n, tau: [(0, 16, 0), (16, 16, 0), (32, 32, 0)])
+    random.seed(11)
+    numbers = {0}
+    for _ in range(30):
+        low, high = random.sample(range(16), 6), random.sample(range(16, 32), 5)
+        inner = sum(1 << b for b in low[1:] + high[1:])
+        numbers |= {inner, inner | 1 << low[0] | 1 << high[0]}
+    df = spark.createDataFrame([(n,) for n in sorted(numbers)], "p long")
+    exact, loose = ({tuple(r) for r in simhash.links(df, 2, reach).collect()} for reach in (None, 10))
+    assert len(exact) >= 30 and exact <= loose
+
+
 def test_allocation_covers_all_pairs():
     """Thresholds sum to tau - m + 1, so two rows at tau bits are near in some part; costs decide among them."""
     flat = np.ones((8, 256), dtype=np.int64)
