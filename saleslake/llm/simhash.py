@@ -313,11 +313,10 @@ def op1_simhash_links(spark, folder):
 
 # --- near-duplicate texts ---
 
-SPACES = 6  # independent fingerprints per text
-NEAR_BITS = 2
-NEAR_REACH = 10
 SIMILARITY = 0.8
 SHINGLE = 5
+PAIRED = 0.25  # pairs for each member of a bucket at the start, down to which rounds go on
+SHRINK = 0.9  # while a round leaves no more of the pairs, another follows
 # Bands of minimum hashes. At a Jaccard similarity s two texts share a band with probability 1 - (1 - s**BAND_ROWS)**BANDS:
 # 0.99994 at 0.8 and 0.999998 at 0.85.
 BANDS = 32
@@ -327,29 +326,6 @@ _FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS *
 _FACTORS |= np.uint32(1)
 
 
-def _spaced(hashes: np.ndarray, space: int) -> np.ndarray:
-    """The hashes as another, independent hash function would give them."""
-    x = (hashes ^ np.uint64(space * 0x632BE59BD9B4E019 & (1 << 64) - 1)) * _ODD
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def _word_prints(texts: pa.Array) -> pa.Array:
-    """`SPACES` fingerprints over the set of words of each text."""
-    import xxhash
-
-    pieces = []
-    with np.errstate(over="ignore"):
-        for piece in slices(texts):
-            rows = []
-            for raw in _raw_texts(piece):
-                hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in set(words_of(raw))], dtype=np.uint64)
-                rows += [majority(_spaced(hashes, space)) for space in range(SPACES)]
-            pieces.append(list_array(pa.array(np.array(rows, dtype=np.uint64).view(np.int64)), [SPACES] * len(piece)))
-    return joined(pieces, pa.list_(pa.int64()))
-
-
 def band_keys(hashes: np.ndarray) -> np.ndarray:
     """One number per band over the minima of `BAND_ROWS` hash functions each; of no shingles, none."""
     if not len(hashes):
@@ -390,69 +366,105 @@ def _word_sequence(text: str) -> Column:
     return F.sha2(F.trim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " ")), 256)
 
 
+def _alike(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
+    """The (id, head) of `pairs` with similar shingles."""
+    of_head = shingled.select(F.col("id").alias("head"), F.col("shingles").alias("of_head"))
+    both = pairs.join(shingled, "id").join(of_head, "head")
+    shared = F.size(F.array_intersect("shingles", "of_head"))
+    return both.filter(shared >= SIMILARITY * (F.size("shingles") + F.size("of_head") - shared)).select("id", "head")
+
+
+def _prefix_pairs(shingled: DataFrame) -> DataFrame:
+    """(id, head) of all pairs that may be similar, by prefix filtering; `head` has the lower rank.
+
+    With the shingles in one order, the rarest first, two similar texts share one of the shorter one's first 1 - 2 s / (1 + s) and
+    the longer one's first 1 - s, for s = `SIMILARITY`. So what many texts have in common proposes nothing while they differ.
+    Of those pairs go the ones whose shingle sets differ too much by 512 parities, each of the shingles of one residue: sets
+    differ in at least as many shingles as in parities.
+    """
+    parity = [
+        F.expr(f"aggregate(shingles, 0L, (a, x) -> a ^ if(shiftright(x, 6) & 7 = {k}, shiftleft(1L, cast(x & 63 as int)), 0L))").alias(f"parity{k}")
+        for k in range(8)
+    ]
+    size = F.size("shingles").alias("size")
+    each = shingled.select("id", size, *parity, F.explode("shingles").alias("shingle"))
+    often = written(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "near-often")
+    # no longer than the text
+    kept = ["id", "size", *[f"parity{k}" for k in range(8)]]
+    ordered = each.join(often, "shingle").groupBy(*kept).agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("all"))
+
+    def first(share: float) -> Column:
+        needed = F.ceil(F.col("size") * share - 1e-9).cast("int")
+        return F.inline(F.slice("all", 1, F.col("size") - needed + 1))
+
+    ordered = written(ordered, "near-ordered")
+    short = ordered.select(*kept, first(2 * SIMILARITY / (1 + SIMILARITY))).filter("n > 1").alias("a")
+    long = ordered.select(*kept, first(SIMILARITY)).filter("n > 1").alias("b")
+    a, b = (F.struct(F.xxhash64(f"{c}.id").alias("at"), F.col(f"{c}.id").alias("id")) for c in "ab")
+    shorter = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (a < b))
+    both = F.col("a.size") + F.col("b.size")
+    unlike = F.expr(" + ".join(f"bit_count(a.parity{k} ^ b.parity{k})" for k in range(8)))
+    may = (F.col("a.size") >= F.col("b.size") * SIMILARITY - 1e-9) & (unlike <= both * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
+    met = short.join(long, (F.col("a.shingle") == F.col("b.shingle")) & shorter & may)
+    return met.select(F.greatest(a, b)["id"].alias("id"), F.least(a, b)["id"].alias("head")).distinct()
+
+
+def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
+    """Ids that go. Rows are proposed to each other by equal keys (`keyed`: id, key) and compared by `shingled` (id, shingles).
+
+    All proposed pairs of rows that stay are compared. In each round, a row that comes first in all its buckets stays; the
+    members of its buckets are compared to it, go or are done with it, and it leaves the buckets. Rounds go on while
+    many pairs are left and shrink by them. Then all similar pairs of the rows left in buckets are found; rows without a
+    similar row before them stay, and those similar to them go, until no pair is left.
+    """
+    rank, gone = F.struct(F.xxhash64("id").alias("at"), "id"), []
+    before, few = math.inf, None
+    while True:
+        heads = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("first")).filter("n > 1")
+        placed = written(keyed.join(written(heads, "near-heads"), "key").select("id", "key", "n", F.col("first.id").alias("head")), "near-placed")
+        entries, others = placed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()
+        few = PAIRED * entries if few is None else few
+        if others / 2 <= few or others > SHRINK * before:
+            break
+        before = others
+        leads = placed.groupBy("id").agg(F.bool_and(F.col("id") == F.col("head")).alias("leads")).filter("leads")
+        centres = written(leads.select(F.col("id").alias("head")), "near-centres")
+        asked = written(placed.filter("id != head").select("id", "head").distinct().join(centres, "head"), "near-asked")
+        gone.append(written(_alike(asked, shingled).select("id").distinct(), "near-gone"))
+        keyed = placed.select("id", "key").join(centres.select(F.col("head").alias("id")).union(gone[-1]), "id", "left_anti")
+        keyed = written(keyed, "near-keyed")
+    pairs = written(_prefix_pairs(shingled.join(placed.select("id").distinct(), "id")), "near-pairs")
+    edges = written(_alike(pairs, shingled), "near-edges")
+    while edges.limit(1).count():
+        stay = edges.select("head").distinct().join(edges.select(F.col("id").alias("head")), "head", "left_anti")
+        gone.append(written(edges.join(stay, "head").select("id").distinct(), "near-gone"))
+        left = edges.join(gone[-1], "id", "left_anti").join(gone[-1].select(F.col("id").alias("head")), "head", "left_anti")
+        edges = written(left.select("id", "head"), "near-edges")
+    return gone
+
+
 def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`df` less the copies: of each group of near-duplicate texts one row stays, with all its columns.
 
     Rows with equal word sequences are copies; those with the smallest key of them stay (rows that share a key are one
     document, and stay or go together). Texts without words are no copies of each other and all stay, as do rows with a
     null key.
-    For other texts, `SPACES` independent fingerprints over their word sets, linked at `NEAR_BITS` bits in any of them, and
-    `BANDS` bands of minimum hashes of their shingles, linked where one is equal, propose groups. In each group the text nearest to the group's bitwise majority is its centre; a text whose Jaccard similarity to
-    the centre's five-word shingles is 0.8 or more goes. The rest of the group is regrouped around a new centre until a round
-    removes nothing. So a text goes only for one that stays and is that similar, and the work per round is linear.
+    Other texts are proposed to each other if they share one of `BANDS` bands of minimum hashes, and compared by the Jaccard
+    similarity of their five-word shingles. A text goes only for one that stays and has 0.8 or more, and no two proposed
+    texts as similar as that both stay.
     """
     rows = df.filter(F.col(key).isNotNull() & (F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x09-\x0D]", " ")) != ""))
-    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _word_prints(text).alias("prints"), _bands(text).alias("bands")), "near-prints")
-    firsts = written(
-        prints.groupBy("words").agg(F.min("id").alias("id"), F.first("prints").alias("prints"), F.first("bands").alias("bands")), "near-firsts"
-    )
+    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _bands(text).alias("bands")), "near-prints")
+    firsts = written(prints.groupBy("words").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-firsts")
     copies = prints.join(firsts.select("words", F.col("id").alias("first")), "words").filter("id > first").select("id")
-    spaced = firsts.select("id", F.posexplode("prints").alias("space", "p"))
-    distinct = written(spaced.groupBy("space", "p").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "near-distinct")
-    close = links(distinct.select("space", "p"), NEAR_BITS, NEAR_REACH)
-    least_of = distinct.select("space", "p", "least")
-    between = close.join(least_of.withColumnsRenamed({"p": "a", "least": "id_a"}), ["space", "a"]).join(
-        least_of.withColumnsRenamed({"p": "b", "least": "id_b"}), ["space", "b"]
-    )
-    same = spaced.join(distinct.filter("n > 1"), ["space", "p"]).filter("id > least")
-    pairs = between.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).union(same.select(F.col("id").alias("a"), F.col("least").alias("b")))
-    keyed = firsts.select("id", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = pairs.union(keyed.join(shared, "key").filter("id > least").select(F.col("id").alias("a"), F.col("least").alias("b")))
-    groups = written(components(pairs).select(F.col("node").alias("id"), F.col("root").alias("group")), "near-groups")
     # a key that stands in several rows counts once, with one of its texts
-    members = groups.join(firsts.select("id", F.element_at("prints", 1).alias("p")), "id").dropDuplicates(["id"])
-    texts = rows.select(F.col(key).alias("id"), F.col(text).alias("of_id")).join(written(members, "near-members"), "id")
-    shingled = texts.select("id", "group", "p", _shingle_sets("of_id").alias("shingles"))
-    open_rows = written(shingled.dropDuplicates(["id"]), "near-open")
-    gone = None
-    while True:
-        narrow = open_rows.select("id", "group", "p")
-        ones = narrow.groupBy("group").agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(F.shiftright("p", b).bitwiseAND(1)).alias(f"b{b}") for b in range(BITS)]
-        )
-        centre_print = sum(
-            (F.when(F.col(f"b{b}") * 2 > F.col("n"), F.lit(_signed(1 << b)).cast("bigint")).otherwise(F.lit(0).cast("bigint")) for b in range(1, BITS)),
-            F.when(F.col("b0") * 2 > F.col("n"), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")),
-        )
-        middle = written(ones.filter("n > 1").select("group", centre_print.alias("middle")), "near-middle")
-        centre = (
-            narrow.join(middle, "group")
-            .groupBy("group")
-            .agg(F.min(F.struct(F.expr("bit_count(p ^ middle)").alias("off"), "id")).alias("best"))
-            .select("group", F.col("best.id").alias("centre"))
-        )
-        centres = written(centre.join(open_rows.select(F.col("id").alias("centre"), F.col("shingles").alias("of_centre")), "centre"), "near-centres")
-        shared = F.size(F.array_intersect("shingles", "of_centre"))
-        alike = shared >= SIMILARITY * (F.size("shingles") + F.size("of_centre") - shared)
-        compared = written(
-            open_rows.join(centres, "group").filter(F.col("id") != F.col("centre")).select("id", "group", "p", "shingles", alike.alias("alike")),
-            "near-compared",
-        )
-        removed = compared.filter("alike").select("id")
-        if not removed.limit(1).count():
-            break
-        gone = removed if gone is None else gone.union(removed)
-        open_rows = compared.filter("not alike").drop("alike")
-    dropped = copies if gone is None else copies.union(gone)
+    spread = firsts.dropDuplicates(["id"]).select("id", F.explode("bands").alias("key"))
+    shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    keyed = written(spread.join(shared, "key").select("id", "key"), "near-keyed")
+    members = written(keyed.select("id").distinct(), "near-members")
+    texts = rows.select(F.col(key).alias("id"), F.col(text).alias("of_id")).join(members, "id")
+    shingled = written(texts.select("id", _shingle_sets("of_id").alias("shingles")).dropDuplicates(["id"]), "near-shingles")
+    dropped = copies
+    for ids in _copies_among(keyed, shingled):
+        dropped = dropped.union(ids)
     return df.join(dropped.distinct().withColumnRenamed("id", key), key, "left_anti")

@@ -210,3 +210,20 @@ def test_near_copies_with_a_block_added_or_cut_go(spark):
         rows.append((group * 10 + 1, " ".join([base + new, new + base, base[n // 8 :]][group % 3])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert simhash.without_near_copies(df).count() == 60
+
+
+def test_pairs_far_from_the_centre_of_their_group_go(spark):
+    random.seed(23)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for group in range(6):
+        core = [random.choice(words) for _ in range(85)]
+        for k in range(7):  # 0.73 to each other, so in one group
+            tail = [random.choice(words) for _ in range(15)]
+            rows.append((group * 100 + k, " ".join(core + tail)))
+        rows.append((group * 100 + 50, " ".join(core + tail[:-1] + ["other"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in simhash.without_near_copies(df).collect()}
+    for group in range(6):
+        assert {group * 100 + k for k in range(6)} <= left
+        assert len({group * 100 + 6, group * 100 + 50} & left) == 1
