@@ -1,6 +1,7 @@
 """Licence scans: sparse TF-IDF cosine of notices to templates, then inheritance from the nearest ancestor directory.
 
-Texts are cut into segments (lines, and sentences within them). Terms are weighted by their inverse document frequency over
+Texts are cut into segments (lines, and sentences within them), and templates of several sentences are sought by each of them
+as well. Terms are weighted by their inverse document frequency over
 all documents; the frequencies are needed for the templates' terms only, other terms weigh like a term of one document. A
 segment's vector keeps all its terms, so a few licence words in a long sentence do not make a notice.
 
@@ -33,7 +34,7 @@ LICENCE_SHARE = 0.25  # of a document's words in notices, from which the query t
 FREQUENT = 0.5  # of all documents: a term of more has no weight
 
 # Short notices of common licences, by identifier.
-TEMPLATES = [
+NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License. See the LICENSE file for details."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -54,10 +55,22 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "Copyright. All rights reserved. No part of this work may be reproduced without permission."),
 ]
+# Sentences of the templates that state no licence by themselves.
+GENERAL = {"Copyright.", "See the LICENSE file for details.", "2.0."}
 
+_SEGMENT = r"(?<=[.!?])\s+|\n"
 _TERM = r"[^a-z0-9]+"
 
 
+def with_sentences(templates) -> list[tuple[str, str]]:
+    """The templates, and the sentences of those that have several, cut as documents are."""
+    cut = [(name, part) for name, body in templates for part in re.split(_SEGMENT, body) if part not in GENERAL and part != body]
+    return [*templates, *cut]
+
+
+TEMPLATES = with_sentences(NOTICES)
+
+
 def _terms_of(text: str) -> list[str]:
     return [t for t in re.split(_TERM, text.lower()) if t]
 
@@ -113,7 +126,7 @@ def notices(docs: DataFrame, key: str, text: str, templates=TEMPLATES, threshold
     segments = docs.select(
         F.col(key).alias("_key"),
         F.size(_terms(F.coalesce(F.col(text), F.lit("")))).alias("words"),
-        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"(?<=[.!?])\s+|\n")).alias("at", "segment"),
+        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), _SEGMENT)).alias("at", "segment"),
     ).withColumn("terms", _terms(F.col("segment")))
     likely = segments.filter(F.arrays_overlap("terms", _literals(prefix))) if prefix else segments.limit(0)
     # distinct terms with their counts

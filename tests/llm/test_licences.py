@@ -88,3 +88,18 @@ def test_query(spark, tables):
     assert len(rows) == len(docs)
     want = plain(docs)
     assert {r.doc_id: r.licence for r in rows if r.origin == "own"} == {k: v[0] for k, v in want.items()}
+
+
+def test_each_sentence_of_a_template_is_a_notice(spark):
+    """Documents hold single sentences, so templates of several are sought by sentences too, however many documents there are."""
+    lines = [
+        ("Proprietary", "All rights reserved."),
+        ("Proprietary", "No part of this work may be reproduced without permission."),
+        ("Apache-2.0", "You may not use this file except in compliance with the License."),
+        ("MIT", "Licensed under the MIT License."),
+    ]
+    rows = [(i, f"some words of row w{i}\n{line}\nand a last line") for i, (_, line) in enumerate(lines)]
+    rows += [(100 + i, f"Nothing of that kind in x{i}") for i in range(500)]
+    rows += [(901, "Copyright.")]
+    found = lc.notices(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert {r.doc_id: r.licence for r in found} == {i: name for i, (name, _) in enumerate(lines)}
