@@ -6,10 +6,13 @@ from saleslake.llm import (  # noqa: F401  (register)
     fingerprint,
     language,
     licences,
+    negatives,
     personal,
     pieces,
+    repetition,
     shuffle_shards,
     simhash,
+    spelling,
     toxicity,
     urls,
 )
