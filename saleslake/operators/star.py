@@ -108,8 +108,8 @@ def _with_key(lines: DataFrame, dim: DataFrame, columns: list[str], key: str) ->
     return lines.join(renamed, same, "left").drop(*[f"_{c}" for c in columns])
 
 
-def build_fact(lines: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Numbered lines (see number_lines) with the keys of all dimensions.
+def build_fact(lines: DataFrame, dims: dict[str, DataFrame], extra: list[str] | None = None) -> DataFrame:
+    """Numbered lines (see number_lines) with the keys of all dimensions, and the `extra` columns of the lines.
 
     A line meets a dimension on all columns that make its rows distinct (customers: id, name and segment), and NULL is
     a value like any other there. So each line finds one row of each dimension and occurs once in the fact; only a NULL
@@ -121,7 +121,7 @@ def build_fact(lines: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     joined = _with_key(joined, dims["dim_product"], ["product_id"], "product_key")
     joined = _with_key(joined, dims["dim_customer"], ["customer_id", "customer_name", "segment"], "customer_key")
     joined = _with_key(joined, dims["dim_order"], ["order_id"], "order_key")
-    return joined.select(*GOLD["fact_sales"])
+    return joined.select(*GOLD["fact_sales"], *(extra or []))
 
 
 def fact_data(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from saleslake.operators import quality, star
+from saleslake.operators import constraints, quality, star
+from saleslake.operators.constraints import NotNull, Reference, Unique
 from saleslake.operators.keys import first_per_key
+from saleslake.plans import loads, medallion
 from saleslake.plans.registry import LINES, query
+from saleslake.sources import published
 from saleslake.sources.order_lines import LINE_KEY, order_lines
+from saleslake.sources.shared import fresh_path
 
 _PRODUCTS = """select product_id, min(product_name) as product_name, min(category) as category,
     min(sub_category) as sub_category from lines group by product_id"""
@@ -345,3 +349,140 @@ def dq_star_fk(spark, folder):
     """References of the built fact table that meet no dimension row."""
     _, dims, fact = _star(spark, folder)
     return _stacked([quality.orphans(fact, c, dims[t], k, f"fact.{c}") for c, (t, k) in STAR_REFERENCES.items()])
+
+
+# --- loads after the first one ---
+
+# Lines in two loads, some of the first years arriving with the second; customers change their segment over the years.
+_SECOND = "order_id % 9 = 0 or order_date >= date '1995-06-01'"
+_MOVED = "case when (customer_id + year(order_date)) % 3 = 0 then 'Other' else segment end"
+
+
+def _two_loads(spark, folder, *columns):
+    lines = order_lines(spark, folder, *columns).withColumn("segment", F.expr(_MOVED))
+    second = F.coalesce(F.expr(_SECOND), F.lit(True))
+    return lines.filter(~second), lines.filter(second)
+
+
+def _versions_sql(name: str, condition: str) -> str:
+    """Periods of equal attributes of the customers of some lines."""
+    return f"""{name}_days as (select customer_id, order_date as day, max(customer_name) as customer_name, max(segment) as segment
+        from moved where {condition} and order_date is not null group by customer_id, order_date),
+    {name}_steps as (select *, lag(customer_name || '|' || segment) over (partition by customer_id order by day) as before from {name}_days),
+    {name} as (select customer_id, customer_name, segment, day as valid_from,
+        lead(day) over (partition by customer_id order by day) as valid_to
+        from {name}_steps where before is distinct from customer_name || '|' || segment)"""
+
+
+_LOADS = f"""{LINES}, moved as (select * replace ({_MOVED} as segment), case when {_SECOND} then 2 else 1 end as load from lines),
+    {_versions_sql('first_versions', 'load = 1')},
+    {_versions_sql('all_versions', 'true')},
+    first_history as (select row_number() over (order by customer_id, valid_from) as customer_version, * from first_versions),
+    carried as (select a.*, min(f.customer_version) as kept from all_versions a left join first_history f
+        on f.customer_id = a.customer_id and f.customer_name = a.customer_name and f.segment = a.segment
+        and f.valid_from >= a.valid_from and (a.valid_to is null or f.valid_from < a.valid_to) group by all),
+    history as (select coalesce(kept, (select count(*) from first_history)
+        + row_number() over (partition by kept is null order by customer_id, valid_from)) as customer_version,
+        customer_id, customer_name, segment, valid_from, valid_to from carried)"""
+
+
+@query("dim_customer_history", f"{_LOADS} select *, valid_to is null as is_current from history")
+def dim_customer_history(spark, folder):
+    """Periods of equal name and segment of each customer after two loads; those of the first load keep their keys."""
+    root = fresh_path(spark, "history")
+    name, of = "customer_history", loads.HISTORIES["customer_history"]
+    for number, lines in enumerate(_two_loads(spark, folder, "order_id", "order_date", "customer_id", "customer_name", "segment"), 1):
+        found = loads.extend_history(lines, root, name, of, "order_date", number)
+    return found.withColumn("is_current", F.col("valid_to").isNull())
+
+
+def _append_only_sql(name: str, key: str, columns: list[str], rows: str = "moved") -> str:
+    """Keys numbered by the load that first brought them, then by their natural columns."""
+    listed = ", ".join(columns)
+    return f"""{name} as (select row_number() over (order by first_load, {listed}) as {key}, {listed}
+        from (select {listed}, min(load) as first_load from {rows} group by {listed}))"""
+
+
+@query(
+    "fact_two_loads",
+    f"""{_LOADS}, days as (select load, order_date from moved union all select load, ship_date from moved),
+    {', '.join(_append_only_sql(n, k, c, 'days' if n == 'dim_date' else 'moved') for n, (k, c) in loads.KEYS.items())},
+    {_append_only_sql('product_history', 'product_version', ['product_id'])}
+    select l.load, row_number() over (order by l.load, {', '.join(f'l.{c}' for c in LINE_KEY)}) as fact_key, customer_key, product_key,
+        location_key, order_key, o.date_key as order_date_key, s.date_key as ship_date_key, product_version,
+        case l.load when 1 then f.customer_version else h.customer_version end as customer_version, cast(sales as double) as sales
+    from moved l join dim_customer using (customer_id, customer_name, segment) join dim_product using (product_id)
+    join dim_location using (country, state, region, market, city) join dim_order d on d.order_id = l.order_id
+    join dim_date o on o.order_date = l.order_date join dim_date s on s.order_date = l.ship_date
+    join product_history p on p.product_id = l.product_id
+    left join first_history f on l.load = 1 and f.customer_id = l.customer_id and l.order_date >= f.valid_from
+        and (f.valid_to is null or l.order_date < f.valid_to)
+    left join history h on l.load = 2 and h.customer_id = l.customer_id and l.order_date >= h.valid_from
+        and (h.valid_to is null or l.order_date < h.valid_to)""",
+)
+def fact_two_loads(spark, folder):
+    """The fact table after two published loads: all keys of the first load stay, and lines meet the version valid on their date."""
+    root = fresh_path(spark, "loads")
+    for lines in _two_loads(spark, folder):
+        loads.load_lines(lines, root)
+    return loads.read_star(spark, root)["fact"].select(
+        "load", "fact_key", "customer_key", "product_key", "location_key", "order_key", "order_date_key", "ship_date_key", "product_version",
+        "customer_version", F.col("sales").cast("double").alias("sales"),
+    )
+
+
+# A second version of the fact table with orphans, repeated and lost keys, by arithmetic on the keys.
+_SPOILT = {
+    "location_key": "case when product_key % 7 = 0 then -1 else location_key end",
+    "customer_key": "case when fact_key % 13 = 0 then null else customer_key end",
+    "fact_key": "case when fact_key % 10 = 0 then fact_key - 1 else fact_key end",
+}
+
+
+def _violations_sql(constraint, tables: dict[str, str]) -> str:
+    if isinstance(constraint, Unique):
+        columns = ", ".join(constraint.columns)
+        return f"(select count(*) from (select 1 from {tables[constraint.table]} group by {columns} having count(*) > 1))"
+    if isinstance(constraint, Reference):
+        return f"""(select count(*) from {tables[constraint.table]} where {constraint.column} is not null and {constraint.column}
+            not in (select {constraint.parent_column} from {tables[constraint.parent]}))"""
+    if isinstance(constraint, NotNull):
+        return f"(select count(*) from {tables[constraint.table]} where {constraint.column} is null)"
+    return f"(select abs((select count(*) from {tables[constraint.table]}) - (select count(*) from {tables[constraint.source]})))"
+
+
+def _attempt_sql(number: int, fact: str, data: str) -> str:
+    tables = {**{t: t for t in STAR_KEYS}, "fact_sales": fact, "fact_data": data, "lines": "lines"}
+    return " union all ".join(
+        f"select {number} as attempt, '{c.name}' as constraint_name, {_violations_sql(c, tables)} as violations"
+        for c in medallion.STAR_CONSTRAINTS
+    )
+
+
+_READABLE = """from {0} f join dim_order using (order_key) join dim_customer using (customer_key) join dim_product using (product_key)
+    join dim_location using (location_key)"""
+
+
+@query(
+    "dq_publish",
+    f"""{DIMS}, spoilt as (select * replace ({', '.join(f'{e} as {c}' for c, e in _SPOILT.items())}) from fact),
+    data as (select 1 {_READABLE.format('fact')}), spoilt_data as (select 1 {_READABLE.format('spoilt')}),
+    report as ({_attempt_sql(1, 'fact', 'data')} union all {_attempt_sql(2, 'spoilt', 'spoilt_data')})
+    select *, 1 as published_version, (select count(*) from fact) as readable_rows from report""",
+)
+def dq_publish(spark, folder):
+    """Two attempts to publish the star: the second one, with a spoilt fact table, fails, and readers keep the first."""
+    lines, dims, fact = _star(spark, folder)
+    gold = fresh_path(spark, "gold")
+    spoilt = fact.select(*[F.expr(_SPOILT.get(c, c)).alias(c) for c in fact.columns])
+    report = []
+    for attempt, table in enumerate((fact, spoilt), 1):
+        try:
+            tables = medallion.publish_star(lines, dims, table, gold)
+            found = constraints.enforce({**tables, "lines": lines}, medallion.STAR_CONSTRAINTS)
+        except constraints.Broken as broken:
+            found = broken.report
+        report += [(attempt, name, n, published.last_version(spark, gold)) for name, n in found.items()]
+    rows = published.read_published(spark, gold, "fact_sales").agg(F.count(F.lit(1))).scalar()
+    stated = spark.createDataFrame(report, "attempt int, constraint_name string, violations bigint, published_version int")
+    return stated.withColumn("readable_rows", rows)

@@ -1,0 +1,166 @@
+"""Loads after the first: stable keys, history, publishing only after checks."""
+
+from datetime import date, timedelta
+
+import pytest
+
+from saleslake.operators import constraints, history
+from saleslake.operators.constraints import NotNull, Reference, SameRows, Unique
+from saleslake.plans import loads, medallion
+from saleslake.sources import layers, published
+
+SCHEMA = "row_id int, order_id string, customer_id string, customer_name string, segment string, city string, order_date date, product_id string"
+
+
+def lines(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).selectExpr(
+        "*", "date_add(order_date, 2) as ship_date", "'First' as ship_mode", "'High' as order_priority", "'Italy' as country", "'L' as state",
+        "'South' as region", "'EU' as market", "concat('name of ', product_id) as product_name", "'F' as category", "'C' as sub_category",
+        "cast(1.5 as decimal(18,4)) as sales", "2 as quantity", "cast(0 as decimal(18,4)) as discount", "cast(1 as decimal(18,4)) as profit",
+        "cast(1 as decimal(18,4)) as shipping_cost",
+    )
+
+
+def day(n):
+    return date(2020, 1, 1) + timedelta(days=n)
+
+
+FIRST = [
+    (1, "A", "C5", "Ann", "Home", "Rome", day(0), "P3"), (2, "A", "C5", "Ann", "Home", "Rome", day(0), "P1"),
+    (3, "B", "C2", "Bob", "Office", "Oslo", day(40), "P1"), (4, "C", "C5", "Ann", "Office", "Rome", day(60), "P2"),
+    (5, "D", None, None, None, None, day(61), None),
+]
+SECOND = [
+    (6, "E", "C1", "Cat", "Home", "Bari", day(10), "P1"), (7, "F", "C5", "Ann", "Home", "Rome", day(100), "P0"),
+    (8, "G", "C5", "Ann", "Office", "Rome", day(50), "P2"), (9, "H", "C2", "Bob", "Office", "Oslo", day(20), "P1"),
+    (10, "I", "C2", "Bob", "Office", "Oslo", None, "P1"),
+]
+
+
+def test_keys_stay_and_history_follows_the_dates(spark, tmp_path):
+    root = str(tmp_path)
+    loads.load_lines(lines(spark, FIRST), root, ["row_id"])
+    before = loads.read_star(spark, root)
+    keys = {n: {tuple(r[c] for c in natural): r[key] for r in before[n].collect()} for n, (key, natural) in loads.KEYS.items()}
+    old = {(r.customer_id, r.segment, r.valid_from): r.customer_version for r in before["customer_history"].collect()}
+    assert old == {(None, None, day(61)): 1, ("C2", "Office", day(40)): 2, ("C5", "Home", day(0)): 3, ("C5", "Office", day(60)): 4}
+    facts = {r.fact_key: r for r in before["fact"].collect()}
+
+    assert loads.load_lines(lines(spark, SECOND), root, ["row_id"]) == 2
+    after = loads.read_star(spark, root)
+    for name, (key, natural) in loads.KEYS.items():
+        now = {tuple(r[c] for c in natural): r[key] for r in after[name].collect()}
+        assert keys[name].items() <= now.items()
+        assert sorted(now.values()) == list(range(1, len(now) + 1)), name
+    rows = {r.customer_version: r for r in after["customer_history"].collect()}
+    # C2 was seen earlier than the first load knew; C5 was in Office from day 50 on, and back at Home on day 100
+    assert {(r.customer_id, r.segment, r.valid_from, r.valid_to): k for k, r in rows.items()} == {
+        (None, None, day(61), None): 1, ("C2", "Office", day(20), None): 2, ("C5", "Home", day(0), day(50)): 3,
+        ("C5", "Office", day(50), day(100)): 4, ("C1", "Home", day(10), None): 5, ("C5", "Home", day(100), None): 6,
+    }
+    found = {r.fact_key: r for r in after["fact"].collect()}
+    assert all(found[k] == f for k, f in facts.items()) and sorted(found) == list(range(1, 11))
+    assert [found[k].customer_version for k in range(6, 11)] == [5, 6, 4, 2, None]
+    assert {r.load for r in found.values()} == {1, 2}
+
+
+def test_a_failed_load_is_not_seen_and_can_run_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    loads.load_lines(lines(spark, FIRST), root, ["row_id"])
+    with monkeypatch.context() as m:
+        m.setattr(loads, "CONSTRAINTS", [*loads.CONSTRAINTS, NotNull("fact", "order_date_key")])
+        with pytest.raises(constraints.Broken) as failed:
+            loads.load_lines(lines(spark, SECOND), root, ["row_id"])
+    assert {name for name, n in failed.value.report.items() if n} == {"not null fact.order_date_key"}
+    assert loads.read_star(spark, root)["fact"].count() == 5
+    loads.load_lines(lines(spark, SECOND[:2]), root, ["row_id"])
+    star = loads.read_star(spark, root)
+    assert star["fact"].count() == 7 and sorted(r.customer_key for r in star["dim_customer"].collect()) == [1, 2, 3, 4, 5]
+
+
+def test_history_in_many_loads_equals_history_at_once(spark, tmp_path):
+    rows = [(i, f"O{i}", f"C{i % 4}", "n", f"S{(i * 7 // 10) % 3}", "x", day((i * 37) % 90), "P") for i in range(80)]
+    of = loads.HISTORIES["customer_history"]
+    for number, part in enumerate((rows[:30], rows[30:31], rows[31:]), 1):
+        found = loads.extend_history(lines(spark, part), str(tmp_path / "a"), "customer_history", of, "order_date", number)
+    whole = loads.extend_history(lines(spark, rows), str(tmp_path / "b"), "customer_history", of, "order_date", 1)
+    plain = lambda df: sorted(tuple(r) for r in df.drop("customer_version").collect())
+    periods = [(r[0], r[3]) for r in found.select("customer_id", "customer_name", "segment", "valid_from").collect()]
+    assert [r[:4] for r in plain(found)] == [r[:4] for r in plain(whole)] and len(set(periods)) == len(periods)
+    assert found.select("customer_version").distinct().count() == found.count()
+
+
+def test_valid_at_finds_the_only_version(spark):
+    past = spark.createDataFrame(
+        [("a", 1, day(0), day(31)), ("a", 2, day(31), day(300)), ("a", 3, day(300), None), (None, 4, day(5), None), ("z", 5, day(900), None)],
+        "k string, v int, valid_from date, valid_to date",
+    )
+    asked = [("a", day(-1), None), ("a", day(0), 1), ("a", day(30), 1), ("a", day(31), 2), ("a", day(299), 2), ("a", day(300), 3), ("a", day(700), 3),
+             (None, day(6), 4), ("b", day(3), None), ("a", None, None), ("z", day(100), None)]
+    found = history.valid_at(spark.createDataFrame(asked, "k string, d date, want int"), past, ["k"], "d", "v").collect()
+    assert len(found) == len(asked) and all(r.v == r.want for r in found)
+
+
+def test_published_versions(spark, tmp_path):
+    root = str(tmp_path)
+
+    def build(value):
+        def write(place):
+            layers.write_gold(spark.range(value, value + 2), f"{place}/t")
+            return {"t": layers.read_gold(spark, f"{place}/t")}
+
+        return write
+
+    def refuse(tables):
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        published.read_published(spark, root, "t")
+    assert published.last_version(spark, root) == 0
+    published.publish_tables(spark, root, build(10), lambda tables: None)
+    with pytest.raises(ValueError):
+        published.publish_tables(spark, root, build(20), refuse)
+    assert [r.id for r in published.read_published(spark, root, "t").orderBy("id").collect()] == [10, 11]
+    published.publish_tables(spark, root, build(30), lambda tables: None)
+    assert [r.id for r in published.read_published(spark, root, "t").orderBy("id").collect()] == [30, 31]
+    with pytest.raises(Exception, match="(?i)exist"):
+        published.publish(spark, root, 2)
+    layers.create_database(spark, "shown", f"{root}/db")
+    published.point_views(spark, root, "shown", ["t"])
+    assert spark.table("shown.t").count() == 2
+    published.publish_tables(spark, root, build(40), lambda tables: None)
+    assert published.forget(spark, root) == [1] and published.versions(spark, root) == [2, 3]
+    assert published.read_published(spark, root, "t").count() == 2
+
+
+def test_constraints_report_each_break(spark):
+    tables = {
+        "p": spark.createDataFrame([(1,), (2,), (2,)], "id int"),
+        "c": spark.createDataFrame([(1, "x"), (9, None), (9, "x"), (None, "x")], "p_id int, name string"),
+    }
+    checks = [Unique("p", ("id",)), Unique("c", ("p_id", "name")), Reference("c", "p_id", "p", "id"), NotNull("c", "name"), SameRows("c", "p"), SameRows("p", "p")]
+    report = {r.constraint_name: r.violations for r in constraints.violations(tables, checks).collect()}
+    assert list(report.values()) == [1, 0, 2, 1, 1, 0]
+    with pytest.raises(constraints.Broken, match="not null c.name: 1"):
+        constraints.enforce(tables, checks)
+    assert constraints.enforce(tables, checks[-1:]) == {"as many rows p = p": 0}
+
+
+def test_gold_with_an_orphan_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    from saleslake.operators import star
+
+    gold = str(tmp_path)
+    medallion.to_gold(lines(spark, FIRST), gold, ["row_id"])
+    whole = star.build_fact
+
+    def torn(*args):
+        fact = whole(*args)
+        return fact.selectExpr(*["customer_key + 100 as customer_key" if c == "customer_key" else c for c in fact.columns])
+
+    monkeypatch.setattr(star, "build_fact", torn)
+    with pytest.raises(constraints.Broken, match="reference fact_sales.customer_key"):
+        medallion.to_gold(lines(spark, FIRST + SECOND), gold, ["row_id"])
+    assert published.read_published(spark, gold, "fact_sales").count() == 5
+    monkeypatch.undo()
+    medallion.to_gold(lines(spark, FIRST + SECOND), gold, ["row_id"])
+    assert published.read_published(spark, gold, "fact_data").count() == 10
