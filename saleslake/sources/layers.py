@@ -8,28 +8,30 @@ from saleslake.schema import all_text
 
 
 def read_bronze(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """CSV with a header line, every column text. Giving the header saves the job that would read it."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    """CSV with a header line, every column text. Giving the header saves the job that would read it; a file with another one is an
+    error then. Broken lines are not told from whole ones here, see `rescue.read_rescued`.
+    """
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
     if header:
-        reader = reader.schema(all_text(header))
+        reader = reader.schema(all_text(header)).option("enforceSchema", False)
     return reader.csv(path)
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_silver(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_silver(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """`partition_by` must be columns of few values, such as order_year; the rows go to their folder in one shuffle."""
     writer = df
     if partition_by:
         # REBALANCE splits a partition value that holds much of the data over several tasks
         writer = df.hint("rebalance", *partition_by)
-    out = writer.write.mode("overwrite")
+    out = writer.write.mode(mode)
     (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
 
 
