@@ -9,7 +9,9 @@ Start of the recursion: trend = (mean of months 13-24 - mean of months 1-12) / 1
 the means; the first mean, moved along the trend from the middle of the year, is the level of each month 1-12; season =
 difference to, or ratio with, that level. The recursion runs from month 13 on. A straight line with a fixed season is
 thus met without error.
-Parameters: the set of the grid with the least sum of squared one-step errors, the first in order if equal.
+Parameters: the set of the grid with the least sum of squared one-step errors, the first in order if equal. `refine` lets a bounded
+Nelder-Mead search go on from there: the simplices of all series of a batch move at once, and a series whose simplex has shrunk
+to a point stops, so its result does not depend on the others. The error never gets larger than that of the grid.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ RESULT = (
     "status string, alpha double, beta double, gamma double, sse double, steps int, level double, trend double, "
     "forecast array<double>"
 )
+# Limits of refined parameters, and the width of a simplex that counts as a point.
+BOUNDS, TOLERANCE = (1e-4, 0.9999), 1e-5
 _CHUNK = 1024  # series walked together; keeps the state of a chunk in the processor cache
 
 
@@ -44,10 +48,12 @@ def _mean(rows: np.ndarray) -> np.ndarray:
     return total / len(rows)
 
 
-def _walk(y: np.ndarray, grid, multiplicative: bool, horizon: int):
-    """y: months x series. Returns per series the chosen set, its error, level, trend and forecasts."""
+def _recursion(y: np.ndarray, sets: np.ndarray, multiplicative: bool):
+    """y: months x series; sets: (sets x 3) for all series, or (series x sets x 3). Returns errors, level, trend and seasons,
+    each of (series x sets).
+    """
     months, count = y.shape
-    alpha, beta, gamma = (np.array([p[i] for p in grid]) for i in range(3))
+    alpha, beta, gamma = sets[..., 0], sets[..., 1], sets[..., 2]
     keep_a, keep_b, keep_g = 1.0 - alpha, 1.0 - beta, 1.0 - gamma
     first, second = _mean(y[:PERIOD]), _mean(y[PERIOD : 2 * PERIOD])
     middle = (PERIOD + 1) / 2  # the mean of the first year stands for its middle
@@ -60,7 +66,7 @@ def _walk(y: np.ndarray, grid, multiplicative: bool, horizon: int):
         start = (second - first) / PERIOD
         season = [y[i] - (first + start * d) for i, d in enumerate(away)]
         first = first + start * (PERIOD - middle)
-    shape = (count, len(grid))
+    shape = (count, sets.shape[-2])
     level = np.broadcast_to(first[:, None], shape).copy()
     trend = np.broadcast_to(start[:, None], shape).copy()
     season = [np.broadcast_to(s[:, None], shape).copy() for s in season]
@@ -81,6 +87,56 @@ def _walk(y: np.ndarray, grid, multiplicative: bool, horizon: int):
             season[t % PERIOD] = gamma * rest + keep_g * old
         level = new_level
         sse += error * error
+    return sse, level, trend, season
+
+
+def _errors(y: np.ndarray, sets: np.ndarray, multiplicative: bool) -> np.ndarray:
+    sse = _recursion(y, sets, multiplicative)[0]
+    return np.where(np.isnan(sse), np.inf, sse)
+
+
+def refined(y: np.ndarray, start: np.ndarray, multiplicative: bool, steps: int) -> np.ndarray:
+    """Parameters (series x 3) of at most `steps` moves of a simplex per series from `start`, within `BOUNDS`."""
+    best = start.copy()
+    apart = np.where(start + 0.1 <= BOUNDS[1], 0.1, -0.1)[:, None, :] * np.vstack([np.zeros(3), np.eye(3)])
+    corners = np.clip(start[:, None, :] + apart, *BOUNDS)
+    errors = _errors(y, corners, multiplicative)
+    moving = np.arange(y.shape[1])
+    for _ in range(steps):
+        order = np.argsort(errors, axis=1, kind="stable")
+        errors = np.take_along_axis(errors, order, axis=1)
+        corners = np.take_along_axis(corners, order[:, :, None], axis=1)
+        best[moving] = corners[:, 0]
+        going = (corners.max(axis=1) - corners.min(axis=1)).max(axis=1) > TOLERANCE
+        if not going.any():
+            break
+        moving, corners, errors = moving[going], corners[going], errors[going]
+        centre, worst = corners[:, :3].mean(axis=1), corners[:, 3]
+        # reflection, expansion, and contractions to either side
+        tried = np.clip(np.stack([centre + k * (centre - worst) for k in (1.0, 2.0, 0.5, -0.5)], axis=1), *BOUNDS)
+        there = _errors(y[:, moving], tried, multiplicative)
+        least, second, last = errors[:, 0], errors[:, 2], errors[:, 3]
+        mirror, further, outer, inner = there.T
+        choice = np.where(
+            mirror < least, np.where(further < mirror, 1, 0),
+            np.where(mirror < second, 0, np.where(mirror < last, np.where(outer <= mirror, 2, 4), np.where(inner < last, 3, 4))),
+        )
+        taken = choice < 4
+        corners[taken, 3] = tried[taken, choice[taken]]
+        errors[taken, 3] = there[taken, choice[taken]]
+        if not taken.all():
+            shrunk = ~taken
+            corners[shrunk, 1:] = corners[shrunk, :1] + 0.5 * (corners[shrunk, 1:] - corners[shrunk, :1])
+            errors[shrunk, 1:] = _errors(y[:, moving[shrunk]], corners[shrunk, 1:], multiplicative)
+    else:
+        best[moving] = corners[np.arange(len(moving)), errors.argmin(axis=1)]
+    return best
+
+
+def _walk(y: np.ndarray, sets: np.ndarray, multiplicative: bool, horizon: int):
+    """y: months x series. Returns per series the chosen set, its error, level, trend and forecasts."""
+    months, count = y.shape
+    sse, level, trend, season = _recursion(y, sets, multiplicative)
     best = np.argmin(np.where(np.isnan(sse), np.inf, sse), axis=1)
     pick = (np.arange(count), best)
     level, trend = level[pick], trend[pick]
@@ -115,7 +171,7 @@ class _Fits:
         self.ahead = np.zeros((count, horizon))
         self.lengths = np.full(count, horizon)
 
-    def fit(self, y: np.ndarray, rows: np.ndarray, grid, multiplicative: bool, least: int, horizon: int) -> None:
+    def fit(self, y: np.ndarray, rows: np.ndarray, grid, multiplicative: bool, least: int, horizon: int, refine: int = 0) -> None:
         """Fit the series `y` (months x series), which are the given rows of the batch."""
         self.lengths[rows] = horizon
         status = np.full(len(rows), "ok", dtype=object)
@@ -131,8 +187,14 @@ class _Fits:
         for start in range(0, len(usable), _CHUNK):
             some = usable[start : start + _CHUNK]
             with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-                best, sse, level, trend, ahead = _walk(y[:, some], grid, multiplicative, horizon)
-            found = (*sets[best].T, sse, level, trend)
+                best, sse, level, trend, ahead = _walk(y[:, some], sets, multiplicative, horizon)
+                chosen = sets[best]
+                if refine:
+                    # the grid's set stays a candidate, and the first one, so the error cannot grow
+                    chosen = np.stack([chosen, refined(y[:, some], chosen, multiplicative, refine)], axis=1)
+                    best, sse, level, trend, ahead = _walk(y[:, some], chosen, multiplicative, horizon)
+                    chosen = chosen[np.arange(len(some)), best]
+            found = (*chosen.T, sse, level, trend)
             for name, values in zip(self.numbers, found):
                 self.numbers[name][rows[some]] = values
             self.ahead[rows[some], :horizon] = ahead.reshape(len(some), horizon)
@@ -163,10 +225,12 @@ def holt_winters(
     horizon: int | None = PERIOD,
     train: int | None = None,
     least: int = 2 * PERIOD,
+    refine: int = 0,
 ):
     """An Arrow UDF (positions, values, months) -> RESULT.
 
-    `train` fits on the first so many months only; with `horizon` None all later months are forecast. A series that cannot be fitted gets a status and no forecast,
+    `train` fits on the first so many months only; with `horizon` None all later months are forecast. `refine` is the number of
+    steps by which the grid's best set is improved. A series that cannot be fitted gets a status and no forecast,
     and leaves the others alone.
     """
 
@@ -181,7 +245,7 @@ def holt_winters(
             y = _matrix(
                 at if whole else at.take(pa.array(rows)), values if whole else values.take(pa.array(rows)), int(length)
             )
-            fits.fit(y[:train] if train else y, rows, grid, multiplicative, least, int(wanted[rows[0]]))
+            fits.fit(y[:train] if train else y, rows, grid, multiplicative, least, int(wanted[rows[0]]), refine)
         return fits.to_arrow()
 
     # equal input gives equal output; the mark keeps the optimizer from running it in a filter and then once more

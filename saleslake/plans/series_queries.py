@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from saleslake.functions.dates import month_label
 from saleslake.operators import forecast as fc
 from saleslake.operators import panel as panels
-from saleslake.operators.smoothing import GRID
+from saleslake.operators.smoothing import BOUNDS, GRID
 from saleslake.plans.registry import LINES, query
 from saleslake.sources.order_lines import order_lines
 
@@ -309,6 +309,36 @@ def hw_fit_multiplicative(spark, folder):
     )
 
 
+_STEPS = 200  # of the search for smoothing parameters
+
+
+def _refined_query(name: str, keys: list[str], multiplicative: bool) -> None:
+    by = ", ".join(keys)
+    scale = "1e6" if multiplicative else "1.0"
+
+    @query(
+        name,
+        f"""{_walk_sql(keys, ['sales'], multiplicative=multiplicative)} select {by}, round(e / {scale}::double, 2) as grid_sse,
+        true as never_above, true as within_bounds from fit join ids using (id)""",
+    )
+    def run(spark, folder):
+        """The error of the best set of the grid, and whether the refined parameters have no larger one."""
+        panel = _panel(spark, folder, keys, ["sales"])
+        grid = fc.fits(panel, keys, ["sales"], multiplicative=multiplicative).select(*keys, F.col("fit_sales").alias("g"))
+        fine = fc.fits(panel, keys, ["sales"], multiplicative=multiplicative, refine=_STEPS).select(*keys, F.col("fit_sales").alias("f"))
+        inside = F.least("f.alpha", "f.beta", "f.gamma") >= BOUNDS[0]
+        both = grid.filter("g.status = 'ok'").join(fine, keys, "left")
+        return both.select(
+            *keys, F.round(F.col("g.sse") / F.lit(float(scale)), 2).alias("grid_sse"),
+            F.coalesce(F.col("f.sse") <= F.col("g.sse"), F.lit(False)).alias("never_above"),
+            F.coalesce(inside & (F.greatest("f.alpha", "f.beta", "f.gamma") <= BOUNDS[1]), F.lit(False)).alias("within_bounds"),
+        )
+
+
+_refined_query("hw_refined_additive", COUNTRY, False)
+_refined_query("hw_refined_multiplicative", ["segment"], True)
+
+
 @query("fc_total_mul", _ahead_sql([], ["sales"], digits=2, multiplicative=True))
 def fc_total_mul(spark, folder):
     result = fc.forecast(_panel(spark, folder, [], ["sales"]), [], ["sales"], multiplicative=True)
