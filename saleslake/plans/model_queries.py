@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.measures import log_target, log_target_inverse
 from saleslake.operators import explore, features, models
+from saleslake.operators.boosting import Boosted
 from saleslake.plans.registry import LINES, query
 from saleslake.sources.order_lines import LINE_KEY, order_lines
 from saleslake.sources.shared import written
@@ -233,6 +234,85 @@ def ml_linear_two_features(spark, folder):
     )
 
 
+# --- second-order boosting ---
+
+_CODED = [*[c for c in features.NUMERIC if c != "sales"], *[f"{c}_idx" for c in features.CATEGORIES]]
+
+
+def _boosted_query(name: str, **settings) -> None:
+    @query(name)
+    def run(spark, folder):
+        train, test = features.split(written(_features(spark, folder), "features"), LINE_KEY)
+        coder = features.string_indexer().fit(train)
+        # categories as numbers, by falling frequency; the bins of many rare ones merge
+        coded = [coder.transform(part).select("sales", *_CODED) for part in (train, test)]
+        model = Boosted(_CODED, label="sales", **settings).fit(coded[0])
+        scored = model.transform(coded[1]).withColumnRenamed("sales", "label")
+        return written(models.score(scored, name), name)
+
+
+# the same rounds, depth and rate as `ml_gbt_deep`, and best leaf first with as many leaves as the library it stands for takes
+_boosted_query("ml_boost_deep", rounds=100, depth=6, rate=0.1)
+_boosted_query("ml_boost_leafwise", rounds=100, depth=12, leaves=31, rate=0.1)
+
+# Values of these are cut points themselves, so that SQL has the same bins.
+_EXACT = {"discount": [i / 100 for i in range(11)], "quantity": list(range(1, 51)), "line_no": list(range(1, 8))}
+_L2, _RATE = 1.0, 0.3
+
+
+def _split_sql(rows: str, name: str, only_best: bool) -> str:
+    """CTEs that split every node of `rows` (node, g, x0, x1, x2) once, or only the node with the largest gain; end in `name`."""
+    one = "where gain > 0 qualify row_number() over (partition by node order by gain desc, input, cut) = 1"
+    pick = f"select * from {name}_best order by gain desc, node limit 1" if only_best else f"select * from {name}_best"
+    return f"""{name}_hist as (select node, input, cut, sum(g) as g, count(*) as n from
+        (select node, unnest([0, 1, 2]) as input, unnest([x0, x1, x2]) as cut, g from {rows}) group by node, input, cut),
+    {name}_cuts as (select node, input, cut, sum(g) over w as gl, sum(n) over w as nl, sum(g) over (partition by node, input) as gt,
+        sum(n) over (partition by node, input) as nt from {name}_hist window w as (partition by node, input order by cut)),
+    {name}_best as (select * from (select node, input, cut, gl * gl / (nl + {_L2}::double) + (gt - gl) * (gt - gl) / (nt - nl + {_L2}::double)
+        - gt * gt / (nt + {_L2}::double) as gain from {name}_cuts where nl < nt) {one}),
+    {name}_pick as ({pick}),
+    {name} as (select r.* replace (case when p.node is null then r.node else 2 * r.node + cast(
+        (case input when 0 then x0 when 1 then x1 else x2 end) > cut as integer) end as node)
+        from {rows} r left join {name}_pick p on p.node = r.node)"""
+
+
+def _tree_sql(rows: str, name: str, splits: int, only_best: bool) -> str:
+    """CTEs of one tree over `rows` (y, score, x0, x1, x2); end in `name`, the rows with the score after the tree."""
+    parts = [f"{name}_0 as (select *, 1 as node, score - y as g from {rows})"]
+    parts += [_split_sql(f"{name}_{k}", f"{name}_{k + 1}", only_best) for k in range(splits)]
+    value = f"-{_RATE}::double * sum(g) / (count(*) + {_L2}::double)"
+    parts.append(f"{name}_leaf as (select node, {value} as v from {name}_{splits} group by node)")
+    parts.append(f"{name} as (select y, score + v as score, x0, x1, x2 from {name}_{splits} join {name}_leaf using (node))")
+    return ", ".join(parts)
+
+
+_EXACT_ROWS = f"""{LINES}, d as (select cast(sales as double) as y, cast(discount as double) as x0, cast(quantity as double) as x1,
+    cast(line_no as double) as x2 from lines),
+    start as (select y, (select avg(y) from d) as score, x0, x1, x2 from d)"""
+_EXACT_RESULT = """select x0 as discount, x1 as quantity, x2 as line_no, count(*) as line_count, round(avg(score), 4) as prediction
+    from {} group by all"""
+
+
+def _exact_query(name: str, sql: str, **settings) -> None:
+    @query(name, f"{_EXACT_ROWS}, {sql}")
+    def run(spark, folder):
+        """Boosting whose trees SQL can grow as well, on three inputs with a bin for every value."""
+        lines = order_lines(spark, folder, "sales", *_EXACT).select(*[F.col(c).cast("double").alias(c) for c in ("sales", *_EXACT)])
+        model = Boosted(list(_EXACT), label="sales", rate=_RATE, l2=_L2, edges=_EXACT, **settings).fit(lines)
+        groups = explore.line_counts(lines, *_EXACT)
+        return model.transform(groups).withColumn("prediction", F.round("prediction", 4))
+
+
+_exact_query(
+    "ml_boost_two_rounds",
+    f"{_tree_sql('start', 'one', 2, False)}, {_tree_sql('one', 'two', 2, False)} {_EXACT_RESULT.format('two')}",
+    rounds=2, depth=2,
+)
+_exact_query(
+    "ml_boost_four_leaves", f"{_tree_sql('start', 'one', 3, True)} {_EXACT_RESULT.format('one')}", rounds=1, depth=3, leaves=4,
+)
+
+
 _NUMERIC_PLANNED = [
     "order_month", "order_year", "quantity_n", "sales_lag_1", "sales_rolling_avg_3m", "is_holiday", "rfm_score",
 ]

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.LLM_QUERIES}
 ORACLES = {n: q for n, q in entry.oracle_sql().items() if n not in entry.LLM_ORACLES}
 # fits that take long; their operators have tests of their own in test_models.py
-LONG = {"ml_gbt_deep", "ml_gbt_plain", "ml_adaboost", "ml_cv_grid"}
+LONG = {"ml_gbt_deep", "ml_gbt_plain", "ml_adaboost", "ml_cv_grid", "ml_boost_deep", "ml_boost_leafwise"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 
