@@ -1,9 +1,12 @@
 """Licence scans: sparse TF-IDF cosine of notices to templates, then inheritance from the nearest ancestor directory.
 
 Texts are cut into segments (lines, and sentences within them), and templates of several sentences are sought by each of them
-as well. Terms are weighted by their inverse document frequency over
-all documents; the frequencies are needed for the templates' terms only, other terms weigh like a term of one document. A
-segment's vector keeps all its terms, so a few licence words in a long sentence do not make a notice.
+as well. Terms are weighted by their inverse document frequency over all documents, ln(1 + (n + 1) / (df + 1)), which never
+falls to 0: a notice that every document holds is found in every document. The frequencies are needed for the templates' terms
+only, other terms weigh like a term of no document. A segment's vector keeps all its terms, so a few licence words in a long
+sentence do not make a notice. A line `SPDX-License-Identifier: <id>` is a notice of that licence with score 1.
+
+Rows that are made from a text hold one segment each, and never the text.
 
 Which segments are scored follows from the weights by prefix filtering. A segment which shares none of a template's
 heaviest terms has a cosine of at most the norm of the other terms; the heaviest terms are taken until that is below
@@ -31,7 +34,6 @@ from saleslake.sources.shared import written
 
 THRESHOLD = 0.6
 LICENCE_SHARE = 0.25  # of a document's words in notices, from which the query takes it as a licence file
-FREQUENT = 0.5  # of all documents: a term of more has no weight
 
 # Short notices of common licences, by identifier.
 NOTICES = [
@@ -60,6 +62,7 @@ GENERAL = {"Copyright.", "See the LICENSE file for details.", "2.0."}
 
 _SEGMENT = r"(?<=[.!?])\s+|\n"
 _TERM = r"[^a-z0-9]+"
+_SPDX = r"(?i)SPDX-License-Identifier:\s*\(?([A-Za-z0-9][A-Za-z0-9.+-]*)"
 
 
 def with_sentences(templates) -> list[tuple[str, str]]:
@@ -84,16 +87,17 @@ def _literals(values) -> Column:
 
 
 def inverse_frequencies(docs: DataFrame, text: str, vocabulary: set[str]) -> tuple[dict[str, float], float]:
-    """ln((n + 1) / (df + 1)) of the terms over all rows, and the weight of a term of no other document.
+    """ln(1 + (n + 1) / (df + 1)) of the terms over all rows, and the weight of a term of no document.
 
-    One number per template term reaches the driver. Frequent terms have weight 0.
+    One number per template term reaches the driver.
     """
-    held = docs.select(F.array_intersect(_literals(vocabulary), _terms(F.coalesce(F.col(text), F.lit("")))).alias("held"))
-    found = held.select(F.explode("held").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), _SEGMENT)
+    # of each segment only what the vocabulary holds
+    held = F.array_distinct(F.flatten(F.transform(parts, lambda s: F.array_intersect(_literals(vocabulary), _terms(s)))))
+    found = docs.select(F.explode(held).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     n = docs.count()
     df = {r["term"]: r["n"] for r in found.collect()}
-    weights = {t: math.log((n + 1) / (df.get(t, 0) + 1)) for t in vocabulary}
-    return {t: w if df.get(t, 0) <= FREQUENT * n else 0.0 for t, w in weights.items()}, math.log(max(2, n + 1))
+    return {t: math.log(1 + (n + 1) / (df.get(t, 0) + 1)) for t in vocabulary}, math.log(n + 2)
 
 
 def heaviest(vector: dict[str, float], threshold: float) -> set[str]:
@@ -123,11 +127,9 @@ def notices(docs: DataFrame, key: str, text: str, templates=TEMPLATES, threshold
     # as many rows as the templates have terms
     small = docs.sparkSession.createDataFrame(rows, "template int, term string, weight double")
     square = F.create_map(*[F.lit(x) for t in sorted(vocabulary) for x in (t, weights[t] ** 2)])
-    segments = docs.select(
-        F.col(key).alias("_key"),
-        F.size(_terms(F.coalesce(F.col(text), F.lit("")))).alias("words"),
-        F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), _SEGMENT)).alias("at", "segment"),
-    ).withColumn("terms", _terms(F.col("segment")))
+    # below the explode, where the whole text still is
+    counted_words = docs.select(F.col(key).alias("_key"), F.regexp_count(F.lower(F.col(text)), F.lit("[a-z0-9]+")).alias("words"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    segments = counted_words.select("_key", "words", F.posexplode(F.split("_text", _SEGMENT)).alias("at", "segment")).withColumn("terms", _terms(F.col("segment")))
     likely = segments.filter(F.arrays_overlap("terms", _literals(prefix))) if prefix else segments.limit(0)
     # distinct terms with their counts
     spread = likely.select("_key", "at", "words", F.size("terms").alias("length"), F.explode("terms").alias("term"))
@@ -145,11 +147,15 @@ def notices(docs: DataFrame, key: str, text: str, templates=TEMPLATES, threshold
         .withColumn("score", F.round(F.col("dot") / F.sqrt("norm"), 6))
         .filter(F.col("score") >= threshold)
     )
-    best = scored.groupBy("_key", "at", "words", "length").agg(F.max(F.struct("score", (-F.col("template")).alias("t"))).alias("best"))
-    named = F.element_at(F.array(*[F.lit(name) for name, _ in templates]), 1 - F.col("best.t"))
-    return best.groupBy("_key").agg(
-        F.max("best").alias("best"), (F.sum("length") / F.max("words")).alias("share")
-    ).select(F.col("_key").alias(key), named.alias("licence"), F.col("best.score").alias("score"), F.least("share", F.lit(1.0)).alias("share"))
+    named = F.element_at(F.array(*[F.lit(name) for name, _ in templates]), F.col("template") + 1)
+    by_text = scored.select("_key", "at", "words", "length", "score", (-F.col("template")).alias("place"), named.alias("licence"))
+    stated = segments.withColumn("licence", F.regexp_extract("segment", _SPDX, 1)).filter("licence != ''")
+    by_line = stated.select("_key", "at", "words", F.size("terms").alias("length"), F.lit(1.0).alias("score"), F.lit(1).alias("place"), "licence")
+    rank = F.max(F.struct("score", "place", "licence")).alias("best")
+    best = by_text.unionByName(by_line).groupBy("_key", "at", "words", "length").agg(rank)
+    return best.groupBy("_key").agg(F.max("best").alias("best"), (F.sum("length") / F.max("words")).alias("share")).select(
+        F.col("_key").alias(key), "best.licence", "best.score", F.least("share", F.lit(1.0)).alias("share")
+    )
 
 
 def inherited(files: DataFrame, licence_file: Column, key: str, path: str) -> DataFrame:
@@ -159,29 +165,27 @@ def inherited(files: DataFrame, licence_file: Column, key: str, path: str) -> Da
     slashes; the root is the empty one.
     """
     directory = F.regexp_extract(F.col(path), r"\A(.*)/[^/]*\z", 1)
-    rows = files.withColumn("_dir", directory)
-    stated = rows.filter(licence_file & F.col("licence").isNotNull() & F.col("_dir").isNotNull())
+    # the rows' own columns stay in one, apart from those that are made here
+    rows = files.select(F.struct(*files.columns).alias("file"), directory.alias("dir"), licence_file.alias("states"))
+    licence, score, own = F.col("file.licence"), F.col("file.score"), F.col("file.licence").isNotNull()
+    stated = rows.filter(F.col("states") & own & F.col("dir").isNotNull())
     # the highest score, then the first name
-    rank = F.struct((-F.col("score")).alias("s"), F.col(path).alias("p"), F.col("licence").alias("l"))
-    of_dir = written(stated.groupBy("_dir").agg(F.min(rank).alias("r")).select("_dir", F.col("r.l").alias("dir_licence"), F.col("r.s").alias("dir_score")), "licences-stated")
-    wanting = rows.filter(F.col("licence").isNull() & F.col("_dir").isNotNull()).select("_dir").distinct()
-    parts = F.split("_dir", "/")
+    rank = F.struct((-score).alias("s"), F.col(f"file.{path}").alias("p"), licence.alias("l"))
+    of_dir = written(stated.groupBy("dir").agg(F.min(rank).alias("r")).select(F.col("dir").alias("up"), F.col("r.l").alias("dir_licence"), F.col("r.s").alias("dir_score")), "licences-stated")
+    wanting = rows.filter(~own & F.col("dir").isNotNull()).select("dir").distinct()
+    parts = F.split("dir", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    above = wanting.select("_dir", F.posexplode(ancestors).alias("depth", "up"))
-    met = above.join(of_dir.withColumnRenamed("_dir", "up"), "up")
+    met = wanting.select("dir", F.posexplode(ancestors).alias("depth", "up")).join(of_dir, "up")
     nearest = written(
-        met.groupBy("_dir")
-        .agg(F.max_by(F.struct("up", "dir_licence", "dir_score"), "depth").alias("n"))
-        .select("_dir", "n.up", "n.dir_licence", "n.dir_score"),
+        met.groupBy("dir").agg(F.max_by(F.struct("up", "dir_licence", "dir_score"), "depth").alias("n")).select("dir", "n.*"),
         "licences-nearest",
     )
-    own = F.col("licence").isNotNull()
-    return rows.join(nearest, "_dir", "left").select(
-        *[c for c in files.columns if c not in ("licence", "score", "origin", "from_path")],
-        F.coalesce("licence", "dir_licence").alias("licence"),
-        F.coalesce("score", -F.col("dir_score")).alias("score"),
+    return rows.join(nearest, "dir", "left").select(
+        *[F.col("file")[c].alias(c) for c in files.columns if c not in ("licence", "score", "origin", "from_path")],
+        F.coalesce(licence, "dir_licence").alias("licence"),
+        F.coalesce(score, -F.col("dir_score")).alias("score"),
         F.when(own, "own").when(F.col("dir_licence").isNotNull(), "inherited").otherwise("none").alias("origin"),
-        F.when(own, F.col(path)).otherwise(F.col("up")).alias("from_path"),
+        F.when(own, F.col(f"file.{path}")).otherwise(F.col("up")).alias("from_path"),
     )
 
 

@@ -15,9 +15,7 @@ def plain(docs):
 
     def weight(term):
         known = any(term in lc._terms_of(body) for _, body in lc.TEMPLATES)
-        if not known:
-            return math.log(max(2, n + 1))
-        return math.log((n + 1) / (df[term] + 1)) if df[term] <= lc.FREQUENT * n else 0.0
+        return math.log(1 + (n + 1) / (df[term] * known + 1))
 
     def vector(text):
         return {t: k * weight(t) for t, k in Counter(lc._terms_of(text)).items()}
@@ -103,3 +101,44 @@ def test_each_sentence_of_a_template_is_a_notice(spark):
     rows += [(901, "Copyright.")]
     found = lc.notices(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
     assert {r.doc_id: r.licence for r in found} == {i: name for i, (name, _) in enumerate(lines)}
+
+
+def test_notices_that_all_documents_hold(spark):
+    for rows in ([(i, f"Text {i}.\nReleased under the MIT License.") for i in range(5)], [(1, "Released under the MIT License.")]):
+        found = lc.notices(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+        assert [r.licence for r in found] == ["MIT"] * len(rows)
+
+
+def test_spdx_lines(spark):
+    rows = [
+        (1, "// SPDX-License-Identifier: MIT\nint main() {}"), (2, "# spdx-license-identifier: (Apache-2.0 OR MIT)\nLicensed under CC BY-NC 4.0."),
+        (3, "SPDX-License-Identifier:"), (4, "no such line"),
+    ]
+    found = lc.notices(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()
+    assert {r.doc_id: (r.licence, r.score) for r in found} == {1: ("MIT", 1.0), 2: ("Apache-2.0", 1.0)}
+
+
+def test_very_long_texts(spark):
+    """A text of 20 MB in many lines, one without line ends, and one that is a single sentence."""
+    line = "some more words of a quite ordinary line number"
+    long = "\n".join(f"{line} {i}" for i in range(380_000)) + "\nReleased under the MIT License."
+    flat = " ".join(f"{line} {i}." for i in range(100_000)) + " Released under the MIT License."
+    rows = [(1, long), (2, flat), (3, "word " * 1_000_000)]
+    assert len(long) > 20e6
+    df = spark.createDataFrame([(i,) for i, _ in rows], "doc_id long")
+    texts = spark.sparkContext.broadcast(dict(rows))
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    df = df.withColumn("text", F.udf(lambda i: texts.value[i], T.StringType())("doc_id"))
+    assert {r.doc_id: r.licence for r in lc.notices(df, "doc_id", "text").collect()} == {1: "MIT", 2: "MIT"}
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a/b.txt", None, 0.0), (2, "a/LICENSE", "MIT", 0.9)], "doc_id long, path string, licence string, score double")
+    for name in ("dir", "dir_licence", "dir_score", "_dir", "up", "n", "file", "states", "from_path"):
+        from pyspark.sql import functions as F
+
+        out = lc.inherited(df.withColumn(name, F.lit(7)), F.col("doc_id") == 2, "doc_id", "path").collect()
+        assert {r.doc_id: (r.licence, r.origin) for r in out} == {1: ("MIT", "inherited"), 2: ("MIT", "own")}
+        assert name == "from_path" or all(r[name] == 7 for r in out)
