@@ -28,15 +28,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def worker_memory() -> dict:
-    """What a Python worker remembers from task to task.
+def worker_memory(owner: str) -> dict:
+    """What a Python worker remembers from task to task for one operator; another operator's memory goes first.
 
     Functions travel by value, so their module's own variables are new in each task; this dictionary is not.
     """
     import sys
     import types
 
-    return sys.modules.setdefault("_saleslake_worker_memory", types.ModuleType("memory")).__dict__
+    held = sys.modules.setdefault("_saleslake_worker_memory", types.ModuleType("memory"))
+    if getattr(held, "owner", None) != owner:
+        held.owner, held.memory = owner, {}
+        pa.default_memory_pool().release_unused()
+    return held.memory
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

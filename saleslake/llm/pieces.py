@@ -21,17 +21,19 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleslake.llm.common import joined, list_array, query, slices, strings, table, worker_memory
+from saleslake.llm.common import list_array, query, slices, strings, table, worker_memory
 
 MARK = "▁"
-# Entries that a worker remembers at most; a full memo starts again.
-REMEMBERED_WORDS = 500_000
+# Entries and characters that a worker remembers at most; a full memo starts again.
+REMEMBERED_WORDS = 200_000
+REMEMBERED_CHARACTERS = 1 << 24
 PAIR_BITS = 21
 
 
@@ -120,7 +122,7 @@ class PrefixTable:
         self.runs: dict[int, np.ndarray] = {}
 
     def _forget(self) -> None:
-        self.index, self.flat = _Index(), np.zeros(0, dtype=np.int32)
+        self.index, self.flat, self.characters = _Index(), np.zeros(0, dtype=np.int32), 0
         self.starts, self.sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def _automaton(self, entries: list[str]) -> None:
@@ -294,6 +296,7 @@ class PrefixTable:
                 flat.append(ids)
                 total += len(ids)
         self.flat = np.concatenate(flat)
+        self.characters += sum(map(len, segments))
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
         assert len(self.sizes) == first + len(segments)
 
@@ -309,7 +312,7 @@ class PrefixTable:
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one text after another, and the number of ids of each."""
-        if len(self.index) > REMEMBERED_WORDS:
+        if len(self.index) > REMEMBERED_WORDS or self.characters > REMEMBERED_CHARACTERS:
             self._forget()
         before, at, counts = len(self.index), [], []
         for text in texts:
@@ -349,25 +352,31 @@ def _of_worker(pieces, scores, kinds) -> PrefixTable:
     import codecs
 
     codecs.register_error("piecewise", _bytewise)
-    memory, key = worker_memory(), hash((pieces, scores, kinds))
-    if memory.get("pieces_key") != key:
-        memory["pieces_key"], memory["pieces"] = key, PrefixTable(pieces, scores, kinds)
-    return memory["pieces"]
+    memory, key = worker_memory("pieces"), hash((pieces, scores, kinds))
+    if memory.get("key") != key:
+        memory["key"], memory["table"] = key, PrefixTable(pieces, scores, kinds)
+    return memory["table"]
+
+
+CODED = "ids array<int>, decoded string"
 
 
 class Pieces:
-    """The column functions `encode` and `decode` of one model file. The vocabulary, bounded by that file, is broadcast."""
+    """The column functions of one model file: `encode`, `decode`, and `coded`, which does both and encodes each text once.
+
+    The vocabulary, bounded by that file, is broadcast. Results leave a worker in pieces of the size of `slices`.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         shared = spark.sparkContext.broadcast(vocabulary(path))
 
         @F.arrow_udf("array<int>")
-        def encode(texts: pa.Array) -> pa.Array:
-            of, pieces = _of_worker(*shared.value), []
-            for piece in slices(texts):
-                ids, counts = of.encoded(strings(piece))
-                pieces.append(list_array(pa.array(ids), counts))
-            return joined(pieces, pa.list_(pa.int32()))
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            of = _of_worker(*shared.value)
+            for texts in batches:
+                for piece in slices(texts):
+                    ids, counts = of.encoded(strings(piece))
+                    yield list_array(pa.array(ids), counts)
 
         @F.arrow_udf("string")
         def decode(ids: pa.Array) -> pa.Array:
@@ -375,7 +384,19 @@ class Pieces:
             # row by row: the ids of a whole batch as Python integers would take many times its size
             return pa.array([of.decoded(row.as_py() or []) for row in ids], pa.string())
 
-        self.encode, self.decode = encode, decode
+        @F.arrow_udf(CODED)
+        def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            of = _of_worker(*shared.value)
+            for texts in batches:
+                for piece in slices(texts):
+                    ids, counts = of.encoded(strings(piece))
+                    ends = np.cumsum(counts).tolist()
+                    plain = [of.decoded(ids[a:z].tolist()) for a, z in zip([0, *ends], ends, strict=False)]
+                    columns = [list_array(pa.array(ids), counts), pa.array(plain, pa.string())]
+                    yield pa.StructArray.from_arrays(columns, names=["ids", "decoded"])
+
+        # equal input gives equal output; the mark keeps the optimizer from running it once for each use of its result
+        self.encode, self.decode, self.coded = encode.asNondeterministic(), decode, coded.asNondeterministic()
 
 
 def with_ids(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -399,10 +420,10 @@ def model_path() -> str:
 def op4_piece_ids(spark, folder):
     """Every document encoded and decoded again, as counts and digests."""
     model = Pieces(spark, model_path())
-    coded = table(spark, folder, "documents").select("doc_id", model.encode("text").alias("ids"))
-    return coded.select(
+    found = table(spark, folder, "documents").select("doc_id", model.coded("text").alias("coded"))
+    return found.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(model.decode("ids"), 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("coded.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )

@@ -67,3 +67,25 @@ def test_query(spark, tables, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_each_text_is_encoded_once(spark, tables):
+    """One call per batch of input in the plan, and every text in one call."""
+    plan = QUERIES["op4_piece_ids"](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    calls = [line for line in plan.splitlines() if "ArrowEvalPython" in line and "[" in line]
+    assert len(calls) == 1 and calls[0].count("coded(") == 1
+
+
+def test_results_leave_in_pieces(spark, library):
+    df = spark.createDataFrame([(i, f"text {i} " + "word " * 200_000) for i in range(6)], "doc_id long, text string").coalesce(1)
+    coded = df.select("doc_id", pieces.Pieces(spark, pieces.model_path()).coded("text").alias("c")).select("doc_id", "c.*").collect()
+    wanted = {i: library.encode(f"text {i} " + "word " * 200_000) for i in range(6)}
+    assert {r.doc_id: r.ids for r in coded} == wanted and all(r.decoded == library.decode(r.ids) for r in coded)
+
+
+def test_a_long_word_is_not_kept_for_good(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED_CHARACTERS", 100)
+    small = pieces.PrefixTable(*pieces.vocabulary(pieces.model_path()))
+    for text in ["abc" * 100, "one two", "three"]:
+        assert small.encoded([text])[0].tolist() == library.encode(text)
+    assert small.characters < 100
