@@ -7,10 +7,14 @@ language is a candidate for a word only if it writes a fair share of its letters
 text, Viterbi decoding with a penalty for each change of language labels every word, so mixed texts fall into spans. The
 prediction is the language with most letters, its score the share of them weighted by how clearly words speak for it.
 
-Characters are handled as arrays of code points, many texts at a time. In decoding, all texts of a slice advance one word at
-a time together.
+Characters are handled as arrays of code points, many texts at a time. The n-grams of each distinct word of a group of texts are
+hashed and scored once. In decoding, all texts of a slice advance one word at a time together.
 
-Defined results: a null text, or one without letters, is `und` with score 0; without any labelled text, everything is `und`.
+Memory: a task holds the counts of at most `HELD` languages, and slices and groups of texts get smaller as the model gets more
+languages; the model itself has a megabyte per language.
+
+Defined results: a null text, or one without letters, is `und` with score 0 (combining marks alone are no letters); without any
+labelled text, everything is `und`. Repeated rows are learnt from, and predicted, each by itself.
 A word in a script of no known language takes part in no decision. Ties go to the first language in alphabetical order.
 """
 
@@ -29,7 +33,9 @@ BUCKET_BITS = 16
 SWITCH = 6.0  # penalty of a change of language, in the unit of word scores
 SCRIPT_SHARE = 0.001
 SMOOTHING = 0.5
-WORD_PIECE = 1 << 19  # code points whose n-grams are held at a time
+WORD_PIECE = 1 << 19  # code points of a group of texts
+HELD = 32  # languages whose counts a task holds at a time
+PAD = max(GRAMS) - 1
 RESULT = T.StructType(
     [
         T.StructField("lang_pred", T.StringType()),
@@ -56,22 +62,22 @@ _TABLE = 0x30000  # letters beyond are treated alike
 
 
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By code point: its lower case where that is one character, whether it is a letter, and its script."""
-    memory = worker_memory()
+    """By code point: its lower case where that is one character, whether it is a letter (1) or a combining mark (2), and its script."""
+    memory = worker_memory("language")
     if "characters" not in memory:
         memory["characters"] = _character_table()
     return memory["characters"]
 
 
 def _character_table() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lower, letter = np.arange(_TABLE, dtype=np.uint32), np.zeros(_TABLE, dtype=bool)
+    lower, letter = np.arange(_TABLE, dtype=np.uint32), np.zeros(_TABLE, dtype=np.uint8)
     for code in range(_TABLE):
         c = chr(code)
         if c.isalpha():
-            letter[code] = True
+            letter[code] = 1
             if len(low := c.lower()) == 1:
                 lower[code] = ord(low)
-    letter[0x0300:0x0370] = True  # combining marks belong to their word
+    letter[0x0300:0x0370] = 2  # combining marks belong to their word, but make none
     starts = np.array([s for s, _ in SCRIPTS])
     numbers = np.array([0] + [n for _, n in SCRIPTS], dtype=np.uint8)
     return lower, letter, numbers[np.searchsorted(starts, np.arange(_TABLE), "right")]
@@ -84,24 +90,48 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(codes, _TABLE - 1), np.concatenate([[0], ends[:-1]]).astype(np.int64)
 
 
+_POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, dtype=np.uint64))
+
+
 class Words:
-    """The words (runs of letters) of some texts: where they start and end, and the n-gram buckets of their characters."""
+    """The words (runs of letters) of some texts, and the n-gram buckets of the distinct ones.
+
+    `starts` and `ends` are places in the joined texts, `of` numbers the distinct words; `distinct_starts` and `distinct_ends` are
+    their places in an array of their own, where `PAD` blanks stand before and behind each word.
+    """
 
     def __init__(self, texts: list[str]):
         lower, letter, script = _characters()
         codes, self.text_starts = _codes(texts)
-        inside = letter[codes]
-        edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-        self.starts, self.ends = edges[::2], edges[1::2]
+        kind = letter[codes]
+        edges = np.flatnonzero(np.diff((kind > 0).astype(np.int8), prepend=0, append=0))
+        starts, ends = edges[::2], edges[1::2]
+        letters = np.concatenate([[0], np.cumsum(kind == 1)])
+        real = letters[ends] > letters[starts]
+        self.starts, self.ends = starts[real], ends[real]
         self.text = np.searchsorted(self.text_starts, self.starts, "right") - 1
-        self.codes = np.where(inside, lower[codes], np.uint32(32))
+        lengths = self.ends - self.starts
         # a word counts as of the script of its first letter; only Latin words often hold more than one
         self.script = script[codes[self.starts]]
+        inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        places = inside + np.repeat(self.starts, lengths)
+        low = lower[codes[places]]
+        total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _POWERS[inside & 4095])])
+        stops = np.cumsum(lengths)
+        hashes = total[stops] - total[stops - lengths] + lengths.astype(np.uint64) * _POWERS[7]
+        _, first, self.of = np.unique(hashes, return_index=True, return_inverse=True)
+        self.first = first
+        size = lengths[first]
+        self.distinct_ends = np.cumsum(size + PAD)
+        self.distinct_starts = self.distinct_ends - size
+        self.codes = np.full(int(size.sum()) + PAD * (len(size) + 1), 32, dtype=np.uint32)
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        self.codes[within + np.repeat(self.distinct_starts, size)] = low[within + np.repeat((stops - lengths)[first], size)]
 
     def grams(self):
-        """For each n: the bucket of the n-gram that ends at each position, and the positions inside words where it lies whole.
+        """For each n: the bucket of the n-gram that ends at each position of the distinct words.
 
-        An n-gram may begin one place before its word, on the blank that marks the start; and the blank after a word ends some.
+        An n-gram may begin on blanks before its word, which mark the start; and the blank after a word ends some.
         """
         codes = self.codes.astype(np.uint64)
         rolling = np.zeros(len(codes), dtype=np.uint64)
@@ -113,17 +143,17 @@ class Words:
                 yield n, (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _pieces(texts: list[str]):
-    """Texts in groups of about `WORD_PIECE` characters; a longer text is cut at a blank, with its index kept."""
+def _pieces(texts: list[str], limit: int = WORD_PIECE):
+    """Texts in groups of about `limit` characters; a longer text is cut at a blank, with its index kept."""
     group, size = [], 0
     for i, text in enumerate(texts):
         at = 0
         while True:
-            stop = len(text) if len(text) - at <= WORD_PIECE else text.rfind(" ", at + 1, at + WORD_PIECE)
-            stop = at + WORD_PIECE if stop <= at and at < len(text) else stop
+            stop = len(text) if len(text) - at <= limit else text.rfind(" ", at + 1, at + limit)
+            stop = at + limit if stop <= at and at < len(text) else stop
             group.append((i, at, text[at:stop] if at or stop < len(text) else text))
             size += stop - at + 1
-            if size >= WORD_PIECE:
+            if size >= limit:
                 yield group
                 group, size = [], 0
             at = stop
@@ -134,8 +164,8 @@ def _pieces(texts: list[str]):
 
 
 def _word_places(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per word, first and one past the last position of the n-grams that count for it: they end within the word or just behind."""
-    return np.minimum(words.starts + max(0, n - 2), words.ends), words.ends + (1 if n > 1 else 0)
+    """Per distinct word, first and one past the last position of the n-grams that count for it: they end within it or just behind."""
+    return np.minimum(words.distinct_starts + max(0, n - 2), words.distinct_ends), words.distinct_ends + (1 if n > 1 else 0)
 
 
 def _sums(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -152,6 +182,14 @@ def train(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndar
     """
     size = len(GRAMS) << BUCKET_BITS
 
+    def taken(counts: dict[str, np.ndarray]):
+        for name, at in counts.items():
+            where = np.flatnonzero(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(where), pa.string()), pa.array(where), pa.array(at[where])], names=["lang", "at", "n"]
+            )
+        counts.clear()
+
     def counted(batches):
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -161,23 +199,25 @@ def train(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndar
                 start += len(piece)
                 for group in _pieces(strings(piece)):
                     words = Words([t for _, _, t in group])
-                    of = np.array([langs[i] for i, _, _ in group], dtype=object)[words.text]
-                    for name in set(of.tolist()):
-                        mine = of == name
+                    names, number = np.unique(np.array([langs[i] for i, _, _ in group]), return_inverse=True)
+                    of = number.ravel()[words.text]
+                    buckets = list(words.grams())
+                    for i, name in enumerate(names.tolist()):
+                        mine = of == i
+                        if name not in counts and len(counts) >= HELD:
+                            yield from taken(counts)
                         at = counts.setdefault(name, np.zeros(size + N_SCRIPTS, dtype=np.int64))
                         at[size:] += np.bincount(words.script[mine], (words.ends - words.starts)[mine], N_SCRIPTS).astype(np.int64)
-                        for k, (n, bucket) in enumerate(words.grams()):
-                            first, stop = _word_places(words, n)
-                            cover = np.zeros(len(bucket) + 1, dtype=np.int32)
-                            np.add.at(cover, first[mine], 1)
-                            np.add.at(cover, np.minimum(stop[mine], len(bucket)), -1)
-                            held = bucket[np.cumsum(cover[:-1]) > 0]
-                            at[k << BUCKET_BITS : k + 1 << BUCKET_BITS] += np.bincount(held, minlength=1 << BUCKET_BITS)
-        for name, at in counts.items():
-            where = np.flatnonzero(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(where), pa.string()), pa.array(where), pa.array(at[where])], names=["lang", "at", "n"]
-            )
+                        # each n-gram of a distinct word as often as the word occurs
+                        often = np.bincount(words.of[mine], minlength=len(words.first))
+                        held = np.flatnonzero(often)
+                        for k, (n, bucket) in enumerate(buckets):
+                            first, stop = (x[held] for x in _word_places(words, n))
+                            long = stop - first
+                            places = np.arange(long.sum()) + np.repeat(first - (np.cumsum(long) - long), long)
+                            found = np.bincount(bucket[places], np.repeat(often[held], long), 1 << BUCKET_BITS)
+                            at[k << BUCKET_BITS : k + 1 << BUCKET_BITS] += found.astype(np.int64)
+        yield from taken(counts)
 
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     found = rows.mapInArrow(counted, "lang string, at bigint, n bigint").groupBy("lang", "at").agg(F.sum("n").alias("n")).toArrow()
@@ -193,28 +233,29 @@ def train(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndar
 
 
 def word_scores(words: Words, weights: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-    """Per word and language; languages that do not write the word's script are out, all are alike where none does."""
-    total, count = np.zeros((len(words.starts), weights.shape[2])), np.zeros(len(words.starts))
+    """Per distinct word and language; languages that do not write the word's script are out, all are alike where none does."""
+    total, count = np.zeros((len(words.first), weights.shape[2])), np.zeros(len(words.first))
     for k, (n, bucket) in enumerate(words.grams()):
         first, stop = _word_places(words, n)
-        stop = np.minimum(stop, len(bucket))
         total += _sums(weights[k][bucket], first, stop)
         count += stop - first
-    scores = total / np.maximum(1, count)[:, None] * np.sqrt(words.ends - words.starts)[:, None]
-    fits = allowed[words.script]
+    scores = total / np.maximum(1, count)[:, None] * np.sqrt(words.distinct_ends - words.distinct_starts)[:, None]
+    fits = allowed[words.script[words.first]]
     scores = np.where(fits, scores, -np.inf)
-    top = scores.max(axis=1, keepdims=True)
-    return np.where(fits.any(axis=1, keepdims=True), np.maximum(scores - top, -25.0), 0.0)
+    top = scores.max(axis=1, keepdims=True, initial=-np.inf)
+    with np.errstate(invalid="ignore"):
+        return np.where(fits.any(axis=1, keepdims=True), np.maximum(scores - top, -25.0), 0.0)
 
 
-def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
-    """The best language of each word; `text` (ascending) says which text a word is of."""
+def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, of: np.ndarray | None = None) -> np.ndarray:
+    """The best language of each word; `text` (ascending) says which text a word is of, `of` which row of scores it has."""
+    of = np.arange(len(text)) if of is None else of
     counts = np.bincount(text, minlength=n_texts)
     order = np.argsort(-counts, kind="stable")
     starts, counts = (np.cumsum(counts) - counts)[order], counts[order]
-    switched, best_before = np.zeros(scores.shape, dtype=bool), np.zeros(len(scores), dtype=np.int16)
+    switched, best_before = np.zeros((len(text), scores.shape[1]), dtype=bool), np.zeros(len(text), dtype=np.int16)
     value = np.zeros((n_texts, scores.shape[1]))
-    label = np.zeros(len(scores), dtype=np.int16)
+    label = np.zeros(len(text), dtype=np.int16)
     longest = int(counts[0]) if len(counts) else 0
     active = np.searchsorted(-counts, -np.arange(longest), "left")  # texts that have a word t
     for t in range(longest):
@@ -226,7 +267,7 @@ def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarray:
             switched[at] = now < reach[:, None]
             best_before[at] = best
             now = np.maximum(now, reach[:, None])
-        value[:a] = now + scores[at]
+        value[:a] = now + scores[of[at]]
     last = value.argmax(axis=1)
     for t in range(longest - 1, -1, -1):
         a = active[t]
@@ -241,21 +282,24 @@ def labelled_texts(texts: list[str], names: list[str], weights: np.ndarray, allo
     """Prediction, score and spans of each text."""
     if not names:
         return [{"lang_pred": "und", "score": 0.0, "spans": []} for _ in texts]
-    parts = []
-    for group in _pieces(texts):
+    parts, rows = [], 0
+    for group in _pieces(texts, max(1 << 14, WORD_PIECE * 8 // (8 + len(names)))):
         words = Words([t for _, _, t in group])
         index = np.array([i for i, _, _ in group], dtype=np.int64)[words.text]
         # places within the whole text
         shift = np.array([at for _, at, _ in group], dtype=np.int64)[words.text] - words.text_starts[words.text]
         known = allowed[words.script].any(axis=1)
-        parts.append((index, words.starts + shift, words.ends + shift, word_scores(words, weights, allowed), known))
-    index, starts, ends, scores, known = (np.concatenate(column) for column in zip(*parts, strict=True))
-    label = viterbi(scores, index, len(texts))
+        scores = word_scores(words, weights, allowed)
+        parts.append((index, words.starts + shift, words.ends + shift, words.of.ravel() + rows, known, scores))
+        rows += len(scores)
+    index, starts, ends, of, known, scores = (np.concatenate(column) for column in zip(*parts, strict=True))
+    label = viterbi(scores, index, len(texts), of)
     letters = (ends - starts).astype(np.float64)
     by_lang = np.zeros((len(texts), len(names)))
     np.add.at(by_lang, (index, label), np.where(known, letters, 0))
     odds = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
-    clear = odds[np.arange(len(label)), label] / np.maximum(odds.sum(axis=1), 1e-9) if len(label) else letters
+    odds = odds / np.maximum(odds.sum(axis=1, keepdims=True), 1e-9)
+    clear = odds[of, label] if len(label) else letters
     sure = np.bincount(index, letters * clear, minlength=len(texts)) / np.maximum(1, np.bincount(index, letters, minlength=len(texts)))
     total, best = by_lang.sum(axis=1), by_lang.argmax(axis=1)
     change = np.flatnonzero((np.diff(index, prepend=-1) != 0) | (np.diff(label, prepend=-1) != 0))
@@ -288,7 +332,7 @@ class Languages:
         @F.arrow_udf(RESULT)
         def predict(texts: pa.Array) -> pa.Array:
             out = []
-            for piece in slices(texts):
+            for piece in slices(texts, max(1 << 16, (2 << 20) * 8 // (8 + len(shared.value[0])))):
                 rows = labelled_texts(strings(piece), *shared.value)
                 flat = [s for r in rows for s in r["spans"]]
                 kind = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])

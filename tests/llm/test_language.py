@@ -67,7 +67,7 @@ def test_scripts_narrow_candidates(spark):
     names, weights, allowed = ["a", "b"], np.zeros((len(lg.GRAMS), 1 << lg.BUCKET_BITS, 2), dtype=np.float32), np.zeros((lg.N_SCRIPTS, 2), bool)
     allowed[0, 0] = allowed[1, 1] = True
     scores = lg.word_scores(words, weights, allowed)
-    assert scores[0].tolist() == [-25.0, 0.0] and scores[1].tolist() == [0.0, -25.0]
+    assert scores[words.of[0]].tolist() == [-25.0, 0.0] and scores[words.of[1]].tolist() == [0.0, -25.0]
     assert model.names == ["de", "el", "en"] and names
 
 
@@ -78,3 +78,82 @@ def test_query_on_held_out_rows(spark, tables):
     assert len(rows) == 200 and all(r.held_out == r.out and 0 <= r.score <= 1 for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_each_odd_row_alone(spark):
+    """A batch that is a single short, empty or null text, in learning and in prediction."""
+    odd = [None, "", "a", "é", "\u0301", "\u0301\u0308", "a\u0301", "ab", "1", " ", "\U0002FFFF", "的"]
+    rows = [(i, t, "en") for i, t in enumerate(odd)]
+    for t in odd:
+        lg.train(spark.createDataFrame([(1, t, "en")], "doc_id long, text string, lang string").coalesce(1), "text", "lang")
+    model = trained(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(len(rows), "doc_id")
+    got = {r.doc_id: r.f for r in df.select("doc_id", model.predict("text").alias("f")).collect()}
+    for i, t in enumerate(odd):
+        assert (got[i].lang_pred == "und") == (not any(c.isalpha() for c in t or "")), repr(t)
+
+
+def plain_words(text):
+    """Words of letters and combining marks, with at least one letter."""
+    runs = "".join(c if c.isalpha() or "\u0300" <= c < "\u0370" else " " for c in text).split()
+    return [r for r in runs if any(map(str.isalpha, r))]
+
+
+def plain_grams(word):
+    padded = " " * lg.PAD + word.lower() + " " * lg.PAD
+    for n in lg.GRAMS:
+        first, stop = min(max(0, n - 2), len(word)), len(word) + (1 if n > 1 else 0)
+        yield from ((n, padded[lg.PAD + end - n + 1 : lg.PAD + end + 1]) for end in range(first, stop))
+
+
+def plain_bucket(n, gram):
+    total = 0
+    for i, c in enumerate(reversed(gram), 1):
+        total += (ord(c) + i) * ((0x9E3779B97F4A7C15 * (2 * i + 1) ** 5 | 1) & (1 << 64) - 1)
+    total &= (1 << 64) - 1
+    return (((total ^ (total >> 29)) * 0xBF58476D1CE4E5B9) & (1 << 64) - 1) >> (64 - lg.BUCKET_BITS)
+
+
+def test_learning_and_prediction_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(lg, "HELD", 2)
+    rng = random.Random(8)
+    vocab = {k: t.split() for t, k in ((ENGLISH, "en"), (GERMAN, "de"), (GREEK, "el"))}
+    rows = [(i, " ".join(rng.choice(vocab[k]) for _ in range(9)) + " e\u0301 X.", k) for i in range(30) for k in vocab]
+    names, weights, shares = lg.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang")
+    counts = np.zeros((len(lg.GRAMS), 1 << lg.BUCKET_BITS, 3))
+    for _, text, k in rows:
+        for word in plain_words(text):
+            for n, gram in plain_grams(word):
+                counts[lg.GRAMS.index(n), plain_bucket(n, gram), names.index(k)] += 1
+    counts += lg.SMOOTHING
+    assert np.allclose(weights, np.log(counts / counts.sum(axis=1, keepdims=True)), atol=1e-5)
+    allowed = shares >= lg.SCRIPT_SHARE
+    for _ in range(20):
+        text = " ".join(rng.choice(vocab[rng.choice(["en", "de", "el"])]) for _ in range(5))
+        scores = []
+        for word in plain_words(text):
+            grams = list(plain_grams(word))
+            raw = np.array([weights[lg.GRAMS.index(n), plain_bucket(n, g)] for n, g in grams]).mean(axis=0) * len(word) ** 0.5
+            raw = np.where(allowed[lg.Words([word]).script[0]], raw, -np.inf)
+            scores.append(np.maximum(raw - raw.max(), -25.0))
+        scores = np.array(scores)
+
+        def value(path, scores=scores):
+            return sum(scores[i, k] for i, k in enumerate(path)) - lg.SWITCH * sum(a != b for a, b in itertools.pairwise(path))
+
+        best = max(itertools.product(range(3), repeat=len(scores)), key=value)
+        letters = [sum(len(w) for w, k in zip(plain_words(text), best, strict=True) if k == j) for j in range(3)]
+        found = lg.labelled_texts([text], names, weights, allowed)[0]
+        assert found["lang_pred"] == names[int(np.argmax(letters))]
+        assert [s["lang"] for s in found["spans"]] == [names[k] for k, _ in itertools.groupby(best)]
+
+
+def test_many_languages(spark):
+    """More languages than a task holds at a time."""
+    rng = random.Random(9)
+    word = [(chr(97 + i % 26) + "aeiou"[i // 26]) * 3 for i in range(70)]
+    rows = [(i, " ".join(rng.choice([word[i], word[i][2:] + "s"]) for _ in range(12)), f"l{i:03}") for i in range(70)]
+    model = lg.Languages(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1))
+    assert len(model.names) == 70
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string")
+    assert df.select("*", model.predict("text").alias("f")).filter("lang_pred = f.lang_pred").count() >= 66
