@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.measures import ratio
 from saleslake.operators import panel as panels
-from saleslake.operators.smoothing import GRID, PERIOD, holt_winters
+from saleslake.operators.smoothing import GRID, PERIOD, holt_winters, simulated_interval
 
 
-def fits(panel: DataFrame, keys: list[str], measures: list[str], **settings) -> DataFrame:
+def fits(panel: DataFrame, keys: list[str], measures: list[str], ends: tuple | None = None, **settings) -> DataFrame:
     """One row per key with the fit of each measure as `fit_<measure>` (see smoothing.RESULT).
 
-    A key with sums that have no month gets the status `undated` and no forecast.
+    `ends` are the first and last month of all series, where the panel holds a part of them only. A key with sums that have no month gets the status `undated` and no forecast.
     """
     smooth = holt_winters(**settings)
-    fitted = panels.series(panel, keys, measures).withColumns(
+    fitted = panels.series(panel, keys, measures, ends=ends).withColumns(
         {f"fit_{m}": smooth(F.col("points.at"), F.col(f"points.{m}"), F.col("months")) for m in measures}
     )
 
@@ -110,6 +110,27 @@ def with_interval(panel: DataFrame, keys: list[str], measure: str, z: float = 1.
     )
 
 
+def series_number(keys: list[str]) -> Column:
+    """A number of 24 bits for the key of a series: the same in every run and under every partitioning."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]) if keys else F.lit("")
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("bigint")
+
+
+def with_simulated_interval(panel: DataFrame, keys: list[str], measure: str, **settings) -> DataFrame:
+    """Lower and upper bound and the middle of simulated paths for the next 12 months of every key that can be fitted.
+
+    The errors of the fit are drawn with replacement, so the bounds need no normal law and hold for multiplicative fits as well.
+    """
+    simulate = simulated_interval(**settings)
+    series = panels.series(panel, keys, [measure])
+    found = simulate(F.col("points.at"), F.col(f"points.{measure}"), F.col("months"), series_number(keys))
+    rows = series.select(*keys, "last_month", found.alias("f")).filter("f.status = 'ok'")
+    each = F.posexplode(F.arrays_zip(*[F.col(f"f.{n}").alias(n) for n in ("lower", "middle", "upper")]))
+    return rows.select(*keys, "last_month", each.alias("h", "i")).select(
+        F.add_months("last_month", F.col("h") + 1).alias("month"), *keys, "i.lower", "i.middle", "i.upper"
+    )
+
+
 def seasonal_regression(panel: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """ARIMA(1,0,0)(0,1,0)12 by conditional least squares, 12 months ahead.
 

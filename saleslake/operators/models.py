@@ -108,6 +108,20 @@ def group_mean(train: DataFrame, test: DataFrame, keys: list[str], label: str) -
     return test.withColumn("prediction", means.scalar()).withColumn("label", F.col(label).cast("double"))
 
 
+def baseline_scores(lines: DataFrame, in_train: str, label: str, groups: dict[str, list[str]]) -> list[DataFrame]:
+    """Scores of group means (see `group_mean`), by name and keys; the test lines meet all means and are passed over once."""
+    train, test = lines.filter(in_train), lines.filter(~F.col(in_train)).withColumn("_label", F.col(label).cast("double"))
+    for i, keys in enumerate(groups.values()):
+        means = train.groupBy(*keys).agg((F.sum(label).cast("double") / F.count(label)).alias(f"_p{i}"))
+        if keys:
+            test = test.join(written(means, "means"), keys)
+        else:
+            test = test.withColumn(f"_p{i}", means.scalar())
+    each = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction")) for i, name in enumerate(groups)])
+    scored = accuracy(test.select(F.col("_label").alias("label"), F.inline(each)), ["model"], "label", "prediction")
+    return [scored.select("model", "rmse", "r2", "mape")]
+
+
 def fit_log_target(estimator, train: DataFrame, test: DataFrame) -> DataFrame:
     """Fit on log(1 + label) and return predictions on the scale of the label."""
     model = fitted(estimator.setLabelCol("log_label"), train.withColumn("log_label", log_target("label")))
@@ -186,15 +200,32 @@ def grid_search(train: DataFrame, numeric: list[str], category: str, label: str,
     """Three-fold search over forest size and depth on the planned features; returns the fitted validator."""
     indexer = StringIndexer(inputCol=category, outputCol="category_index", handleInvalid="keep")
     assembler = VectorAssembler(inputCols=[*numeric, "category_index"], outputCol="features")
+    # fitted once and not for every fold and parameter; codes carry nothing of the label
+    prepared = Pipeline(stages=[indexer, assembler]).fit(train).transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     forest = random_forest(labelCol=label)
     grid = ParamGridBuilder().addGrid(forest.numTrees, [50, 100]).addGrid(forest.maxDepth, [5, 10]).build()
     evaluator = RegressionEvaluator(labelCol=label, metricName="rmse")
     search = CrossValidator(
-        estimator=Pipeline(stages=[indexer, assembler, forest]),
+        estimator=forest,
         estimatorParamMaps=grid,
         evaluator=evaluator,
         numFolds=3,
         seed=SEED,
         parallelism=parallelism,
     )
-    return search.fit(train)
+    found = search.fit(prepared)
+    prepared.unpersist()
+    return found
+
+
+def search_over_folds(estimator, frame: DataFrame, fold: str, folds: int, grid: dict[str, list]) -> list[tuple[dict, float]]:
+    """Mean RMSE over given folds for each combination of parameters; `fold` (0 to `folds` - 1) says which fold holds a row out."""
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(estimator.getParam(name), values)
+    maps = builder.build()
+    search = CrossValidator(
+        estimator=estimator, estimatorParamMaps=maps, evaluator=RegressionEvaluator(metricName="rmse"), numFolds=folds, foldCol=fold, seed=SEED
+    )
+    found = search.fit(frame)
+    return [({p.name: v for p, v in m.items()}, e) for m, e in zip(maps, found.avgMetrics, strict=True)]

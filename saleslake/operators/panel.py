@@ -61,14 +61,14 @@ def span(panel: DataFrame, measures: list[str]) -> tuple[Column, Column]:
     return found.getField("first"), found.getField("last")
 
 
-def series(panel: DataFrame, keys: list[str], measures: list[str], exact: bool = False) -> DataFrame:
+def series(panel: DataFrame, keys: list[str], measures: list[str], exact: bool = False, ends: tuple | None = None) -> DataFrame:
     """One row per key: `points` (position of the month and measures), `first_month`, `last_month`, `months`, `undated`.
 
-    All series get the span of the whole panel. A series has at most one point per month, so its row stays small
+    All series get the span of the whole panel, or that from the first to the second month of `ends`. A series has at most one point per month, so its row stays small
     however many lines are behind it. Sums without a month are no points; `undated` counts them. Measures are doubles, or
     with `exact` keep their type.
     """
-    first, last = span(panel, measures)
+    first, last = span(panel, measures) if ends is None else (F.lit(e).cast("date") for e in ends)
     at = panel.withColumn("first_month", first).withColumn("last_month", last)
     point = F.struct(
         months_between_starts(F.col("month"), F.col("first_month")).alias("at"),

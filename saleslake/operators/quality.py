@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleslake.operators.keys import numbered
 from saleslake.sources.shared import written
 
+_ACCURACY = 10_000  # of quantile sketches
+
 
 def _unpivoted(one_row: DataFrame, columns: list[str], fields: list[str]) -> DataFrame:
     """One row with columns <name>__<field> to one row per name."""
@@ -96,58 +97,67 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     ).select(F.lit(constraint).alias("constraint_name"), "*")
 
 
-def quartiles(df: DataFrame, group: str, value: str, tie: list[str]) -> DataFrame:
-    """Exact interpolated 25 % and 75 % points of `value` per group, as doubles q1 and q3.
+def _brackets(values: DataFrame, points: dict[str, float], reach: int) -> DataFrame:
+    """Per group `n` and for each point the bounds `<point>_from` and `<point>_to`, from one mergeable sketch of its values.
 
-    The built-in exact percentile keeps all distinct values of a group in one buffer. Here all rows are numbered
-    by (group, value, tie) over the whole cluster, and the four positions per group are looked up by number.
+    A sketch's answer is at most n / `_ACCURACY` ranks off, so bounds asked for `reach` times that to either side hold the point.
     """
-    ranked = numbered(
-        df.filter(F.col(value).isNotNull()).select(group, value, *[c for c in tie if c not in (group, value)]),
-        [group, value, *[c for c in tie if c not in (group, value)]],
-        "place",
-    )
-    spans = ranked.groupBy(group).agg(F.min("place").alias("first_place"), F.count(F.lit(1)).alias("n"))
-    wanted = spans.select(
-        group,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("point"),
-                        (F.lit(q) * (F.col("n") - 1)).alias("at"),
-                        (F.col("first_place") + edge(F.lit(q) * (F.col("n") - 1))).cast("bigint").alias("place"),
-                        F.lit(side).alias("side"),
-                    )
-                    for name, q in (("q1", 0.25), ("q3", 0.75))
-                    for side, edge in (("low", F.floor), ("high", F.ceil))
-                ]
-            )
-        ).alias("w"),
-    ).select(group, "w.*")
-    # written, so that the planner knows its size before it chooses how to join the ranked rows
-    wanted = written(wanted, "quartile-places")
-    found = wanted.join(ranked.select("place", F.col(value).cast("double").alias("v")), "place")
-    points = found.groupBy(group).agg(
-        *[
-            F.max(F.when((F.col("point") == p) & (F.col("side") == s), F.col("v"))).alias(f"{p}_{s}")
-            for p in ("q1", "q3")
-            for s in ("low", "high")
-        ],
-        *[F.max(F.when(F.col("point") == p, F.col("at") - F.floor("at"))).alias(f"{p}_part") for p in ("q1", "q3")],
-    )
-    return points.select(
-        group,
-        *[
-            (F.col(f"{p}_low") + F.col(f"{p}_part") * (F.col(f"{p}_high") - F.col(f"{p}_low"))).alias(p)
-            for p in ("q1", "q3")
-        ],
-    )
+    width = reach / _ACCURACY
+    asked = [min(1.0, max(0.0, q + side * width)) for q in points.values() for side in (-1, 1)]
+    found = values.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", asked, _ACCURACY).alias("b"))
+    bounds = [F.get("b", 2 * i + k).alias(f"{p}_{end}") for i, p in enumerate(points) for k, end in enumerate(("from", "to"))]
+    return found.select("g", "n", *bounds)
+
+
+def quantiles(df: DataFrame, group: str, value: str, points: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles of `value` per group, as doubles named by `points`; groups without a value are left out.
+
+    No row is sorted or moved but a few: a first pass sketches each group, which brackets every point, and a second one counts the rows below
+    a bracket and the values in it. Those values, each once with its number, are all that is ordered. Brackets that fail
+    to hold their point, which the counts tell, are made wider.
+    """
+    values = written(df.filter(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(value).alias("v")), "quantile-values")
+    done, reach = None, 2
+    rest = values
+    while True:
+        wide = reach > _ACCURACY
+        brackets = written(_brackets(rest, points, reach), "quantile-brackets")
+        each = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), F.col(f"{p}_from").alias("from"), F.col(f"{p}_to").alias("to")) for p, q in points.items()])
+        placed = rest.join(brackets.withColumnRenamed("g", "bg"), F.col("g").eqNullSafe(F.col("bg"))).drop("bg")
+        placed = placed.select("g", "n", "v", F.inline(each))
+        inside = F.lit(True) if wide else F.col("v").between(F.col("from"), F.col("to"))
+        # below the bracket a count is enough
+        counted = placed.filter((F.col("v") <= F.col("to")) | F.lit(wide)).groupBy("g", "n", "p", "q", F.when(inside, F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+        in_order = Window.partitionBy("g", "p").orderBy(F.asc_nulls_first("v"))
+        steps = counted.withColumn("upto", F.sum("k").over(in_order)).withColumn("before", F.col("upto") - F.col("k")).filter("v is not null")
+        at = F.col("q") * (F.col("n") - 1)
+        low, high = F.floor(at), F.ceil(at)
+        holds = lambda place: (F.col("before") <= place) & (place < F.col("upto"))
+        found = steps.groupBy("g", "p").agg(
+            F.max(F.when(holds(low), F.col("v").cast("double"))).alias("low"), F.max(F.when(holds(high), F.col("v").cast("double"))).alias("high"),
+            F.max(at - low).alias("part"),
+        )
+        found = written(found, "quantile-points")
+        missing = found.filter("low is null or high is null").select("g").distinct()
+        whole = found.join(missing.withColumnRenamed("g", "mg"), F.col("g").eqNullSafe(F.col("mg")), "left_anti")
+        done = whole if done is None else done.union(whole)
+        missing = written(missing, "quantile-missing")
+        if not missing.limit(1).count():
+            break
+        rest = rest.join(missing.withColumnRenamed("g", "mg"), F.col("g").eqNullSafe(F.col("mg")), "left_semi")
+        reach *= 100
+    value_of = F.col("low") + F.col("part") * (F.col("high") - F.col("low"))
+    return done.groupBy(F.col("g").alias(group)).agg(*[F.max(F.when(F.col("p") == p, value_of)).alias(p) for p in points])
+
+
+def quartiles(df: DataFrame, group: str, value: str, tie: list[str] | None = None) -> DataFrame:
+    """The 25 % and 75 % points of `value` per group, see `quantiles`. Equal values need no order among them, so `tie` has no effect."""
+    return quantiles(df, group, value, {"q1": 0.25, "q3": 0.75})
 
 
-def outliers(df: DataFrame, group: str, value: str, tie: list[str], reach: float = 1.5, digits: int = 6) -> DataFrame:
+def outliers(df: DataFrame, group: str, value: str, tie: list[str] | None = None, reach: float = 1.5, digits: int = 6) -> DataFrame:
     """Rows outside [q1 - reach * iqr, q3 + reach * iqr] of their group, with the quartiles."""
-    fences = quartiles(df, group, value, tie).select(
+    fences = quartiles(df, group, value).select(
         group, F.round("q1", digits).alias("q1"), F.round("q3", digits).alias("q3")
     )
     fences = written(fences, "fences")

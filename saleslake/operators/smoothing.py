@@ -48,9 +48,9 @@ def _mean(rows: np.ndarray) -> np.ndarray:
     return total / len(rows)
 
 
-def _recursion(y: np.ndarray, sets: np.ndarray, multiplicative: bool):
+def _recursion(y: np.ndarray, sets: np.ndarray, multiplicative: bool, misses: list | None = None):
     """y: months x series; sets: (sets x 3) for all series, or (series x sets x 3). Returns errors, level, trend and seasons,
-    each of (series x sets).
+    each of (series x sets). `misses` gets the one-step errors of each month, as a share of the forecast if multiplicative.
     """
     months, count = y.shape
     alpha, beta, gamma = sets[..., 0], sets[..., 1], sets[..., 2]
@@ -87,6 +87,8 @@ def _recursion(y: np.ndarray, sets: np.ndarray, multiplicative: bool):
             season[t % PERIOD] = gamma * rest + keep_g * old
         level = new_level
         sse += error * error
+        if misses is not None:
+            misses.append(error / (base * old) if multiplicative else error)
     return sse, level, trend, season
 
 
@@ -250,3 +252,91 @@ def holt_winters(
 
     # equal input gives equal output; the mark keeps the optimizer from running it in a filter and then once more
     return fit.asNondeterministic()
+
+
+# --- simulated futures ---
+
+PRIME = (1 << 31) - 1
+INTERVAL = "status string, lower array<double>, middle array<double>, upper array<double>"
+_SIMULATED = 1 << 16  # series x paths that are simulated together
+
+
+def draws(seed: int, series: np.ndarray, paths: np.ndarray, step: int) -> np.ndarray:
+    """Random numbers below 2**31 for (series x paths) at a step: a function of the four numbers alone, so any part of any run
+    can be computed anywhere, in any order. All products stay below 2**49.
+    """
+    k = (((seed + series) % PRIME) * 48271 + 11) % PRIME
+    k = ((k[:, None] + paths) % PRIME * 69621 + 7) % PRIME
+    k = ((k + step) % PRIME * 48271 + 3) % PRIME
+    k = ((k ^ (k >> 15)) * 16807 + 5) % PRIME
+    return ((k ^ (k >> 13)) * 48271) % PRIME
+
+
+def _futures(y: np.ndarray, sets: np.ndarray, series: np.ndarray, multiplicative: bool, horizon: int, paths: int, seed: int, at: list[int]):
+    """Order statistics `at` (0-based) of the simulated values, (statistics x series x horizon).
+
+    Each path draws its errors from those of the fit, and the smoothing goes on with the values it gets.
+    """
+    misses: list[np.ndarray] = []
+    _, level, trend, season = _recursion(y, sets[:, None, :], multiplicative, misses)
+    errors = np.stack(misses, axis=1)[:, :, 0]  # series x months
+    alpha, beta, gamma = (sets[:, i, None] for i in range(3))
+    season = [season[(len(y) + h) % PERIOD] for h in range(PERIOD)]
+    every, numbers = np.arange(paths), np.arange(len(series))[:, None]
+    out = np.empty((len(at), len(series), horizon))
+    for h in range(horizon):
+        miss = errors[numbers, draws(seed, series, every, h) % errors.shape[1]]
+        old = season[h % PERIOD]
+        if multiplicative:
+            base = level * trend
+            value = base * old * (1.0 + miss)
+            new_level = alpha * value / old + (1.0 - alpha) * base
+            trend = beta * new_level / level + (1.0 - beta) * trend
+            season[h % PERIOD] = gamma * value / base + (1.0 - gamma) * old
+        else:
+            value = level + trend + old + miss
+            new_level = alpha * (value - old) + (1.0 - alpha) * (level + trend)
+            season[h % PERIOD] = gamma * (value - level - trend) + (1.0 - gamma) * old
+            trend = beta * (new_level - level) + (1.0 - beta) * trend
+        level = new_level
+        ranked = np.sort(np.broadcast_to(value, (len(series), paths)), axis=1)
+        out[:, :, h] = ranked[:, at].T
+    return out
+
+
+def simulated_interval(
+    grid: list[tuple[float, float, float]] = GRID, multiplicative: bool = False, horizon: int = PERIOD, refine: int = 0, paths: int = 1000,
+    seed: int = 1, low: float = 0.025, high: float = 0.975,
+):
+    """An Arrow UDF (positions, values, months, number) -> INTERVAL: order statistics of simulated paths per month ahead.
+
+    `number` tells series apart: it picks the series' random numbers.
+    """
+    at = [int(q * (paths - 1)) for q in (low, 0.5, high)]
+
+    @F.arrow_udf(INTERVAL)
+    def simulate(at_months: pa.Array, values: pa.Array, months: pa.Array, number: pa.Array) -> pa.Array:
+        lengths, ids = months.to_numpy(zero_copy_only=False), number.to_numpy(zero_copy_only=False).astype(np.int64) % PRIME
+        status = np.full(len(lengths), "short", dtype=object)
+        out = np.zeros((3, len(lengths), horizon))
+        for length in np.unique(lengths):
+            rows = np.flatnonzero(lengths == length)
+            y = _matrix(at_months.take(pa.array(rows)), values.take(pa.array(rows)), int(length))
+            fits = _Fits(len(rows), 1)
+            fits.fit(y, np.arange(len(rows)), grid, multiplicative, 2 * PERIOD + 1, 1, refine)
+            status[rows] = fits.status
+            usable = np.flatnonzero(fits.status == "ok")
+            sets = np.stack([fits.numbers[n] for n in ("alpha", "beta", "gamma")], axis=1)
+            step = max(1, _SIMULATED // paths)
+            for start in range(0, len(usable), step):
+                some = usable[start : start + step]
+                with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                    found = _futures(y[:, some], sets[some], ids[rows[some]], multiplicative, horizon, paths, seed, at)
+                out[:, rows[some]] = found
+                status[rows[some][~np.isfinite(found).all(axis=(0, 2))]] = "nonfinite"
+        missing = status != "ok"
+        offsets = np.concatenate([[0], np.cumsum(np.where(missing, 0, horizon))]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x[~missing].ravel()), mask=pa.array(missing)) for x in out]
+        return pa.StructArray.from_arrays([pa.array(status, pa.string()), *lists], names=["status", "lower", "middle", "upper"])
+
+    return simulate.asNondeterministic()

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.functions.labels import priority_label, priority_rank
 from saleslake.operators.keys import first_per_key, numbered
 from saleslake.schema import GOLD
 from saleslake.sources.order_lines import LINE_KEY
+from saleslake.sources.shared import side_by_side
 
 
 def _within_order(line_key: list[str]):
@@ -71,15 +70,46 @@ def dim_order(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
 
 def build_dims(lines: DataFrame, line_key: list[str] = LINE_KEY) -> dict[str, DataFrame]:
     """All dimensions. They do not depend on each other, so their jobs share the cluster at the same time."""
-    with ThreadPoolExecutor(5) as pool:
-        jobs = {
-            "dim_product": pool.submit(dim_product, lines),
-            "dim_customer": pool.submit(dim_customer, lines),
-            "dim_location": pool.submit(dim_location, lines),
-            "dim_date": pool.submit(dim_date, lines),
-            "dim_order": pool.submit(dim_order, lines, line_key),
-        }
-        return {name: job.result() for name, job in jobs.items()}
+    return _side_by_side(_dim_jobs(lines, line_key))
+
+
+def build_star(lines: DataFrame, line_key: list[str] = LINE_KEY) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The numbered lines of the fact table and all dimensions, side by side; each reads only the columns it needs."""
+    built = _side_by_side({"lines": lambda: fact_lines(lines, line_key), **_dim_jobs(lines, line_key)})
+    return built.pop("lines"), built
+
+
+def _dim_jobs(lines: DataFrame, line_key: list[str]) -> dict:
+    return {
+        "dim_product": lambda: dim_product(lines),
+        "dim_customer": lambda: dim_customer(lines),
+        "dim_location": lambda: dim_location(lines),
+        "dim_date": lambda: dim_date(lines),
+        "dim_order": lambda: dim_order(lines, line_key),
+    }
+
+
+def _side_by_side(jobs: dict) -> dict:
+    return dict(zip(jobs, side_by_side(jobs.values()), strict=True))
+
+
+# Columns that tell the rows of a dimension apart; those of more than one column are compared by hash.
+_TUPLES = {
+    "dim_location": ("location_key", ["country", "state", "region", "market", "city"]),
+    "dim_customer": ("customer_key", ["customer_id", "customer_name", "segment"]),
+}
+_SINGLE = {"dim_product": ("product_key", "product_id"), "dim_order": ("order_key", "order_id")}
+_MEASURES = ["sales", "quantity", "discount", "profit", "shipping_cost"]
+
+
+def _hashes(name: str) -> list[Column]:
+    """128 bits of the tuple of a dimension, as two columns; NULL is a value like any other, in each place another one."""
+    parts = [x for c in _TUPLES[name][1] for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*parts).alias(f"_{name}_low"), F.xxhash64(F.lit(1), *parts).alias(f"_{name}_high")]
+
+
+def _hash_names(name: str) -> list[str]:
+    return [f"_{name}_low", f"_{name}_high"]
 
 
 def number_lines(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
@@ -87,6 +117,13 @@ def number_lines(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
     return numbered(lines, line_key, "fact_key")
 
 
+def fact_lines(lines: DataFrame, line_key: list[str] = LINE_KEY) -> DataFrame:
+    """What the fact table needs of each line, numbered: keys, dates and measures, and hashes in place of wide tuples."""
+    hashes = [h for name in _TUPLES for h in _hashes(name)]
+    plain = dict.fromkeys([*line_key, *[c for _, c in _SINGLE.values()], "order_date", "ship_date", *_MEASURES])
+    return number_lines(lines.select(*plain, *hashes), line_key)
+
+
 def with_date_keys(lines: DataFrame, dates: DataFrame) -> DataFrame:
     """The date dimension in its two roles."""
     ordered = dates.select(
@@ -101,27 +138,42 @@ def with_date_keys(lines: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _with_key(lines: DataFrame, dim: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """The key of the dimension row with equal `columns`, where NULL equals NULL."""
-    renamed = dim.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
-    return lines.join(renamed, same, "left").drop(*[f"_{c}" for c in columns])
+def _with_single_key(lines: DataFrame, dim: DataFrame, column: str, key: str) -> DataFrame:
+    """The key of the dimension row with the same natural key, where NULL equals NULL."""
+    plain = dim.select(key, F.col(column).alias("_natural"))
+    of_null = plain.filter("_natural is null").agg(F.first(key)).scalar()
+    joined = lines.join(plain.withColumnRenamed(key, "_key"), F.col(column) == F.col("_natural"), "left")
+    return joined.withColumn(key, F.when(F.col(column).isNull(), of_null).otherwise(F.col("_key"))).drop("_natural", "_key")
+
+
+def _with_tuple_key(lines: DataFrame, dim: DataFrame, name: str, more: list[str]) -> DataFrame:
+    """The key, and `more` columns, of the dimension row with the same tuple, found by its hash.
+
+    Every line's tuple is in the dimension, so it is enough to check there that no two tuples share a hash.
+    """
+    keyed = dim.select(_TUPLES[name][0], *_hashes(name), *more)
+    rows, tuples = keyed.agg(F.count(F.lit(1)), F.count_distinct(*_hash_names(name))).first()
+    if rows != tuples:
+        raise ValueError(f"two rows of {name} are alike, or share a hash of 128 bits")
+    if not set(_hash_names(name)) <= set(lines.columns):
+        lines = lines.select("*", *_hashes(name))
+    return lines.drop(*more).join(keyed, _hash_names(name), "left").drop(*_hash_names(name))
 
 
 def build_fact(lines: DataFrame, dims: dict[str, DataFrame], extra: list[str] | None = None) -> DataFrame:
-    """Numbered lines (see number_lines) with the keys of all dimensions, and the `extra` columns of the lines.
+    """Numbered lines (see number_lines and fact_lines) with the keys of all dimensions, and the `extra` columns of the lines.
 
     A line meets a dimension on all columns that make its rows distinct (customers: id, name and segment), and NULL is
     a value like any other there. So each line finds one row of each dimension and occurs once in the fact; only a NULL
-    date has a NULL date key. The dimensions are read from written files: the planner knows their sizes and broadcasts
-    only those below its threshold.
+    date has a NULL date key. Tuples travel as hashes of 64 bits, and region and market come from the place. The dimensions are
+    read from written files: the planner knows their sizes and broadcasts only those below its threshold.
     """
-    joined = with_date_keys(lines, dims["dim_date"])
-    joined = _with_key(joined, dims["dim_location"], ["country", "state", "region", "market", "city"], "location_key")
-    joined = _with_key(joined, dims["dim_product"], ["product_id"], "product_key")
-    joined = _with_key(joined, dims["dim_customer"], ["customer_id", "customer_name", "segment"], "customer_key")
-    joined = _with_key(joined, dims["dim_order"], ["order_id"], "order_key")
-    return joined.select(*GOLD["fact_sales"], *(extra or []))
+    joined = lines
+    for name in _TUPLES:
+        joined = _with_tuple_key(joined, dims[name], name, ["region", "market"] if name == "dim_location" else [])
+    for name, (key, column) in _SINGLE.items():
+        joined = _with_single_key(joined, dims[name], column, key)
+    return with_date_keys(joined, dims["dim_date"]).select(*GOLD["fact_sales"], *(extra or []))
 
 
 def fact_data(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

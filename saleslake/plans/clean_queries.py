@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from saleslake.functions import dates
 from saleslake.functions.labels import priority_rank
-from saleslake.operators import clean, explore, quality, star
+from saleslake.operators import clean, explore, profiles, quality, star
 from saleslake.plans import medallion
 from saleslake.plans.registry import LINES, query
 from saleslake.sources import layers, rescue
@@ -371,7 +371,7 @@ def quarantine_replay(spark, folder):
 )
 def outliers_iqr(spark, folder):
     lines = order_lines(spark, folder, "sub_category", "profit", *LINE_KEY)
-    return as_doubles(quality.outliers(lines, "sub_category", "profit", LINE_KEY), "list_price", "profit")
+    return as_doubles(quality.outliers(lines, "sub_category", "profit"), "list_price", "profit")
 
 
 @query(
@@ -380,7 +380,7 @@ def outliers_iqr(spark, folder):
     round(quantile_cont(cast(sales as double), 0.75), 6) as q3 from lines group by category""",
 )
 def quartiles_by_category(spark, folder):
-    points = quality.quartiles(order_lines(spark, folder, "category", "sales", *LINE_KEY), "category", "sales", LINE_KEY)
+    points = quality.quartiles(order_lines(spark, folder, "category", "sales"), "category", "sales")
     return points.select("category", F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"))
 
 
@@ -540,10 +540,85 @@ _COUNTED = ["country", "city", "customer_id", "product_id", "order_id", "order_d
     f"{LINES} select {', '.join(f'count(distinct {c}) as {c}_count' for c in _COUNTED)} from lines",
 )
 def distinct_counts(spark, folder):
-    lines = order_lines(spark, folder, *_COUNTED)
-    return lines.agg(*[F.count_distinct(c).alias(f"{c}_count") for c in _COUNTED])
+    """Each column is counted from the tables behind it alone, so no line is multiplied by the number of columns."""
+    counts = [order_lines(spark, folder, c).agg(F.count_distinct(c).alias(f"{c}_count")) for c in _COUNTED]
+    others = [c.scalar().alias(c.columns[0]) for c in counts[1:]]
+    return counts[0].select("*", *others)
 
 
 @query("distinct_priorities", f"{LINES} select distinct order_priority from lines")
 def distinct_priorities(spark, folder):
     return order_lines(spark, folder, "order_priority").distinct()
+
+
+# --- profiles that can be merged ---
+
+_SKETCHED = ["customer_id", "product_id", "order_id", "city"]
+_RANKED = ["sales", "profit"]
+_POINTS = [0.05, 0.25, 0.5, 0.75, 0.95]
+_SPANS = {"all": "true", "1995": "month >= date '1995-01-01' and month < date '1996-01-01'"}
+_SPAN_SQL = {"all": "true", "1995": "order_date >= date '1995-01-01' and order_date < date '1996-01-01'"}
+
+
+def _stored_sketches(spark, folder):
+    lines = order_lines(spark, folder, "order_date", *_SKETCHED, *_RANKED)
+    return lines, written(profiles.monthly_sketches(lines, _SKETCHED, _RANKED), "sketches")
+
+
+@query(
+    "profile_distinct_sketches",
+    f"{LINES} "
+    + " union all ".join(
+        f"select '{span}' as months, '{c}' as column_name, count(distinct {c}) as exact_count, true as within_bound from lines where {where}"
+        for span, where in _SPAN_SQL.items()
+        for c in _SKETCHED
+    ),
+)
+def profile_distinct_sketches(spark, folder):
+    """Distinct values from stored states of the months, and whether they lie within three standard errors of the exact numbers."""
+    lines, stored = _stored_sketches(spark, folder)
+    out = None
+    for span, where in _SPANS.items():
+        guess = profiles.distinct_estimates(profiles.merged(stored.filter(where)), _SKETCHED)
+        exact = lines.filter(_SPAN_SQL[span]).agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED])
+        each = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("exact_count")) for c in _SKETCHED])))
+        near = F.abs(F.col("estimate") - F.col("exact_count")) <= 3 * 1.04 / 2 ** (profiles.LG_K / 2) * F.col("exact_count") + 1
+        rows = each.join(guess, "column_name").select(F.lit(span).alias("months"), "column_name", "exact_count", near.alias("within_bound"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(
+    "profile_quantile_sketches",
+    f"{LINES} "
+    + " union all ".join(
+        f"""select '{span}' as months, '{c}' as column_name, cast({q} as double) as quantile, count({c}) as row_count,
+        true as within_bound from lines where {where}"""
+        for span, where in _SPAN_SQL.items()
+        for c in _RANKED
+        for q in _POINTS
+    ),
+)
+def profile_quantile_sketches(spark, folder):
+    """Quantiles from stored states of the months, and whether their true ranks are as far off as promised at most."""
+    lines, stored = _stored_sketches(spark, folder)
+    out = None
+    for span, where in _SPANS.items():
+        guess = written(profiles.quantile_estimates(profiles.merged(stored.filter(where)), _RANKED, _POINTS), "quantiles")
+        some = lines.filter(_SPAN_SQL[span])
+        for c in _RANKED:
+            # one row per asked quantile
+            asked = {r["quantile"]: r["estimate"] for r in guess.filter(F.col("column_name") == c).collect()}
+            value = F.col(c).cast("double")
+            counts = [F.struct(F.count_if(value < asked[q]).alias("below"), F.count_if(value <= asked[q]).alias("upto")).alias(f"q{i}") for i, q in enumerate(_POINTS)]
+            ranks = some.agg(F.count(c).alias("n"), *counts)
+            cells = [
+                F.struct(
+                    F.lit(q).alias("quantile"),
+                    ((F.col(f"q{i}.below") <= (q + 0.01) * F.col("n") + 1) & (F.col(f"q{i}.upto") >= (q - 0.01) * F.col("n") - 1)).alias("within_bound"),
+                )
+                for i, q in enumerate(_POINTS)
+            ]
+            rows = ranks.select(F.lit(span).alias("months"), F.lit(c).alias("column_name"), F.col("n").alias("row_count"), F.inline(F.array(*cells)))
+            out = rows if out is None else out.unionByName(rows)
+    return out

@@ -106,6 +106,50 @@ def feat_holiday(spark, folder):
     return features.with_holiday(days, features.yearly_holidays(days, "order_date", HOLIDAYS))
 
 
+# Holidays that move with Easter or with the weekdays, beside fixed ones; callers bring their own.
+HOLIDAY_RULES = {
+    "New Year": ("fixed", 1, 1),
+    "Good Friday": ("easter", -2),
+    "Easter Monday": ("easter", 1),
+    "Last Monday of May": ("nth", 5, 2, -1),
+    "First Monday of September": ("nth", 9, 2, 1),
+    "Fourth Thursday of November": ("nth", 11, 5, 4),
+    "Christmas": ("fixed", 12, 25),
+}
+
+
+def _rule_sql(kind: str, *of: int) -> str:
+    if kind == "fixed":
+        return f"make_date(y, {of[0]}, {of[1]})"
+    if kind == "easter":
+        return f"easter + {of[0]}"
+    month, weekday, n = of  # Sunday is 0 there
+    first = f"make_date(y, {month}, 1)"
+    if n > 0:
+        return f"{first} + cast(({weekday - 1} - dayofweek({first}) + 7) % 7 + {7 * (n - 1)} as integer)"
+    return f"last_day({first}) - cast((dayofweek(last_day({first})) - {weekday - 1} + 7) % 7 + {7 * (-n - 1)} as integer)"
+
+
+@query(
+    "feat_holiday_moving",
+    f"""{LINES}, days as (select order_date, count(*) as line_count from lines group by order_date),
+    years as (select distinct unnest([year(order_date) - 1, year(order_date), year(order_date) + 1]) as y from days where order_date is not null),
+    moon as (select y, y % 19 as a, y // 100 as b, y % 100 as c,
+        (19 * (y % 19) + y // 100 - (y // 100) // 4 - (y // 100 - (y // 100 + 8) // 25 + 1) // 3 + 15) % 30 as h from years),
+    week as (select *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 as l from moon),
+    sunday as (select *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 as n from week),
+    easters as (select y, make_date(y, n // 31, n % 31 + 1) as easter from sunday),
+    holidays as (select distinct cast(unnest([{', '.join(_rule_sql(*rule) for rule in HOLIDAY_RULES.values())}]) as date) as holiday from easters)
+    select order_date, line_count, order_date in (select holiday from holidays) as is_holiday,
+    cast(order_date - (select max(holiday) from holidays where holiday <= order_date) as integer) as days_since_holiday,
+    cast((select min(holiday) from holidays where holiday >= order_date) - order_date as integer) as days_to_holiday from days""",
+)
+def feat_holiday_moving(spark, folder):
+    """Days of orders with the distance to the holidays around them."""
+    days = explore.line_counts(order_lines(spark, folder, "order_date"), "order_date")
+    return features.with_holiday_distance(days, features.holidays_of_rules(days, "order_date", HOLIDAY_RULES))
+
+
 _INDEXED = f"{LINES}, " + ", ".join(
     f"""i_{c} as (select {c}, cast(row_number() over (order by count(*) desc, {c}) - 1 as double) as {c}_idx
     from lines group by {c})"""
@@ -234,6 +278,95 @@ def ml_linear_two_features(spark, folder):
     )
 
 
+# --- trees of depth one by SQL: with weights, on logarithms, over folds ---
+
+
+def _stump_frame(spark, folder, *more):
+    base = order_lines(spark, folder, "sales", "discount", *more).select(
+        *more, F.col("sales").cast("double").alias("label"), F.col("discount").cast("double").alias("discount")
+    )
+    return models.VectorAssembler(inputCols=["discount"], outputCol="features").transform(base)
+
+
+def _stump_sql(name: str, rows: str, by: str = "") -> str:
+    """CTEs of the split of least weighted variance of `rows` (discount, label, w) per group; `name` has (discount, prediction)."""
+    keys, using = (f"{by}, ", f"l.{by} = r.{by} and ") if by else ("", "")
+    part = f"partition by {by} " if by else ""
+    return f"""{name}_groups as (select {keys}discount, sum(w) as w, sum(w * label) as s from {rows} group by {keys}discount),
+    {name}_cuts as (select {f'l.{by}, ' if by else ''}l.discount as cut, sum(r.w) filter (r.discount <= l.discount) as wl,
+        sum(r.s) filter (r.discount <= l.discount) as sl, sum(r.w) filter (r.discount > l.discount) as wr,
+        sum(r.s) filter (r.discount > l.discount) as sr from {name}_groups l join {name}_groups r on {using}true group by all having wr > 0),
+    {name}_best as (select * from {name}_cuts qualify row_number() over ({part}order by sl * sl / wl + sr * sr / wr desc) = 1),
+    {name} as (select {f'g.{by}, ' if by else ''}g.discount, case when g.discount <= cut then sl / wl else sr / wr end as prediction
+        from (select distinct {keys}discount from {name}_groups) g join {name}_best b on {f'g.{by} = b.{by}' if by else 'true'})"""
+
+
+def _reweighted_sql(name: str, rows: str, stump: str) -> str:
+    """The rows with the weights of the next round, and its confidence (Drucker's linear loss)."""
+    return f"""{name}_missed as (select r.*, abs(label - prediction) as miss from {rows} r join {stump} using (discount)),
+    {name}_round as (select *, loss / (1 - loss) as beta from (select max(miss) as largest, sum(w) as mass,
+        sum(w * miss) / max(miss) / sum(w) as loss from {name}_missed)),
+    {name} as (select discount, label, w / mass * pow(beta, 1 - miss / largest) as w from {name}_missed cross join {name}_round)"""
+
+
+@query(
+    "ml_adaboost_rounds",
+    f"""{LINES}, start as (select cast(discount as double) as discount, cast(sales as double) as label, 1.0::double as w from lines),
+    {_stump_sql('one', 'start')}, {_reweighted_sql('again', 'start', 'one')}, {_stump_sql('two', 'again')}, {_reweighted_sql('last', 'again', 'two')},
+    pair as (select discount, a.prediction as p1, b.prediction as p2, ln(1 / r.beta) as a1, ln(1 / s.beta) as a2
+        from one a join two b using (discount) cross join again_round r cross join last_round s)
+    select discount, round(a1, 6) as first_confidence, round(a2, 6) as second_confidence, round(case
+        when (case when p1 <= p2 then a1 else a2 end) >= (a1 + a2) / 2 then least(p1, p2) else greatest(p1, p2) end, 4) as prediction from pair""",
+)
+def ml_adaboost_rounds(spark, folder):
+    """Two rounds of weighted trees of depth one: confidences, and the weighted median of both."""
+    frame = written(_stump_frame(spark, folder), "stump")
+    model = models.BoostedMedian(rounds=2, depth=1).fit(frame)
+    first, second = (weight for _, weight in model.members)
+    values = frame.select("discount", "features").dropDuplicates(["discount"])
+    return model.transform(values).select(
+        "discount", F.round(F.lit(first), 6).alias("first_confidence"), F.round(F.lit(second), 6).alias("second_confidence"),
+        F.round("prediction", 4).alias("prediction"),
+    )
+
+
+@query(
+    "ml_log_stump",
+    f"""{LINES}, start as (select cast(discount as double) as discount, ln(1 + cast(sales as double)) as label, 1.0::double as w from lines),
+    {_stump_sql('one', 'start')} select discount, round(exp(prediction) - 1, 4) as prediction from one""",
+)
+def ml_log_stump(spark, folder):
+    """A tree of depth one on the logarithm, its predictions on the scale of the sales."""
+    frame = written(_stump_frame(spark, folder), "stump")
+    values = frame.select("discount", "features", "label").dropDuplicates(["discount"])
+    predicted = models.fit_log_target(models.tree(maxDepth=1), frame, values)
+    return predicted.select("discount", F.round("prediction", 4).alias("prediction"))
+
+
+_FOLDS = 3
+_FOLD_SQL = f"cast('0x' || substr(md5({_KEY_TEXT}), 1, 8) as bigint) % {_FOLDS}"
+
+
+@query(
+    "ml_cv_folds",
+    f"""{LINES}, marked as (select cast(discount as double) as discount, cast(sales as double) as label, {_FOLD_SQL} as own from lines),
+    start as (select f.fold, discount, label, 1.0::double as w from marked cross join (select unnest(range({_FOLDS})) as fold) f where own <> fold),
+    {_stump_sql('one', 'start', 'fold')}, means as (select fold, avg(label) as m from start group by fold),
+    errors as (select own, sqrt(avg((label - m) * (label - m))) as e0, sqrt(avg((label - prediction) * (label - prediction))) as e1
+        from marked join means on means.fold = own join one on one.fold = own and one.discount = marked.discount group by own)
+    select cast(unnest([0, 1]) as integer) as depth, round(unnest([avg(e0), avg(e1)]), 3) as rmse from errors""",
+)
+def ml_cv_folds(spark, folder):
+    """The search over folds, which here follow from a hash of the line: the mean, and a tree of depth one."""
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in LINE_KEY])), 1, 8), 16, 10)
+    lines = order_lines(spark, folder, *dict.fromkeys([*LINE_KEY, "sales", "discount"]))
+    base = lines.select(F.col("sales").cast("double").alias("label"), F.col("discount").cast("double").alias("discount"), (number.cast("bigint") % _FOLDS).cast("int").alias("fold"))
+    frame = written(models.VectorAssembler(inputCols=["discount"], outputCol="features").transform(base), "folds")
+    found = models.search_over_folds(models.tree(), frame, "fold", _FOLDS, {"maxDepth": [0, 1]})
+    cells = [F.struct(F.lit(values["maxDepth"]).alias("depth"), F.lit(float(error)).alias("rmse")) for values, error in found]
+    return frame.agg(F.count(F.lit(1))).select(F.inline(F.array(*cells))).withColumn("rmse", F.round("rmse", 3))
+
+
 # --- second-order boosting ---
 
 _CODED = [*[c for c in features.NUMERIC if c != "sales"], *[f"{c}_idx" for c in features.CATEGORIES]]
@@ -393,14 +526,12 @@ _TWO = (2, 2, 2)
     union all {_score_sql('sub-category mean', 'ps', _TWO)}""",
 )
 def model_comparison(spark, folder):
-    return models.compare(
-        [
-            models.score(_baseline(spark, folder, keys), name)
-            for name, keys in (
-                ("overall mean", []), ("category mean", ["category"]), ("sub-category mean", ["sub_category"])
-            )
-        ]
-    )
+    """All baselines from one written table: means of the training lines, then one pass over the test lines."""
+    lines = order_lines(spark, folder, *dict.fromkeys([*LINE_KEY, "category", "sub_category", "sales"]))
+    held = written(lines.select("category", "sub_category", "sales", features.is_train(LINE_KEY).alias("in_train")), "baselines")
+    return models.compare(models.baseline_scores(held, "in_train", "sales", {
+        "overall mean": [], "category mean": ["category"], "sub-category mean": ["sub_category"],
+    }))
 
 
 @query("ml_model_comparison")

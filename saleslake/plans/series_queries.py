@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from saleslake.functions.dates import month_label
 from saleslake.operators import forecast as fc
 from saleslake.operators import panel as panels
-from saleslake.operators.smoothing import BOUNDS, GRID
+from saleslake.operators.arima import arma_coefficients, arma_fits, arma_forecast
+from saleslake.operators.smoothing import BOUNDS, GRID, PRIME
+from saleslake.plans import upkeep
 from saleslake.plans.registry import LINES, query
-from saleslake.sources.order_lines import order_lines
+from saleslake.sources import published
+from saleslake.sources.order_lines import lines_sql, order_lines
+from saleslake.sources.shared import fresh_path
 
 _MONTH = "cast(date_trunc('month', order_date) as date)"
 
@@ -282,6 +286,20 @@ _forecast_query("fc_category_whole_months", ["category"], ["sales"], whole_month
 CITY_PRODUCT_MEASURES = ["sales", "profit", "quantity"]
 _forecast_query("fc_city_product", CITY_PRODUCT, CITY_PRODUCT_MEASURES, with_sql=False)
 CITY_PRODUCT_SQL = _ahead_sql(CITY_PRODUCT, CITY_PRODUCT_MEASURES)
+_ONE_PLACE = "country = 'CHINA' and segment = 'BUILDING'"
+
+
+@query(
+    "fc_city_product_part",
+    CITY_PRODUCT_SQL.replace(LINES, f"with recursive all_lines as ({lines_sql()}), lines as (select * from all_lines where {_ONE_PLACE})"),
+)
+def fc_city_product_part(spark, folder):
+    """The finest grain, three measures, for one country and segment."""
+    lines = order_lines(spark, folder, "order_date", *CITY_PRODUCT, *CITY_PRODUCT_MEASURES).filter(_ONE_PLACE)
+    panel = panels.monthly(lines, CITY_PRODUCT, CITY_PRODUCT_MEASURES)
+    return fc.forecast(panel, CITY_PRODUCT, CITY_PRODUCT_MEASURES)
+
+
 
 
 @query(
@@ -404,6 +422,112 @@ def fc_seasonal_ar(spark, folder):
     return result.withColumns({"phi": F.round("phi", 8), "forecasted_sales": F.round("forecasted_sales", 2)})
 
 
+# --- intervals from simulated paths ---
+
+_PATHS, _SEED = 200, 7
+
+
+def _draw_sql(series: str, path: str, step: str) -> str:
+    """The random number of `smoothing.draws`, as nested integer expressions."""
+    k = f"(((({_SEED} + {series}) % {PRIME}) * 48271 + 11) % {PRIME})"
+    k = f"((({k} + {path}) % {PRIME} * 69621 + 7) % {PRIME})"
+    k = f"((({k} + {step}) % {PRIME} * 48271 + 3) % {PRIME})"
+    k = f"((xor({k}, {k} >> 15) * 16807 + 5) % {PRIME})"
+    return f"((xor({k}, {k} >> 13) * 48271) % {PRIME})"
+
+
+def _simulated_sql(multiplicative: bool) -> str:
+    if multiplicative:
+        miss = "(listed.ys[w.t] - w.l * w.tr * w.s[1]) / (w.l * w.tr * w.s[1])"
+        value, season = "l * tr * s[1] * (1 + miss)", "g * y / (l * tr) + (1 - g) * s[1]"
+        level, trend = "a * y / s[1] + (1 - a) * (l * tr)", "b * nl / l + (1 - b) * tr"
+    else:
+        miss = "listed.ys[w.t] - w.l - w.tr - w.s[1]"
+        value, season = "l + tr + s[1] + miss", "g * (y - l - tr) + (1 - g) * s[1]"
+        level, trend = "a * (y - s[1]) + (1 - a) * (l + tr)", "b * (nl - l) + (1 - b) * tr"
+    at = [int(q * (_PATHS - 1)) + 1 for q in (0.025, 0.5, 0.975)]
+    return f"""{_walk_sql(['segment'], ['sales'], multiplicative=multiplicative)},
+    errors as (select w.id, list({miss} order by w.t) as misses
+        from walk w join fit f on f.id = w.id and f.p = w.p join listed on listed.id = w.id where w.t <= listed.n group by w.id),
+    chosen as (select id, segment, a, b, g, l, tr, s, misses, cast('0x' || substr(md5(segment), 1, 6) as bigint) as number
+        from fit join errors using (id) join ids using (id)),
+    future(id, path, h, l, tr, s, y) as (
+        select id, path, 0, l, tr, s, 0.0::double from chosen cross join (select unnest(generate_series(0, {_PATHS - 1})) as path)
+        union all
+        select id, path, h + 1, nl, {trend}, list_append(s[2:12], {season}), y from (select *, {level} as nl from (select *, {value} as y from
+            (select f.id, f.path, f.h, f.l, f.tr, f.s, a, b, g, misses[{_draw_sql('number', 'path', 'h')} % len(misses) + 1] as miss
+             from future f join chosen c using (id) where h < 12)))),
+    ranked as (select id, h, list_sort(list(y)) as ys from future where h > 0 group by id, h)
+    select cast((select hi from span) + to_months(cast(h as integer)) as date) as month, segment, round(ys[{at[0]}], 2) as lower,
+    round(ys[{at[1]}], 2) as middle, round(ys[{at[2]}], 2) as upper from ranked join ids using (id)"""
+
+
+def _simulated_query(name: str, multiplicative: bool) -> None:
+    @query(name, _simulated_sql(multiplicative))
+    def run(spark, folder):
+        panel = _panel(spark, folder, ["segment"], ["sales"])
+        found = fc.with_simulated_interval(panel, ["segment"], "sales", multiplicative=multiplicative, paths=_PATHS, seed=_SEED)
+        return found.withColumns({c: F.round(c, 2) for c in ("lower", "middle", "upper")})
+
+
+_simulated_query("fc_interval_simulated", False)
+_simulated_query("fc_interval_simulated_mul", True)
+
+
+# --- ARMA of the difference to the year before ---
+
+_DIFFERENCED = f"""{_padded_sql(SUBCATEGORY, ['sales'])},
+    d as (select id, pos, sales - lag(sales, 12) over (partition by id order by pos) as w from full_panel),
+    past as (select *, lag(w) over by_time as w1, lag(w, 2) over by_time as w2 from d where w is not null
+        window by_time as (partition by id order by pos))"""
+
+
+@query(
+    "ts_arma_conditional",
+    f"""{_DIFFERENCED},
+    long as (select id, sum(w1 * w1) as a, sum(w1 * w2) as b, sum(w2 * w2) as c, sum(w * w1) as m, sum(w * w2) as n from past
+        where w2 is not null group by id),
+    shocks as (select id, pos, w, w1, w - (m * c - n * b) / (a * c - b * b) * w1 - (a * n - b * m) / (a * c - b * b) * w2 as e
+        from past join long using (id) where w2 is not null),
+    pairs as (select *, lag(e) over (partition by id order by pos) as e1 from shocks),
+    short as (select id, sum(w1 * w1) as a, sum(w1 * e1) as b, sum(e1 * e1) as c, sum(w * w1) as m, sum(w * e1) as n from pairs
+        where e1 is not null group by id)
+    select {_PAIR}, round((m * c - n * b) / (a * c - b * b), 6) as phi, round((a * n - b * m) / (a * c - b * b), 6) as theta
+    from short join ids using (id)""",
+)
+def ts_arma_conditional(spark, folder):
+    """Coefficients of an ARMA(1, 1) by two regressions, the innovations from two past values."""
+    series = panels.series(_panel(spark, folder, SUBCATEGORY, ["sales"]), SUBCATEGORY, ["sales"])
+    fitted = series.select(*SUBCATEGORY, arma_coefficients(1, 1, long=2)(panels.dense("sales")).alias("f"))
+    return fitted.select(*SUBCATEGORY, F.round(F.get("f.phi", 0), 6).alias("phi"), F.round(F.get("f.theta", 0), 6).alias("theta"))
+
+
+@query(
+    "ts_arma_order",
+    f"""{_DIFFERENCED},
+    sums as (select id, count(*) as n, sum(w * w) as s0, sum(w * w1) / sum(w1 * w1) as phi, first(w order by pos) as w0 from past group by id),
+    misses as (select id, sum((w - phi * w1) * (w - phi * w1)) as s1 from past join sums using (id) where w1 is not null group by id),
+    fits as (select *, -0.5::double * n * (ln(2 * pi() * s0 / n) + 1) as l0, -0.5::double * n * (ln(2 * pi() * ((1 - phi * phi) * w0 * w0 + s1) / n) + 1)
+        + 0.5::double * ln(1 - phi * phi) as l1 from sums join misses using (id)),
+    best as (select *, abs(phi) <= 0.999 and 4 - 2 * l1 < 2 - 2 * l0 as one from fits)
+    select {_PAIR}, case when one then 1 else 0 end as p, round(case when one then phi end, 6) as phi,
+    round(case when one then l1 else l0 end, 4) as log_likelihood, round(case when one then 4 - 2 * l1 else 2 - 2 * l0 end, 4) as aic
+    from best join ids using (id)""",
+)
+def ts_arma_order(spark, folder):
+    """White noise or one autoregressive term, by the exact likelihood, which SQL can state for these two."""
+    fits = arma_fits(_panel(spark, folder, SUBCATEGORY, ["sales"]), SUBCATEGORY, "sales", most=(1, 0))
+    return fits.select(
+        *SUBCATEGORY, "p", F.round(F.get("phi", 0), 6).alias("phi"), F.round("log_likelihood", 4).alias("log_likelihood"), F.round("aic", 4).alias("aic"),
+    )
+
+
+@query("fc_arima")
+def fc_arima(spark, folder):
+    """Forecasts with up to two autoregressive and two moving-average terms, each series with the order that suits it best."""
+    return arma_forecast(_panel(spark, folder, SUBCATEGORY, ["sales"]), SUBCATEGORY, "sales")
+
+
 @query(
     "history_plus_forecast",
     f"""{_walk_sql(['category'], ['sales'])}
@@ -418,3 +542,47 @@ def history_plus_forecast(spark, folder):
         "month", "category", F.col("forecasted_sales").alias("sales"), F.lit("forecast").alias("kind")
     )
     return history.unionByName(future)
+
+
+# --- panels kept up to date ---
+
+# Lines that come with the second run: those of two months of 1996, and a few that were late.
+_LATE = "order_date >= date '1996-03-01' and order_date < date '1996-05-01' or order_id % 40 = 0 and order_date < date '1993-01-01'"
+
+
+def _kept_up(spark, folder) -> tuple[str, list[upkeep.Upkeep]]:
+    root = fresh_path(spark, "upkeep")
+    lines = order_lines(spark, folder, "order_id", "order_date", *SUBCATEGORY, "sales")
+    first = lines.filter(~F.coalesce(F.expr(_LATE), F.lit(False)))
+    return root, [upkeep.update(part, root, SUBCATEGORY, ["sales"]) for part in (first, lines, lines)]
+
+
+@query("panel_upkept", f"{LINES} select {_MONTH} as month, {_PAIR}, cast(sum(sales) as double) as total_sales from lines group by all")
+def panel_upkept(spark, folder):
+    """The panel after a second load, in which only the months that had changed were summed."""
+    root, _ = _kept_up(spark, folder)
+    return _named(published.read_published(spark, root, "panel"), ["sales"])
+
+
+@query("fc_upkept", _ahead_sql(SUBCATEGORY, ["sales"]))
+def fc_upkept(spark, folder):
+    """Forecasts after a second load: those of all lines, though series without a changed month were not fitted again."""
+    root, _ = _kept_up(spark, folder)
+    return published.read_published(spark, root, "forecast")
+
+
+@query(
+    "panel_upkeep_runs",
+    f"""{LINES}, early as (select * from lines where not coalesce({_LATE}, false)), late as (select * from lines where {_LATE}),
+    counts as (select (select count(distinct {_MONTH}) from early) as m1, (select count(distinct {_MONTH}) from lines) as m2,
+        (select count(distinct {_MONTH}) from late) as changed, (select count(*) from (select distinct {_PAIR} from early)) as s1,
+        (select count(*) from (select distinct {_PAIR} from lines)) as s2, (select count(*) from (select distinct {_PAIR} from lines
+        where {_MONTH} in (select {_MONTH} from late))) as touched)
+    select 1 as run, m1 as months, m1 as months_summed, s1 as series, s1 as series_fitted from counts
+    union all select 2, m2, changed, s2, touched from counts union all select 3, m2, 0, s2, 0 from counts""",
+)
+def panel_upkeep_runs(spark, folder):
+    """What each of three runs summed and fitted; the third finds nothing changed."""
+    _, runs = _kept_up(spark, folder)
+    rows = [(i, r.months, r.months_summed, r.series, r.series_fitted) for i, r in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "run int, months bigint, months_summed bigint, series bigint, series_fitted bigint")

@@ -11,7 +11,7 @@ from saleslake.plans import loads, medallion
 from saleslake.plans.registry import LINES, query
 from saleslake.sources import published
 from saleslake.sources.order_lines import LINE_KEY, order_lines
-from saleslake.sources.shared import fresh_path
+from saleslake.sources.shared import fresh_path, written
 
 _PRODUCTS = """select product_id, min(product_name) as product_name, min(category) as category,
     min(sub_category) as sub_category from lines group by product_id"""
@@ -55,10 +55,10 @@ def _as_doubles(df):
 
 
 def _star(spark, folder):
-    """All lines, joined once, numbered and written, as the star reads them several times."""
-    lines = star.number_lines(order_lines(spark, folder))
-    dims = star.build_dims(lines)
-    return lines, dims, star.build_fact(lines, dims)
+    """Lines, dimensions and fact table."""
+    lines = order_lines(spark, folder)
+    narrow, dims = star.build_star(lines)
+    return lines, dims, star.build_fact(narrow, dims)
 
 
 @query("dim_product", f"{DIMS} select * from dim_product")
@@ -161,7 +161,10 @@ def fact_reconcile(spark, folder):
 
 @query("fact_key_range", f"{DIMS} select * from fact where order_key between 1 and 15")
 def fact_key_range(spark, folder):
-    return _as_doubles(_star(spark, folder)[2].filter(F.col("order_key").between(1, 15)))
+    """The filter reaches the order dimension first, and the lines of those orders alone meet the other dimensions."""
+    narrow, dims = star.build_star(order_lines(spark, folder))
+    few = written(dims["dim_order"].filter(F.col("order_key").between(1, 15)).select("order_id"), "few-orders")
+    return _as_doubles(star.build_fact(narrow.join(few, "order_id", "left_semi"), dims))
 
 
 @query(
@@ -288,8 +291,9 @@ _CUSTOMER = ["customer_id", "customer_name", "segment"]
 )
 def fact_reconcile_dirty(spark, folder):
     """Every line keeps its place in the fact table, whatever keys it lacks."""
-    lines = star.number_lines(_dirty_lines(spark, folder))
-    return star.reconcile(lines, star.build_fact(lines, star.build_dims(lines)))
+    lines = _dirty_lines(spark, folder)
+    narrow, dims = star.build_star(lines)
+    return star.reconcile(lines, star.build_fact(narrow, dims))
 
 
 # Table of the star, column that has to be unique in it.

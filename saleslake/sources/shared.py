@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scopes: list[list[str]] = []
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    for scope in _scopes[-1:]:
+    for scope in _scopes.get()[-1:]:
         scope.append(path)
     return path
 
@@ -44,18 +46,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(jobs: Iterable[Callable]) -> list:
+    """Run functions that do not depend on each other at the same time; what they write belongs to the caller's scope."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        started = [pool.submit(copy_context().run, job) for job in jobs]
+        return [job.result() for job in started]
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove at the end all that `fresh_path` and `written` have named inside, on any thread.
+    """Remove at the end all that `fresh_path` and `written` have named inside, and in functions run `side_by_side` there.
 
     Frames that were made inside may read those tables, so use or write the results before the end. Scopes nest; the
-    innermost owns a path. Scopes of one process should not overlap in other ways.
+    innermost owns a path. Scopes of different threads do not see each other.
     """
-    _scopes.append(paths := [])
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scopes.reset(token)
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
             at = jvm.org.apache.hadoop.fs.Path(path)

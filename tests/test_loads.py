@@ -164,3 +164,23 @@ def test_gold_with_an_orphan_leaves_the_old_version(spark, tmp_path, monkeypatch
     monkeypatch.undo()
     medallion.to_gold(lines(spark, FIRST + SECOND), gold, ["row_id"])
     assert published.read_published(spark, gold, "fact_data").count() == 10
+
+
+def test_scopes_of_threads_are_apart(spark):
+    from saleslake.sources.shared import scratch, side_by_side, written
+
+    def job(n):
+        with scratch(spark):
+            inner = side_by_side([lambda i=i: written(spark.range(n * 10 + i), "threads") for i in range(2)])
+            counts = [f.count() for f in inner]
+            return counts, [f.inputFiles()[0].removeprefix("file://") for f in inner]
+
+    import os
+
+    with scratch(spark):
+        mine = written(spark.range(5), "outer")
+        found = side_by_side([lambda n=n: job(n) for n in (1, 2, 3)])
+        assert [c for c, _ in found] == [[10, 11], [20, 21], [30, 31]]
+        assert not any(os.path.exists(f) for _, files in found for f in files) and mine.count() == 5
+        own = mine.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(own)

@@ -25,6 +25,24 @@ def test_quartiles_and_outliers_against_brute_force(spark):
     }
 
 
+def test_quantiles_with_ties_nulls_and_failing_brackets(spark, monkeypatch):
+    random.seed(2)
+    rows = [("hot", 7.0) if i % 3 else ("hot", float(random.randint(0, 15))) for i in range(3000)]
+    rows += [(None, float(i)) for i in range(1000)] + [("x", None), ("one", 5.0)] + [("wide", random.random()) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    points = {"least": 0.0, "p10": 0.1, "median": 0.5, "p99": 0.99, "most": 1.0}
+    want = {g: tuple(quartile([v for h, v in rows if h == g], q) for q in points.values()) for g in ("hot", None, "one", "wide")}
+    for accuracy in (10_000, 20):  # a coarse sketch has wide brackets
+        monkeypatch.setattr(quality, "_ACCURACY", accuracy)
+        assert {r.g: tuple(r)[1:] for r in quality.quantiles(df, "g", "v", points).collect()} == want
+    # brackets that miss their point are found out and widened
+    brackets = quality._brackets
+    monkeypatch.setattr(quality, "_brackets", lambda values, points, reach: brackets(values, points, reach) if reach > 2 else brackets(
+        values, {p: min(1.0, q + 0.3) for p, q in points.items()}, reach))
+    assert {r.g: tuple(r)[1:] for r in quality.quantiles(df, "g", "v", points).collect()} == want
+    assert quality.quantiles(df.limit(0), "g", "v", points).count() == 0
+
+
 def test_surplus_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "`x-y` int, t string")
     assert quality.surplus_duplicates(df).first().total_duplicates == 3

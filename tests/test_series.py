@@ -221,3 +221,71 @@ def test_refinement_leaves_broken_series_alone(spark):
     values = {"fine": [5.0 + i % 12 + (i * 7 % 5) for i in range(30)], "zero": [0.0] * 30, "flat": [4.0] * 30}
     status = {r.k: r.status for r in fc.fit_status(frame(spark, values), ["k"], "sales", multiplicative=True, refine=50).collect()}
     assert status == {"fine": "ok", "zero": "nonpositive", "flat": "ok"}
+
+
+def plain_draw(seed, series, path, step):
+    m = (1 << 31) - 1
+    k = (((seed + series) % m) * 48271 + 11) % m
+    k = ((k + path) % m * 69621 + 7) % m
+    k = ((k + step) % m * 48271 + 3) % m
+    k = ((k ^ (k >> 15)) * 16807 + 5) % m
+    return ((k ^ (k >> 13)) * 48271) % m
+
+
+def test_draws_are_spread_evenly_and_depend_on_their_numbers_alone():
+    import numpy as np
+
+    from saleslake.operators.smoothing import draws
+
+    got = draws(3, np.array([5, 9, 1 << 24]), np.arange(40), 2)
+    assert [[plain_draw(3, s, p, 2) for p in range(40)] for s in (5, 9, 1 << 24)] == got.tolist()
+    many = np.stack([draws(1, np.arange(20), np.arange(500), h) for h in range(12)])
+    counts = np.bincount((many % 36).ravel(), minlength=36)
+    assert abs(counts - many.size / 36).max() < 5 * (many.size / 36) ** 0.5
+    # neighbouring paths, steps and series are not alike
+    for a, b in ((many[:, :, 1:], many[:, :, :-1]), (many[1:], many[:-1]), (many[:, 1:], many[:, :-1])):
+        assert abs(np.corrcoef(a.ravel(), b.ravel())[0, 1]) < 0.02
+
+
+@pytest.mark.parametrize("multiplicative", [False, True])
+def test_simulated_interval_against_plain_paths(spark, multiplicative):
+    random.seed(13)
+    ys = [random.uniform(50, 150) + j for j in range(40)]
+    panel = frame(spark, {"a": ys, "b": [random.uniform(5, 9) for _ in range(40)]})
+    fit = {r.k: r.fit_sales for r in fc.fits(panel, ["k"], ["sales"], multiplicative=multiplicative).collect()}["a"]
+    number = {r.k: r.n for r in panel.select("k", fc.series_number(["k"]).alias("n")).distinct().collect()}["a"]
+    found = fc.with_simulated_interval(panel, ["k"], "sales", multiplicative=multiplicative, paths=60, seed=5).filter("k = 'a'").orderBy("month").collect()
+
+    # the walk of the fit, with its errors and last state
+    a, b, g = fit.alpha, fit.beta, fit.gamma
+    level, second = sum(ys[:12]) / 12, sum(ys[12:24]) / 12
+    trend = (second / level) ** (1 / 12) if multiplicative else (second - level) / 12
+    line = [level * trend ** (i - 6.5) if multiplicative else level + trend * (i - 6.5) for i in range(1, 13)]
+    season, level, errors = [y / v if multiplicative else y - v for y, v in zip(ys, line)], line[-1], []
+
+    def step(level, trend, season, y):
+        old = season[0]
+        if multiplicative:
+            new = a * y / old + (1 - a) * level * trend
+            return new, b * new / level + (1 - b) * trend, [*season[1:], g * y / (level * trend) + (1 - g) * old]
+        new = a * (y - old) + (1 - a) * (level + trend)
+        return new, b * (new - level) + (1 - b) * trend, [*season[1:], g * (y - level - trend) + (1 - g) * old]
+
+    for y in ys[12:]:
+        expected = level * trend * season[0] if multiplicative else level + trend + season[0]
+        errors.append(y / expected - 1 if multiplicative else y - expected)
+        level, trend, season = step(level, trend, season, y)
+    values = []
+    for path in range(60):
+        state, values_of = (level, trend, season), []
+        for h in range(12):
+            miss = errors[plain_draw(5, number, path, h) % len(errors)]
+            y = state[0] * state[1] * state[2][0] * (1 + miss) if multiplicative else state[0] + state[1] + state[2][0] + miss
+            values_of.append(y)
+            state = step(*state, y)
+        values.append(values_of)
+    for h, row in enumerate(found):
+        ranked = sorted(v[h] for v in values)
+        assert [row.lower, row.middle, row.upper] == pytest.approx([ranked[int(q * 59)] for q in (0.025, 0.5, 0.975)], rel=1e-9)
+    alone = fc.with_simulated_interval(panel.filter("k = 'a'"), ["k"], "sales", multiplicative=multiplicative, paths=60, seed=5)
+    assert [r.upper for r in alone.orderBy("month").collect()] == pytest.approx([r.upper for r in found])
