@@ -13,8 +13,8 @@ first, by the upper bound that the window leaves them, until no leaf can hold a
 visited leaf is scored exactly, in integers.
 
 Scale. Candidates are dealt by hash of their id into blocks of about `BLOCK` rows, queries into blocks of `QUERIES`, and each pair of blocks is one
-piece of work with a tree of its own, of bounded size however many rows share a label or a vector. Only the k best per query
-of each piece are shuffled.
+piece of work with a tree of its own, of bounded size however many rows share a label or a vector. A piece asks its tree for
+`TOGETHER` queries at a time. Only the k best per query of each piece are shuffled.
 
 Defined results: rows with a null id, label or vector, or with a null component, take no part. Rows that share an id are one row, the
 one with the smallest label and vector. Shorter vectors count as continued by zeros. Scores beyond 64 bits wrap around. Empty tables
@@ -32,7 +32,8 @@ from saleslake.llm.common import query, table
 from saleslake.sources.shared import written
 
 BLOCK = 8192
-QUERIES = 2048
+QUERIES = 16384
+TOGETHER = 1024
 LEAF = 16  # rows of a leaf, on average
 SHRINK = 1.3  # ratio of the radii of two levels
 AT_ONCE = 8  # leaves of a query that are visited before it is asked again whether it is done
@@ -179,13 +180,19 @@ def _searched(queries: DataFrame, rows: DataFrame, counts: tuple[int, int], same
         ids, labels = held["id"].to_numpy(), held["label"].to_numpy()
         anchors, of = asked["anchor_id"].to_numpy(), asked["label"].to_numpy()
 
-        def allowed(who, at):
-            alike = of[who, None] == labels[at]
-            return alike & (anchors[who, None] != ids[at]) if same else ~alike
-
-        tree = CoverTree(_matrix(held["v"], width))
+        tree, points = CoverTree(_matrix(held["v"], width)), _matrix(asked["v"], width)
         low, high = (asked[c].to_numpy().astype(np.float64) for c in ("low", "high"))
-        who, row, score = tree.best(_matrix(asked["v"], width), low, high, allowed, ids, k)
+        found = []
+        for first in range(0, len(points), TOGETHER):
+            some = slice(first, first + TOGETHER)
+
+            def allowed(who, at, of=of[some], anchors=anchors[some]):
+                alike = of[who, None] == labels[at]
+                return alike & (anchors[who, None] != ids[at]) if same else ~alike
+
+            who, row, score = tree.best(points[some], low[some], high[some], allowed, ids, k)
+            found.append((who + first, row, score))
+        who, row, score = (np.concatenate(c) for c in zip(*found, strict=True))
         taken = asked.select(names[:3]).take(pa.array(who))
         return taken.append_column("id", pa.array(ids[row])).append_column("score", pa.array(score))
 

@@ -66,6 +66,7 @@ def test_ties_groups_of_copies_and_odd_rows(spark, tmp_path, monkeypatch):
 
 def test_scattered_vectors_over_many_blocks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(negatives, "BLOCK", 500)
+    monkeypatch.setattr(negatives, "TOGETHER", 7)
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 1, (10, 16))
     rows = [(i, (centres[i % 10] + rng.normal(0, 0.6, 16)).tolist(), int(rng.integers(10))) for i in range(3000)]
