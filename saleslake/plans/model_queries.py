@@ -384,9 +384,9 @@ def _boosted_query(name: str, **settings) -> None:
         return written(models.score(scored, name), name)
 
 
-# the same rounds, depth and rate as `ml_gbt_deep`, and best leaf first with as many leaves as the library it stands for takes
-_boosted_query("ml_boost_deep", rounds=100, depth=6, rate=0.1)
-_boosted_query("ml_boost_leafwise", rounds=100, depth=12, leaves=31, rate=0.1)
+# the depth of `ml_gbt_deep`, and best leaf first with as many leaves as the library it stands for takes; a fifth of the rounds at three times the rate
+_boosted_query("ml_boost_deep", rounds=20, depth=6, rate=0.3)
+_boosted_query("ml_boost_leafwise", rounds=20, depth=12, leaves=31, rate=0.3)
 
 # Values of these are cut points themselves, so that SQL has the same bins.
 _EXACT = {"discount": [i / 100 for i in range(11)], "quantity": list(range(1, 51)), "line_no": list(range(1, 8))}
