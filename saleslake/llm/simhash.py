@@ -415,7 +415,7 @@ def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
     All proposed pairs of rows that stay are compared. In each round, a row that comes first in all its buckets stays; the
     members of its buckets are compared to it, go or are done with it, and it leaves the buckets. Rounds go on while
     many pairs are left and shrink by them. Then all similar pairs of the rows left in buckets are found; rows without a
-    similar row before them stay, and those similar to them go, until no pair is left.
+    similar row before them stay, and those similar to them go, until no pair is left. Both ways keep the same rows.
     """
     rank, gone = F.struct(F.xxhash64("id").alias("at"), "id"), []
     before, few = math.inf, None
@@ -434,7 +434,11 @@ def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
         keyed = placed.select("id", "key").join(centres.select(F.col("head").alias("id")).union(gone[-1]), "id", "left_anti")
         keyed = written(keyed, "near-keyed")
     pairs = written(_prefix_pairs(shingled.join(placed.select("id").distinct(), "id")), "near-pairs")
-    edges = written(_alike(pairs, shingled), "near-edges")
+    # as in the rounds, a pair counts if it shares a key, so when they end has no effect on what stays; a row has BANDS keys at most
+    keys = written(placed.groupBy("id").agg(F.collect_list("key").alias("keys")), "near-keys")
+    of_head = keys.select(F.col("id").alias("head"), F.col("keys").alias("of_head"))
+    shared = _alike(pairs, shingled).join(keys, "id").join(of_head, "head").filter(F.arrays_overlap("keys", "of_head"))
+    edges = written(shared.select("id", "head"), "near-edges")
     while edges.limit(1).count():
         stay = edges.select("head").distinct().join(edges.select(F.col("id").alias("head")), "head", "left_anti")
         gone.append(written(edges.join(stay, "head").select("id").distinct(), "near-gone"))

@@ -227,3 +227,24 @@ def test_pairs_far_from_the_centre_of_their_group_go(spark):
     for group in range(6):
         assert {group * 100 + k for k in range(6)} <= left
         assert len({group * 100 + 6, group * 100 + 50} & left) == 1
+
+
+def test_what_stays_does_not_depend_on_the_number_of_pairs(spark, monkeypatch):
+    """Rounds only, as few rounds as possible, and the usual mixture keep the same rows."""
+    random.seed(24)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for group in range(10):
+        base = [random.choice(words) for _ in range(90)]
+        for k in range(9):
+            edit = list(base)
+            for at in random.sample(range(90), random.choice([0, 1, 2, 3, 4, 5])):
+                edit[at] = random.choice(words)
+            rows.append((group * 100 + k, " ".join(edit + [random.choice(words) for _ in range(random.choice([0, 4, 9]))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = []
+    for paired, shrink in ((0.0, 2.0), (1e9, 0.9), (simhash.PAIRED, simhash.SHRINK)):
+        monkeypatch.setattr(simhash, "PAIRED", paired)
+        monkeypatch.setattr(simhash, "SHRINK", shrink)
+        kept.append(sorted(r.doc_id for r in simhash.without_near_copies(df).collect()))
+    assert kept[0] == kept[1] == kept[2] and 10 <= len(kept[0]) < 90
