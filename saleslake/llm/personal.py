@@ -44,6 +44,12 @@ CONTEXT = {
     "iban": "iban bank account konto cuenta compte bic swift",
     "ssn": "ssn social security",
 }
+# Lengths of account numbers by country.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 "
+    "GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 "
+    "NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+)
 LOWERS = "version order example test sample invoice item isbn id"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -52,7 +58,7 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ A-Z0-9])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _RAISES = {kind: re.compile(rf"\b(?:{'|'.join(map(re.escape, words.split()))})\b", re.I) for kind, words in CONTEXT.items()}
 _LOWERS = re.compile(rf"\b(?:{'|'.join(LOWERS.split())})\b", re.I)
@@ -105,10 +111,27 @@ def _phones(text: str):
             yield m.span()
 
 
+_LENGTH_OF = {entry[:2]: int(entry[2:]) for entry in IBAN_LENGTHS.split()}
+_ACCOUNT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+
+
 def _ibans(text: str):
+    """From a country and two digits, as many letters and digits as the country has, single blanks between them allowed."""
+    free = 0
     for m in _IBAN.finditer(text):
-        if mod97(m.group()):
-            yield m.span()
+        left, at = _LENGTH_OF.get(m.group()[:2], 0) - 4, m.end()
+        if left <= 0 or m.start() < free:
+            continue
+        while left and at < len(text):
+            if text[at] in _ACCOUNT:
+                left -= 1
+            elif text[at] != " " or text[at - 1] == " ":
+                break
+            at += 1
+        whole = not left and (at == len(text) or not (text[at].isascii() and text[at].isalnum()))
+        if whole and mod97(text[m.start() : at]):
+            free = at
+            yield m.start(), at
 
 
 def _ssns(text: str):

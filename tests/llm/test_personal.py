@@ -72,3 +72,14 @@ def test_query(spark, tables):
     assert len(rows) == 200
     for r in rows:
         assert sum(r[f"n_{k}"] for k in personal.BASE) <= len([s for s in r.spans.split(",") if s])
+
+
+def test_account_numbers_end_where_their_country_says():
+    """The words behind a number are not taken for a part of it, with or without blanks inside."""
+    found = lambda text: [text[a:b] for kind, a, b, _ in personal.spans_of(text) if kind == "iban"]
+    for number in ("BE68 5390 0754 7034", "BE68539007547034", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606"):
+        for text in ("pay {}", "pay {} TODAY", "{} FROM me", "{} NOW 12 AND", "iban {}.", "({})", "{} {}"):
+            times = text.count("{}")
+            assert found(text.format(*[number] * times)) == [number] * times, text
+    for wrong in ("BE69 5390 0754 7034", "BE68 5390 0754 7034X", "BE68 5390 0754  7034", "XX68 5390 0754 7034", "BE68", "BE68 5390", "aBE68539007547034"):
+        assert found(f"pay {wrong} now") == []
