@@ -6,11 +6,16 @@ stands for the letters it resembles, a run of a letter for one or two, a separat
 path that is cheapest under language model and channel, and the restored word takes the place of the disguised one.
 
 Score. Words of the restored text and their beginnings are hashed features. Those that are significantly more frequent in texts
-labelled toxic enter a logistic regression on their counts. It is fitted on at most about `FIT_ROWS` labelled rows, taken by a
-hash of the text and so evenly from all of them; the feature counts of those rows are summed by Spark.
+labelled toxic enter a logistic regression on their counts. It is fitted on at most about `FIT_ROWS` distinct labelled texts, taken by
+a hash of the text and so evenly from all of them; each counts as often as it occurs, and the feature counts are summed by Spark.
+
+A run of single letters set apart may hold several words: a separator is read as nothing or as the border of a word. Disguised
+words and runs of any length are read; the states of the lattice are bounded, so the time is linear in their length.
 
 Defined results: null is the empty text, which gets the score of a text without evidence. Without labelled rows of
-both classes every score is the share of toxic ones (0 without any). Result columns replace columns of the same name.
+both classes every score is the share of toxic ones (0 without any). Repeated labelled rows count each; of repeated labels of
+one document one counts. Among features that tell equally well the one of the smaller number comes first, among readings that
+cost the same the one found first. Result columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -18,11 +23,12 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +49,14 @@ LOOKALIKES = {
 }
 SEPARATORS = " .-_*'"
 SIGN_COST, KEEP_SIGN_COST, SEPARATOR_COST, COLLAPSE_COST = 0.5, 6.0, 0.2, 0.1
-LONGEST_TOKEN = 40  # longer ones are codes and keys, no words
+REMEMBERED, REMEMBERED_LENGTH = 50_000, 64  # words, of so many characters at most, that a worker remembers
 
 CLASSES = 64  # of characters in the language model: 0 the border of a word, 1-26 a-z, others hashed
 _SIGNS = "".join(map(re.escape, LOOKALIKES))
-_SUSPECT = re.compile(f"[{_SIGNS}]+(?=[a-zà-ÿ])")
+# signs before a letter, or those that are no marks behind the last one
+_SUSPECT = re.compile(f"[{_SIGNS}]+(?=[a-zà-ÿ])|(?<=[a-zà-ÿ])[0-9@$€£]+$")
+_MARKS = "!|+(*"
+_CODE = re.compile("[0-9a-f]{16,}")  # digests and the like are no words
 _SPACED = re.compile(rf"(?<![^\W_])(?:[a-z{_SIGNS}][{re.escape(SEPARATORS)}]){{2,}}[a-z{_SIGNS}](?![^\W_])")
 _TOKEN = re.compile(r"\S+")
 _TRIPLE = re.compile(r"([a-z])\1\1")
@@ -90,13 +99,19 @@ def character_model(docs: DataFrame, text: str) -> np.ndarray:
     return np.log((counts + 20.0 * lower) / (counts.sum(axis=2, keepdims=True) + 20.0)).astype(np.float32)
 
 
-def restored_word(token: str, model: list[float]) -> str:
-    """The cheapest reading of a disguised word. States are the last two letters; `best` maps each to (cost, word)."""
+_SIGN_SET = "".join(LOOKALIKES)
+
+
+def restored_word(token: str, model) -> str:
+    """The cheapest reading of a disguised word, or of several words set apart, which blanks then separate.
+
+    States are the last two letters; `best` maps each to (cost, reading), a reading being (letters, the reading before).
+    """
 
     def cost(a: int, b: int, c: int) -> float:
         return -model[(a * CLASSES + b) * CLASSES + c]
 
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     i = 0
     while i < len(token):
         char = token[i]
@@ -111,28 +126,37 @@ def restored_word(token: str, model: list[float]) -> str:
             for letter in LOOKALIKES.get(char, ""):
                 readings += [(letter * k, SIGN_COST) for k in ({1, min(repeats, 2)})]
             if char in SEPARATORS:
-                readings.append(("", SEPARATOR_COST))
+                readings += [("", SEPARATOR_COST), (" ", SEPARATOR_COST)]
             readings.append(("", KEEP_SIGN_COST))
-        step: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (spent, word) in best.items():
+        step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (spent, before) in best.items():
             for letters, extra in readings:
+                if letters == " " and not b:
+                    continue  # a border behind a border
                 x, y, total = a, b, spent + extra
                 for letter in letters:
-                    z = _class(letter)
+                    z = 0 if letter == " " else _class(letter)
                     total += cost(x, y, z)
                     x, y = y, z
-                if (x, y) not in step or (total, word + letters) < step[x, y]:
-                    step[x, y] = (total, word + letters)
+                if (x, y) not in step or total < step[x, y][0]:
+                    step[x, y] = (total, (letters, before) if letters else before)
         best, i = step, end
-    return min((spent + cost(a, b, 0), word) for (a, b), (spent, word) in best.items())[1]
+    _, reading = min(((spent + (cost(a, b, 0) if b else 0.0), reading) for (a, b), (spent, reading) in best.items()), key=lambda r: r[0])
+    parts = []
+    while reading is not None:
+        letters, reading = reading
+        parts.append(letters)
+    return "".join(reversed(parts)).strip()
 
 
-def restored(text: str, model: list[float], memo: dict[str, str]) -> str:
+def restored(text: str, model, memo: dict[str, str]) -> str:
     """The text in lower case with its disguised words restored."""
 
     def read(token: str) -> str:
+        if len(token) > REMEMBERED_LENGTH:
+            return restored_word(token, model)
         if token not in memo:
-            if len(memo) >= 50_000:
+            if len(memo) >= REMEMBERED:
                 memo.clear()
             memo[token] = restored_word(token, model)
         return memo[token]
@@ -140,20 +164,18 @@ def restored(text: str, model: list[float], memo: dict[str, str]) -> str:
     def word(match: re.Match) -> str:
         core = match.group().strip(_EDGES)
         bare = core.rstrip(_SIGN_SET)
-        if len(core) - len(bare) > 1:  # several signs behind the last letter are marks, a single one may stand for a letter
+        # one or two signs behind the last letter may stand for letters, more of them are marks; so are two of those that end sentences
+        if len(core) - len(bare) > (1 if core[-1:] in _MARKS else 2):
             core = bare
-        if not 3 <= len(core) <= LONGEST_TOKEN or not any(map(str.isalpha, core)):
+        if len(core) < 3 or not any(map(str.isalpha, core)) or _CODE.fullmatch(core):
             return match.group()
         if _SUSPECT.search(core) or _TRIPLE.search(core):
             return read(core)
         return match.group()
 
-    text = text.lower()
-    text = _SPACED.sub(lambda m: read(m.group()) if len(m.group()) <= 2 * LONGEST_TOKEN else m.group(), text)
-    return _TOKEN.sub(word, text)
+    return _TOKEN.sub(word, _SPACED.sub(lambda m: read(m.group()), text.lower()))
 
 
-_SIGN_SET = "".join(LOOKALIKES)
 _POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, dtype=np.uint64))
 _LETTER = np.array([(97 <= b <= 122) or b >= 128 for b in range(256)])
 
@@ -199,7 +221,7 @@ class _Hashed:
             yield self.text[long], _hashed(self.total[at + size] - self.total[at])
 
 
-def _prepared(piece: pa.Array, model: list[float], memo: dict[str, str]) -> _Hashed:
+def _prepared(piece: pa.Array, model, memo: dict[str, str]) -> _Hashed:
     """The hashed features of some texts after restoring disguised words."""
     raw = [(t or b"").lower() for t in pc.cast(piece, pa.binary()).to_pylist()]
     words = _Hashed(raw)
@@ -213,12 +235,12 @@ def _prepared(piece: pa.Array, model: list[float], memo: dict[str, str]) -> _Has
     return _Hashed(raw) if changed else words
 
 
-_SUSPECT_BYTES = re.compile(b"[" + b"".join(re.escape(c).encode() for c in LOOKALIKES if c < "\x7f") + rb"]+(?=[a-z\x80-\xff])|\xe2\x82\xac(?=[a-z])|\xc2\xa3(?=[a-z])")
+_SUSPECT_BYTES = re.compile(b"[" + b"".join(re.escape(c).encode() for c in LOOKALIKES if c < "\x7f") + rb"]+(?=[a-z\x80-\xff])|\xe2\x82\xac(?=[a-z])|\xc2\xa3(?=[a-z])|[a-z](?:[0-9@$]|\xe2\x82\xac|\xc2\xa3)")
 
 
 def _memo(model: str) -> dict[str, str]:
     """The words that a worker has restored under the named language model; it remembers one model's."""
-    memory = worker_memory()
+    memory = worker_memory("toxicity")
     if memory.get("restored_by") != model:
         memory["restored_by"], memory["restored"] = model, {}
     return memory["restored"]
@@ -230,7 +252,7 @@ class Toxicity:
     def __init__(self, docs: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic"):
         """`docs`: all documents, for the language model. `labelled`: rows with text and label, all of which may be learnt."""
         spark = docs.sparkSession
-        model, name = spark.sparkContext.broadcast(character_model(docs, text).ravel().tolist()), uuid.uuid4().hex
+        model, name = spark.sparkContext.broadcast(array("f", character_model(docs, text).ravel())), uuid.uuid4().hex
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def distinct_features(texts: pa.Array) -> pa.Array:
@@ -242,16 +264,19 @@ class Toxicity:
                 pieces.append(list_array(pa.array((both & (1 << FEATURE_BITS) - 1).astype(np.int32)), per_text))
             return joined(pieces, pa.list_(pa.int32()))
 
-        rows = labelled.filter(F.col(label).isNotNull()).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("toxic"))
-        share = min(1.0, FIT_ROWS / max(1, rows.count()))
-        picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-        sample = written(picked.select("toxic", "text", distinct_features("text").alias("features")), "toxicity-sample")
-        totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # distinct texts by their hash: copies of one text are one row with a weight, however many they are
+        known = F.col(HASH) if HASH in labelled.columns else text_hash(text)
+        hashed = labelled.filter(F.col(label).isNotNull()).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("toxic"), known.alias("hash"))
+        share = min(1.0, FIT_ROWS / max(1, hashed.select("hash", "toxic").distinct().count()))
+        picked = hashed.filter(F.pmod("hash", F.lit(1 << 20)) < int(share * (1 << 20)))
+        picked = picked.groupBy("text", "toxic").agg(F.count(F.lit(1)).alias("weight"))
+        sample = written(picked.select("toxic", "weight", "text", distinct_features("text").alias("features")), "toxicity-sample")
+        totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
         toxic, clean = totals.get(1, 0), totals.get(0, 0)
         self.features, weights = np.zeros(0, dtype=np.int64), np.array([-30.0 if not toxic else math.log(toxic / clean) if clean else 30.0, 0.0])
         if toxic and clean:
-            counts = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
-                F.sum("toxic").alias("in_toxic"), F.count(F.lit(1)).alias("in_all")
+            counts = sample.select("toxic", "weight", F.explode("features").alias("feature")).groupBy("feature").agg(
+                F.sum(F.col("toxic") * F.col("weight")).alias("in_toxic"), F.sum("weight").alias("in_all")
             )
             p = F.col("in_all") / (toxic + clean)
             z = (F.col("in_toxic") / toxic - (F.col("in_all") - F.col("in_toxic")) / clean) / F.sqrt(p * (1 - p + 1e-9) * (1 / toxic + 1 / clean))
@@ -276,9 +301,9 @@ class Toxicity:
 
         if len(self.features):
             # about FIT_ROWS rows of at most FEATURES + 1 numbers
-            matrix = sample.select("toxic", designed("text").alias("x")).toArrow()
+            matrix = sample.select("toxic", "weight", designed("text").alias("x")).toArrow()
             x = np.array(matrix["x"].combine_chunks().flatten()).reshape(matrix.num_rows, -1)
-            weights = fitted(x.astype(np.float64), matrix["toxic"].to_numpy())
+            weights = fitted(x.astype(np.float64), matrix["toxic"].to_numpy(), matrix["weight"].to_numpy())
         self.weights = weights
         of_model = spark.sparkContext.broadcast(weights)
 
@@ -298,15 +323,16 @@ class Toxicity:
         return columns
 
 
-def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; intercept first. Rows and columns are bounded, see `Toxicity`."""
+def fitted(x: np.ndarray, y: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; intercept first. Rows (each counted `often` times) and columns are bounded, see `Toxicity`."""
+    often = np.ones(len(y)) if often is None else often.astype(np.float64)
     x = np.column_stack([np.ones(len(x)), x])
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
     ridge[0] = 1e-6
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + ridge * w
-        hessian = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
+        gradient = x.T @ (often * (p - y)) + ridge * w
+        hessian = (x * (often * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -314,17 +340,27 @@ def fitted(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+HASH = "_hash_of_text"
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """Text and label of the rows to learn from: labelled, and not held out."""
+    """Text, label and the text's hash of the rows to learn from: labelled, and not held out.
+
+    The hash is made before the join, so that only texts which are picked by it are moved.
+    """
     usable = labels.filter((bucket_of(key, 5) != 0) & F.col(label).isNotNull()).select(key, label).dropDuplicates([key])
-    return docs.select(key, text).join(usable, key).select(text, label)
+    return docs.select(key, text, text_hash(text).alias(HASH)).join(usable, key).select(text, label, HASH)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """`docs` less the rows predicted toxic, learnt from `labels` and the texts of `base` (else of `docs`)."""
     base = docs if base is None else base
     model = Toxicity(docs, labelled_rows(base, labels))
-    return docs.withColumn("_toxic", model.score("text")).filter("_toxic < 0.5").drop("_toxic")
+    return docs.filter(model.score("text") < 0.5)
 
 
 @query("op9_toxicity")
