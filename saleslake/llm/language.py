@@ -33,7 +33,8 @@ BUCKET_BITS = 16
 SWITCH = 6.0  # penalty of a change of language, in the unit of word scores
 SCRIPT_SHARE = 0.001
 SMOOTHING = 0.5
-WORD_PIECE = 1 << 19  # code points of a group of texts
+WORD_PIECE = 1 << 20  # code points of a group of texts
+FEW = 12  # texts that are decoded one by one, when all others have ended
 HELD = 32  # languages whose counts a task holds at a time
 PAD = max(GRAMS) - 1
 RESULT = T.StructType(
@@ -169,9 +170,12 @@ def _word_places(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sums(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Sums of consecutive ranges of rows."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[stop] - total[first]
+    """Sums of ranges of rows, which are not empty, do not overlap and follow each other."""
+    if not len(first):
+        return np.zeros((0, *values.shape[1:]))
+    cuts = np.column_stack([first, stop]).ravel()
+    closed = np.concatenate([values, np.zeros((1, *values.shape[1:]), dtype=values.dtype)])  # so that the last stop is a place
+    return np.add.reduceat(closed, cuts, axis=0, dtype=np.float64)[::2]
 
 
 def train(labelled: DataFrame, text: str, lang: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -248,7 +252,10 @@ def word_scores(words: Words, weights: np.ndarray, allowed: np.ndarray) -> np.nd
 
 
 def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, of: np.ndarray | None = None) -> np.ndarray:
-    """The best language of each word; `text` (ascending) says which text a word is of, `of` which row of scores it has."""
+    """The best language of each word; `text` (ascending) says which text a word is of, `of` which row of scores it has.
+
+    Texts advance together, a word a step. When no more than `FEW` are left, each goes on alone.
+    """
     of = np.arange(len(text)) if of is None else of
     counts = np.bincount(text, minlength=n_texts)
     order = np.argsort(-counts, kind="stable")
@@ -258,7 +265,8 @@ def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, of: np.ndarray |
     label = np.zeros(len(text), dtype=np.int16)
     longest = int(counts[0]) if len(counts) else 0
     active = np.searchsorted(-counts, -np.arange(longest), "left")  # texts that have a word t
-    for t in range(longest):
+    together = int(np.searchsorted(-active, -FEW, "left"))  # steps with more than FEW texts
+    for t in range(together):
         a = active[t]
         at, now = starts[:a] + t, value[:a]
         if t:
@@ -268,8 +276,18 @@ def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, of: np.ndarray |
             best_before[at] = best
             now = np.maximum(now, reach[:, None])
         value[:a] = now + scores[of[at]]
+    for i in range(int(active[together]) if together < longest else 0):
+        _alone(scores, of, int(starts[i]), together, int(counts[i]), value[i], switched, best_before)
     last = value.argmax(axis=1)
-    for t in range(longest - 1, -1, -1):
+    for i in range(int(active[together]) if together < longest else 0):
+        rest = slice(int(starts[i]) + together, int(starts[i] + counts[i]))
+        now, found = int(last[i]), []
+        for moved, before in zip(switched[rest].tolist()[::-1], best_before[rest].tolist()[::-1], strict=True):
+            found.append(now)
+            if moved[now]:  # never so at the text's first word
+                now = before
+        label[rest], last[i] = found[::-1], now
+    for t in range(together - 1, -1, -1):
         a = active[t]
         at = starts[:a] + t
         label[at] = last[:a]
@@ -278,6 +296,24 @@ def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, of: np.ndarray |
     return label
 
 
+def _alone(scores, of, start: int, done: int, count: int, value: np.ndarray, switched: np.ndarray, best_before: np.ndarray) -> None:
+    """The steps of one text from word `done` on; leaves its last values in `value`."""
+    now, moves, befores = value.tolist(), [], []
+    for t, row in enumerate(scores[of[start + done : start + count]].tolist(), done):
+        if t:
+            top = max(now)
+            reach = top - SWITCH
+            befores.append(now.index(top))
+            moves.append([v < reach for v in now])
+            now = [(reach if v < reach else v) + s for v, s in zip(now, row, strict=True)]
+        else:
+            befores.append(0)
+            moves.append([False] * len(row))
+            now = [v + s for v, s in zip(now, row, strict=True)]
+    switched[start + done : start + count], best_before[start + done : start + count] = moves, befores
+    value[:] = now
+
+
 def labelled_texts(texts: list[str], names: list[str], weights: np.ndarray, allowed: np.ndarray) -> list[dict]:
     """Prediction, score and spans of each text."""
     if not names:
@@ -332,7 +368,7 @@ class Languages:
         @F.arrow_udf(RESULT)
         def predict(texts: pa.Array) -> pa.Array:
             out = []
-            for piece in slices(texts, max(1 << 16, (2 << 20) * 8 // (8 + len(shared.value[0])))):
+            for piece in slices(texts, max(1 << 16, (4 << 20) * 8 // (8 + len(shared.value[0])))):
                 rows = labelled_texts(strings(piece), *shared.value)
                 flat = [s for r in rows for s in r["spans"]]
                 kind = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())])

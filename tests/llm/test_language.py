@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from saleslake.llm import language as lg
@@ -44,7 +45,9 @@ def test_without_labels_everything_is_undetermined(spark):
     assert df.select(model.predict("text").alias("f")).first().f.lang_pred == "und"
 
 
-def test_viterbi_equals_brute_force():
+@pytest.mark.parametrize("few", [0, 1, 2, 6])
+def test_viterbi_equals_brute_force(monkeypatch, few):
+    monkeypatch.setattr(lg, "FEW", few)
     rng = np.random.default_rng(5)
     counts = [5, 1, 0, 6, 3]
     text = np.repeat(np.arange(5), counts)
@@ -157,3 +160,16 @@ def test_many_languages(spark):
     assert len(model.names) == 70
     df = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string")
     assert df.select("*", model.predict("text").alias("f")).filter("lang_pred = f.lang_pred").count() >= 66
+
+
+def test_ways_of_decoding_agree(monkeypatch):
+    rng = np.random.default_rng(7)
+    counts = rng.integers(0, 200, 40)
+    text = np.repeat(np.arange(40), counts)
+    scores = -rng.exponential(3, (50, 4))
+    of = rng.integers(0, 50, len(text))
+    found = []
+    for few in (0, 3, 40):
+        monkeypatch.setattr(lg, "FEW", few)
+        found.append(lg.viterbi(scores, text, 40, of).tolist())
+    assert found[0] == found[1] == found[2] and len(set(found[0])) == 4
