@@ -51,11 +51,14 @@ def surplus_duplicates(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each set of equal rows: the sum of (count - 1), 0 if there are none.
 
     Only 64-bit hashes of the rows are shuffled first. Whole rows are compared where a hash repeats; these hashes are
-    written, so that the planner knows how few they are and leaves all other rows where they are.
+    written, so that the planner knows how few they are and leaves all other rows where they are. Where none repeats, no two rows are
+    equal, and the rows aren't read a second time.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     hashes = df.select(F.xxhash64(*columns).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("n"))
     repeated = written(hashes.filter("n > 1").select("_hash"), "repeated-hashes")
+    if repeated.isEmpty():
+        return repeated.agg(F.count(F.lit(1)).alias("total_duplicates"))
     return (
         df.withColumn("_hash", F.xxhash64(*columns))
         .join(repeated, "_hash", "left_semi")

@@ -35,3 +35,10 @@ def test_lines_move_once_for_products_and_once_for_orders(spark):
     merges = [line for line in tree.splitlines() if "SortMergeJoin" in line]
     assert len(merges) == 3 and sum("l_orderkey" in m or "l_partkey" in m for m in merges) == 2
     assert tree.count("BroadcastExchange") == 2  # nations and regions
+
+
+def test_no_second_pass_without_repeated_hashes(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "i int, t string")
+    found = quality.surplus_duplicates(rows)
+    assert "Join" not in plan(found) and found.collect()[0][0] == 0 and found.dtypes == [("total_duplicates", "bigint")]
+    assert quality.surplus_duplicates(rows.union(rows).union(rows.limit(1))).collect()[0][0] == 4
