@@ -315,6 +315,7 @@ def op1_simhash_links(spark, folder):
 
 SIMILARITY = 0.8
 SHINGLE = 5
+LINK_WORDS, LINK_BITS = 3, 2  # of the fingerprints, as in `op1_simhash_links`
 PAIRED = 0.25  # pairs for each member of a bucket at the start, down to which rounds go on
 SHRINK = 0.9  # while a round leaves no more of the pairs, another follows
 # Bands of minimum hashes. At a Jaccard similarity s two texts share a band with probability 1 - (1 - s**BAND_ROWS)**BANDS:
@@ -434,7 +435,7 @@ def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
         keyed = placed.select("id", "key").join(centres.select(F.col("head").alias("id")).union(gone[-1]), "id", "left_anti")
         keyed = written(keyed, "near-keyed")
     pairs = written(_prefix_pairs(shingled.join(placed.select("id").distinct(), "id")), "near-pairs")
-    # as in the rounds, a pair counts if it shares a key, so when they end has no effect on what stays; a row has BANDS keys at most
+    # as in the rounds, a pair counts if it shares a key, so when they end has no effect on what stays; a row has BANDS + 1 keys at most
     keys = written(placed.groupBy("id").agg(F.collect_list("key").alias("keys")), "near-keys")
     of_head = keys.select(F.col("id").alias("head"), F.col("keys").alias("of_head"))
     shared = _alike(pairs, shingled).join(keys, "id").join(of_head, "head").filter(F.arrays_overlap("keys", "of_head"))
@@ -453,16 +454,22 @@ def without_near_copies(df: DataFrame, key: str = "doc_id", text: str = "text")
     Rows with equal word sequences are copies; those with the smallest key of them stay (rows that share a key are one
     document, and stay or go together). Texts without words are no copies of each other and all stay, as do rows with a
     null key.
-    Other texts are proposed to each other if they share one of `BANDS` bands of minimum hashes, and compared by the Jaccard
-    similarity of their five-word shingles. A text goes only for one that stays and has 0.8 or more, and no two proposed
+    Other texts are proposed to each other if the join of `op1_simhash_links` puts their fingerprints into one component, or if they share
+    one of `BANDS` bands of minimum hashes (fingerprints miss most pairs near 0.8), and compared by the Jaccard similarity
+    of their five-word shingles. A text goes only for one that stays and has 0.8 or more, and no two proposed
     texts as similar as that both stay.
     """
     rows = df.filter(F.col(key).isNotNull() & (F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x09-\x0D]", " ")) != ""))
-    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _bands(text).alias("bands")), "near-prints")
-    firsts = written(prints.groupBy("words").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-firsts")
+    prints = written(rows.select(F.col(key).alias("id"), _word_sequence(text).alias("words"), _bands(text).alias("bands"), fingerprint_of(LINK_WORDS)(text).alias("p")), "near-prints")
+    firsts = written(prints.groupBy("words").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("p").alias("p")), "near-firsts")
     copies = prints.join(firsts.select("words", F.col("id").alias("first")), "words").filter("id > first").select("id")
     # a key that stands in several rows counts once, with one of its texts
-    spread = firsts.dropDuplicates(["id"]).select("id", F.explode("bands").alias("key"))
+    single = firsts.dropDuplicates(["id"])
+    # the join of `op1_simhash_links`: rows of one component have its number as a key, beside those of their bands
+    linked = written(components(links(firsts.select("p").distinct(), LINK_BITS)), "near-linked")
+    root = F.xxhash64(F.lit("component"), F.coalesce("root", "p")).alias("key")
+    of_component = single.select("id", "p").join(linked.withColumnRenamed("node", "p"), "p", "left").select("id", root)
+    spread = single.select("id", F.explode("bands").alias("key")).union(of_component)
     shared = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     keyed = written(spread.join(shared, "key").select("id", "key"), "near-keyed")
     members = written(keyed.select("id").distinct(), "near-members")

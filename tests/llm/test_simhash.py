@@ -248,3 +248,21 @@ def test_what_stays_does_not_depend_on_the_number_of_pairs(spark, monkeypatch):
         monkeypatch.setattr(simhash, "SHRINK", shrink)
         kept.append(sorted(r.doc_id for r in simhash.without_near_copies(df).collect()))
     assert kept[0] == kept[1] == kept[2] and 10 <= len(kept[0]) < 90
+
+
+def test_near_copies_are_proposed_by_linked_fingerprints(spark, monkeypatch):
+    """Without any band the join of fingerprints alone finds the copies whose fingerprints it links."""
+    monkeypatch.setattr(simhash, "_bands", lambda text: simhash.F.array().cast("array<bigint>"))
+    rng = random.Random(5)
+    rows, near = [], []
+    for i in range(20):
+        words = [f"w{rng.randrange(4000)}" for _ in range(300)]
+        rows.append((2 * i, " ".join(words)))
+        words[150] = "other"
+        rows.append((2 * i + 1, " ".join(words)))
+        if bin(plain_print(rows[-2][1]) ^ plain_print(rows[-1][1])).count("1") <= 2:
+            near.append(i)
+    assert near
+    left = [r.doc_id for r in simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert [i for i in range(20) if sum(d // 2 == i for d in left) == 1] == near
+    assert len(left) == 40 - len(near)
