@@ -51,6 +51,8 @@ SEPARATORS = " .-_*'"
 SIGN_COST, KEEP_SIGN_COST, SEPARATOR_COST, COLLAPSE_COST = 0.5, 6.0, 0.2, 0.1
 REMEMBERED, REMEMBERED_LENGTH = 50_000, 64  # words, of so many characters at most, that a worker remembers
 
+SLICE = 1 << 19  # bytes of text read at a time; the arrays made of them take some sixty times as much
+
 CLASSES = 64  # of characters in the language model: 0 the border of a word, 1-26 a-z, others hashed
 _SIGNS = "".join(map(re.escape, LOOKALIKES))
 # signs before a letter, or those that are no marks behind the last one
@@ -85,7 +87,7 @@ def character_model(docs: DataFrame, text: str) -> np.ndarray:
     def counted(batches):
         total = np.zeros(CLASSES**3, dtype=np.int64)
         for batch in batches:
-            for piece in slices(batch[0]):
+            for piece in slices(batch[0], SLICE):
                 total += _trigrams([t or "" for t in piece.to_pylist()])
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
@@ -257,7 +259,7 @@ class Toxicity:
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def distinct_features(texts: pa.Array) -> pa.Array:
             pieces = []
-            for piece in slices(texts, 1 << 20):
+            for piece in slices(texts, SLICE):
                 parts = [t * (1 << FEATURE_BITS) + f for t, f in _prepared(piece, model.value, _memo(name)).features()]
                 both = np.unique(np.concatenate(parts))
                 per_text = np.bincount(both >> FEATURE_BITS, minlength=len(piece))
@@ -296,7 +298,7 @@ class Toxicity:
 
         @F.arrow_udf(T.ArrayType(T.FloatType()))
         def designed(texts: pa.Array) -> pa.Array:
-            parts = [design(piece) for piece in slices(texts)]
+            parts = [design(piece) for piece in slices(texts, SLICE)]
             return joined([list_array(pa.array(d.astype(np.float32).ravel()), [d.shape[1]] * len(d)) for d in parts], pa.list_(pa.float32()))
 
         if len(self.features):
@@ -310,7 +312,7 @@ class Toxicity:
         @F.arrow_udf(T.DoubleType())
         def score(texts: pa.Array) -> pa.Array:
             w, parts = of_model.value, [np.zeros(0)]
-            for piece in slices(texts):
+            for piece in slices(texts, SLICE):
                 x = design(piece)
                 parts.append(1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -40, 40))))
             return pa.array(np.concatenate(parts))

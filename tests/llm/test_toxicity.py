@@ -215,3 +215,22 @@ def test_scores_against_a_plain_version(spark):
     got = {r.doc_id: r.s for r in df.select("doc_id", m.score("text").alias("s")).collect()}
     wanted = plain_scores([t for _, t, _ in rows], [(t, y) for _, t, y in rows])
     assert [got[i] for i, _, _ in rows] == pytest.approx(wanted, abs=2e-4)
+
+
+def test_memory_of_a_slice_is_bounded():
+    """Of a batch of 8 MB no more than a part is unpacked at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from saleslake.llm import common
+
+    texts = pa.array(["some words of a text " * 100] * 4000)
+    model = [0.0] * tx.CLASSES**3
+    tracemalloc.start()
+    for piece in common.slices(texts, tx.SLICE):
+        for _ in tx._prepared(piece, model, {}).features():
+            pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
