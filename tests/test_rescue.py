@@ -111,3 +111,12 @@ def test_the_csv_is_parsed_once(spark, tmp_path):
     path = write(tmp_path, a=f"{TOP}\n1,A,01-02-2020,02-02-2020,High,,5\n")
     plan = clean.checked(rescue.read_rescued(spark, path, FULL), clean.RULES)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
+
+
+def test_a_filter_on_checked_lines_parses_each_line_once(spark, tmp_path):
+    """Pushed below the parsed columns, the filter parsed a line again for each column that its rules ask for."""
+    path = write(tmp_path, a="Row ID,Order ID,Product Name,Sales\n1,A,Desk,1\n2,A,Desk,x\n3,A,Desk\n")
+    bad = clean.checked(rescue.read_rescued(spark, path, HEADER), {"no_sales": "sales is null"}).filter(F.size("bad_reasons") > 0)
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert sorted(tuple(r.bad_reasons) for r in bad.collect()) == [("malformed_field_count",), ("unreadable_sales", "no_sales")]
