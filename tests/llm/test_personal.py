@@ -83,3 +83,11 @@ def test_account_numbers_end_where_their_country_says():
             assert found(text.format(*[number] * times)) == [number] * times, text
     for wrong in ("BE69 5390 0754 7034", "BE68 5390 0754 7034X", "BE68 5390 0754  7034", "XX68 5390 0754 7034", "BE68", "BE68 5390", "aBE68539007547034"):
         assert found(f"pay {wrong} now") == []
+
+
+def test_texts_are_masked_in_one_python_process_a_task(spark):
+    """A function on the spans of another one had two processes for each task, and both kept their memory for the stages behind."""
+    df = spark.createDataFrame([(1, "call +44 20 7946 0958"), (2, None), (3, ""), (4, "none")], "doc_id long, text string")
+    masked = personal.redacted(df)
+    assert masked._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r.text for r in masked.orderBy("doc_id").collect()] == ["call [PHONE]", None, "", "none"]
