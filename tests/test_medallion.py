@@ -7,6 +7,9 @@ import pytest
 from saleslake.operators import clean, quality, star
 from saleslake.plans import medallion
 from saleslake.sources import layers
+from saleslake.sources.order_lines import order_lines
+
+FOLDER = "/root/testdata/sf0.001"
 
 HEADER = [
     "Row ID", "Order ID", "Order Date", "Ship Date", "Ship Mode", "Customer ID", "Customer Name", "Segment", "City",
@@ -172,3 +175,18 @@ def test_scratch_tables_are_removed(spark, tmp_path):
         files = frame.inputFiles()
         assert frame.count() == 3 and os.path.exists(path)
     assert not os.path.exists(path) and not os.path.exists(files[0].removeprefix("file://"))
+
+
+def test_a_dimension_reads_only_the_tables_it_needs(spark):
+    """Each dimension had the lines joined to the products and the customers, whether it has use for them or not."""
+    asked = []
+
+    def of(*columns):
+        asked.append(set(columns))
+        return order_lines(spark, FOLDER, *columns)
+
+    fact, dims = star.build_star(of)
+    assert {"order_date", "ship_date"} in asked and {"product_id", "product_name", "category", "sub_category"} in asked
+    assert not any("product_name" in columns and "customer_name" in columns for columns in asked)
+    whole, _ = star.build_star(order_lines(spark, FOLDER))
+    assert fact.exceptAll(whole).count() == 0 and fact.count() == whole.count()
