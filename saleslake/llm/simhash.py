@@ -318,6 +318,7 @@ SHINGLE = 5
 LINK_WORDS, LINK_BITS = 3, 2  # of the fingerprints, as in `op1_simhash_links`
 PAIRED = 0.25  # pairs for each member of a bucket at the start, down to which rounds go on
 SHRINK = 0.9  # while a round leaves no more of the pairs, another follows
+STEP_ROWS, STEP = 256, 16  # rows of the first step over what the rounds leave, about; growth of a step
 # Bands of minimum hashes. At a Jaccard similarity s two texts share a band with probability 1 - (1 - s**BAND_ROWS)**BANDS:
 # 0.99994 at 0.8 and 0.999998 at 0.85.
 BANDS = 32
@@ -375,39 +376,53 @@ def _alike(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     return both.filter(shared >= SIMILARITY * (F.size("shingles") + F.size("of_head") - shared)).select("id", "head")
 
 
-def _prefix_pairs(shingled: DataFrame) -> DataFrame:
-    """(id, head) of all pairs that may be similar, by prefix filtering; `head` has the lower rank.
+def _ordered(shingled: DataFrame) -> DataFrame:
+    """Per id its shingles in one order, those of the fewest texts first, and 512 parities, each of the shingles of one residue."""
+    each = shingled.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    often = written(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "near-often")
+    # no longer than the text
+    ordered = each.join(often, "shingle").groupBy("id", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("all"))
+    # after the aggregate: beside `explode` they would be computed again for each shingle
+    bit = "if(shiftright(x.shingle, 6) & 7 = {k}, shiftleft(1L, cast(x.shingle & 63 as int)), 0L)"
+    parity = [F.expr(f"aggregate(all, 0L, (a, x) -> a ^ {bit.format(k=k)})").alias(f"parity{k}") for k in range(8)]
+    return written(ordered.select("*", *parity), "near-ordered")
+
+
+def _prefix_pairs(ordered: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """(id, head) of all pairs of `ordered`, or of a row of each, that may be similar, by prefix filtering; `head` has the lower rank.
 
     With the shingles in one order, the rarest first, two similar texts share one of the shorter one's first 1 - 2 s / (1 + s) and
     the longer one's first 1 - s, for s = `SIMILARITY`. So what many texts have in common proposes nothing while they differ.
-    Of those pairs go the ones whose shingle sets differ too much by 512 parities, each of the shingles of one residue: sets
-    differ in at least as many shingles as in parities.
+    Of those pairs go the ones whose shingle sets differ too much by their parities: sets differ in at least as many shingles
+    as in parities.
     """
-    parity = [
-        F.expr(f"aggregate(shingles, 0L, (a, x) -> a ^ if(shiftright(x, 6) & 7 = {k}, shiftleft(1L, cast(x & 63 as int)), 0L))").alias(f"parity{k}")
-        for k in range(8)
-    ]
-    size = F.size("shingles").alias("size")
-    each = shingled.select("id", size, *parity, F.explode("shingles").alias("shingle"))
-    often = written(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "near-often")
-    # no longer than the text
     kept = ["id", "size", *[f"parity{k}" for k in range(8)]]
-    ordered = each.join(often, "shingle").groupBy(*kept).agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("all"))
 
-    def first(share: float) -> Column:
+    def first(rows: DataFrame, share: float) -> DataFrame:
         needed = F.ceil(F.col("size") * share - 1e-9).cast("int")
-        return F.inline(F.slice("all", 1, F.col("size") - needed + 1))
+        return rows.select(*kept, F.inline(F.slice("all", 1, F.col("size") - needed + 1))).filter("n > 1")
 
-    ordered = written(ordered, "near-ordered")
-    short = ordered.select(*kept, first(2 * SIMILARITY / (1 + SIMILARITY))).filter("n > 1").alias("a")
-    long = ordered.select(*kept, first(SIMILARITY)).filter("n > 1").alias("b")
     a, b = (F.struct(F.xxhash64(f"{c}.id").alias("at"), F.col(f"{c}.id").alias("id")) for c in "ab")
     shorter = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (a < b))
     both = F.col("a.size") + F.col("b.size")
     unlike = F.expr(" + ".join(f"bit_count(a.parity{k} ^ b.parity{k})" for k in range(8)))
     may = (F.col("a.size") >= F.col("b.size") * SIMILARITY - 1e-9) & (unlike <= both * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
-    met = short.join(long, (F.col("a.shingle") == F.col("b.shingle")) & shorter & may)
-    return met.select(F.greatest(a, b)["id"].alias("id"), F.least(a, b)["id"].alias("head")).distinct()
+
+    def met(shorts: DataFrame, longs: DataFrame) -> DataFrame:
+        short, long = first(shorts, 2 * SIMILARITY / (1 + SIMILARITY)).alias("a"), first(longs, SIMILARITY).alias("b")
+        found = short.join(long, (F.col("a.shingle") == F.col("b.shingle")) & shorter & may)
+        return found.select(F.greatest(a, b)["id"].alias("id"), F.least(a, b)["id"].alias("head"))
+
+    pairs = met(ordered, ordered) if others is None else met(ordered, others).union(met(others, ordered))
+    return pairs.distinct()
+
+
+def _steps(rows: DataFrame) -> list[int | None]:
+    """Bounds of `at`: each step ends behind `STEP` times as many rows as the one before, the first behind `STEP_ROWS` at most; None ends the last."""
+    steps = max(0, math.ceil(math.log(max(1, rows.count()) / STEP_ROWS, STEP)))
+    shares = [STEP**-k for k in range(steps, 0, -1)]
+    found = rows.agg(F.percentile_approx("at", shares, 10_000)).first()[0] if shares else []
+    return [*sorted(set(found or [])), None]
 
 
 def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
@@ -415,8 +430,11 @@ def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
 
     All proposed pairs of rows that stay are compared. In each round, a row that comes first in all its buckets stays; the
     members of its buckets are compared to it, go or are done with it, and it leaves the buckets. Rounds go on while
-    many pairs are left and shrink by them. Then all similar pairs of the rows left in buckets are found; rows without a
-    similar row before them stay, and those similar to them go, until no pair is left. Both ways keep the same rows.
+    many pairs are left and shrink by them. Then the rows left in buckets are taken in steps, the lowest ranks first: all similar pairs
+    of a step's rows are found; rows without a similar row before them stay, and those similar to them go, until no
+    pair is left; then the rows of later steps go that are similar to one that stays. A row with many similar rows has some in
+    an early step, so few are left around it when its own step comes, and the similar pairs found grow with the rows and not with
+    the square of a group. Both ways keep the same rows.
     """
     rank, gone = F.struct(F.xxhash64("id").alias("at"), "id"), []
     before, few = math.inf, None
@@ -434,17 +452,29 @@ def _copies_among(keyed: DataFrame, shingled: DataFrame) -> list[DataFrame]:
         gone.append(written(_alike(asked, shingled).select("id").distinct(), "near-gone"))
         keyed = placed.select("id", "key").join(centres.select(F.col("head").alias("id")).union(gone[-1]), "id", "left_anti")
         keyed = written(keyed, "near-keyed")
-    pairs = written(_prefix_pairs(shingled.join(placed.select("id").distinct(), "id")), "near-pairs")
     # as in the rounds, a pair counts if it shares a key, so when they end has no effect on what stays; a row has BANDS + 1 keys at most
     keys = written(placed.groupBy("id").agg(F.collect_list("key").alias("keys")), "near-keys")
     of_head = keys.select(F.col("id").alias("head"), F.col("keys").alias("of_head"))
-    shared = _alike(pairs, shingled).join(keys, "id").join(of_head, "head").filter(F.arrays_overlap("keys", "of_head"))
-    edges = written(shared.select("id", "head"), "near-edges")
-    while edges.limit(1).count():
-        stay = edges.select("head").distinct().join(edges.select(F.col("id").alias("head")), "head", "left_anti")
-        gone.append(written(edges.join(stay, "head").select("id").distinct(), "near-gone"))
-        left = edges.join(gone[-1], "id", "left_anti").join(gone[-1].select(F.col("id").alias("head")), "head", "left_anti")
-        edges = written(left.select("id", "head"), "near-edges")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        alike = _alike(written(pairs, "near-pairs"), shingled)
+        shared = alike.join(keys, "id").join(of_head, "head").filter(F.arrays_overlap("keys", "of_head"))
+        return shared.select("id", "head")
+
+    left = _ordered(shingled.join(keys.select("id"), "id")).withColumn("at", F.xxhash64("id"))
+    for bound in _steps(left):
+        here = left if bound is None else left.filter(F.col("at") <= bound)
+        edges, stay_here = written(similar(_prefix_pairs(here)), "near-edges"), here
+        while edges.limit(1).count():
+            stay = edges.select("head").distinct().join(edges.select(F.col("id").alias("head")), "head", "left_anti")
+            gone.append(written(edges.join(stay, "head").select("id").distinct(), "near-gone"))
+            stay_here = stay_here.join(gone[-1], "id", "left_anti")
+            rest = edges.join(gone[-1], "id", "left_anti").join(gone[-1].select(F.col("id").alias("head")), "head", "left_anti")
+            edges = written(rest.select("id", "head"), "near-edges")
+        if bound is not None:
+            later = left.filter(F.col("at") > bound)
+            gone.append(written(similar(_prefix_pairs(stay_here, later)).select("id").distinct(), "near-gone"))
+            left = written(later.join(gone[-1], "id", "left_anti"), "near-left")
     return gone
 
 

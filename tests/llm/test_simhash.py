@@ -250,6 +250,36 @@ def test_what_stays_does_not_depend_on_the_number_of_pairs(spark, monkeypatch):
     assert kept[0] == kept[1] == kept[2] and 10 <= len(kept[0]) < 90
 
 
+def test_similar_pairs_grow_with_the_rows_of_a_group(spark, monkeypatch):
+    """Where the rounds leave a group whole, its rows aren't paired all with all, and what stays is the same."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(4000)}" for _ in range(80)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for at in rng.sample(range(80), i % 2):
+            words[at] = f"x{i}"
+        rows.append((i, " ".join([*words, f"y{i}"])))
+    rows += [(1000 + i, " ".join(f"w{rng.randrange(4000)}" for _ in range(80))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs, kept, plain = 0, [], simhash.written
+
+    def counted(frame, label):
+        nonlocal pairs
+        out = plain(frame, label)
+        pairs += out.count() if label in ("near-pairs", "near-edges") else 0
+        return out
+
+    monkeypatch.setattr(simhash, "written", counted)
+    for paired, step_rows in ((1e9, 16), (1e9, 10**6)):
+        monkeypatch.setattr(simhash, "PAIRED", paired)
+        monkeypatch.setattr(simhash, "STEP_ROWS", step_rows, raising=False)
+        pairs = 0
+        kept.append((sorted(r.doc_id for r in simhash.without_near_copies(df).collect()), pairs))
+    assert kept[0][0] == kept[1][0] and len(kept[0][0]) < 300
+    assert kept[0][1] <= 10 * len(rows)
+
+
 def test_near_copies_are_proposed_by_linked_fingerprints(spark, monkeypatch):
     """Without any band the join of fingerprints alone finds the copies whose fingerprints it links."""
     monkeypatch.setattr(simhash, "_bands", lambda text: simhash.F.array().cast("array<bigint>"))
