@@ -41,6 +41,7 @@ FEATURES = 512
 LEAST_Z = 5.0
 PREFIXES = range(4, 10)  # in bytes
 RIDGE = 1.0
+FIT_SLICE = 1024  # rows of the fit that are held as wide numbers at a time
 
 # Letters that a sign may stand for.
 LOOKALIKES = {
@@ -304,8 +305,10 @@ class Toxicity:
         if len(self.features):
             # about FIT_ROWS rows of at most FEATURES + 1 numbers
             matrix = sample.select("toxic", "weight", designed("text").alias("x")).toArrow()
-            x = np.array(matrix["x"].combine_chunks().flatten()).reshape(matrix.num_rows, -1)
-            weights = fitted(x.astype(np.float64), matrix["toxic"].to_numpy(), matrix["weight"].to_numpy())
+            # views of what has come, no copies
+            blocks = [x.flatten().to_numpy().reshape(len(x), -1) for x in matrix["x"].chunks if len(x)]
+            weights = fitted(blocks, matrix["toxic"].to_numpy(), matrix["weight"].to_numpy())
+            del matrix, blocks
         self.weights = weights
         of_model = spark.sparkContext.broadcast(weights)
 
@@ -325,16 +328,27 @@ class Toxicity:
         return columns
 
 
-def fitted(x: np.ndarray, y: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; intercept first. Rows (each counted `often` times) and columns are bounded, see `Toxicity`."""
+def fitted(x: np.ndarray | list[np.ndarray], y: np.ndarray, often: np.ndarray | None = None) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; intercept first. Rows (each counted `often` times) and columns are bounded, see `Toxicity`.
+
+    `x` may come in blocks of rows. Only `FIT_SLICE` rows at a time are made wide numbers, so the driver holds the rows once, as they are.
+    """
+    blocks = x if isinstance(x, list) else [x]
     often = np.ones(len(y)) if often is None else often.astype(np.float64)
-    x = np.column_stack([np.ones(len(x)), x])
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
+    ends = np.cumsum([0, *map(len, blocks)])
+    places = [(k, i, min(i + FIT_SLICE, len(b))) for k, b in enumerate(blocks) for i in range(0, len(b), FIT_SLICE)]
+    width = blocks[0].shape[1] + 1
+    w, ridge = np.zeros(width), np.full(width, RIDGE)
     ridge[0] = 1e-6
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (often * (p - y)) + ridge * w
-        hessian = (x * (often * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(ridge)
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for k, i, end in places:
+            rows = np.ones((end - i, width))
+            rows[:, 1:] = blocks[k][i:end]
+            at = slice(ends[k] + i, ends[k] + end)
+            p = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
+            gradient += rows.T @ (often[at] * (p - y[at]))
+            hessian += (rows * (often[at] * (p * (1 - p) + 1e-6))[:, None]).T @ rows
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:

@@ -234,3 +234,21 @@ def test_memory_of_a_slice_is_bounded():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 60_000_000
+
+
+def test_fit_holds_its_rows_once():
+    """The driver makes a slice of the rows wide at a time: beside the rows themselves it takes no more memory the more rows there are."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    x = rng.random((12_000, 60), dtype=np.float32)
+    y, often = (x[:, 0] + rng.random(len(x)) > 1.0).astype(int), rng.integers(1, 4, len(x))
+    tracemalloc.start()
+    w = tx.fitted(x, y, often)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < x.nbytes
+    blocks = [x[:5000], x[5000:5001], x[5001:]]
+    assert np.allclose(w, tx.fitted(blocks, y, often))
+    gradient = np.column_stack([np.ones(len(x)), x]).T @ (often * (1 / (1 + np.exp(-(w[0] + x @ w[1:]))) - y))
+    assert np.allclose(gradient + np.r_[1e-6, np.full(60, tx.RIDGE)] * w, 0, atol=1e-3)
