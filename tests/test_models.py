@@ -88,3 +88,30 @@ def test_string_index_keeps_unseen_values(spark):
     model = features.string_indexer(["t"]).fit(train)
     test = spark.createDataFrame([("a",), ("b",), ("c",), ("new",)], "t string")
     assert {r.t: r.t_idx for r in model.transform(test).collect()} == {"b": 0.0, "a": 1.0, "c": 2.0, "new": 3.0}
+
+
+def test_grid_search_fits_each_fold_once(spark, monkeypatch):
+    """The errors are those of CrossValidator, from one forest for each fold and parameters: none is fitted for its own sake, over few tasks."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.regression import RandomForestRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    random.seed(3)
+    rows = [(float(i % 7 + random.random() + (i % 3) * 2), float(i % 7), "abc"[i % 3]) for i in range(400)]
+    train = spark.createDataFrame(rows, "label double, a double, t string").coalesce(1)
+    grid = {"numTrees": [2, 3], "maxDepth": [0, 1]}
+    parts, fit = [], RandomForestRegressor._fit_java
+    monkeypatch.setattr(RandomForestRegressor, "_fit_java", lambda self, df: (parts.append(df.rdd.getNumPartitions()), fit(self, df))[1])
+    got = models.grid_search(train, ["a"], "t", "label", parallelism=spark.sparkContext.defaultParallelism, grid=grid)
+    assert len(got) == 4 and parts == [1] * 12
+
+    indexed = features.string_indexer(["t"]).fit(train).transform(train)
+    frame = VectorAssembler(inputCols=["a", "t_idx"], outputCol="features").transform(indexed).select("features", "label")
+    forest = models.random_forest(labelCol="label")
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(forest.getParam(name), values)
+    maps, by_error = builder.build(), RegressionEvaluator(metricName="rmse")
+    wanted = CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=by_error, numFolds=3, seed=models.SEED).fit(frame).avgMetrics
+    assert [p for p, _ in got] == [{p.name: v for p, v in m.items()} for m in maps]
+    assert [e for (p, e) in got] == pytest.approx(wanted, rel=0.1)
