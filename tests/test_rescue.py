@@ -120,3 +120,28 @@ def test_a_filter_on_checked_lines_parses_each_line_once(spark, tmp_path):
     plan = bad._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv(") == 1
     assert sorted(tuple(r.bad_reasons) for r in bad.collect()) == [("malformed_field_count",), ("unreadable_sales", "no_sales")]
+
+
+def test_replay_joins_the_lines_once_and_exports_packed_text(spark, monkeypatch):
+    from datetime import date
+    from decimal import Decimal
+
+    from saleslake.plans import clean_queries
+
+    rows = [(o, n, f"part {o}", Decimal(n), date(2020, 1, 1 + n), date(2020, 2, 1 + n), Decimal("1.5") * o) for o in range(1, 40) for n in (1, 2, 3)]
+    lines = spark.createDataFrame(rows, "order_id bigint, line_no int, product_name string, quantity decimal(14,2), order_date date, ship_date date, sales decimal(18,4)")
+    calls, exports = [], []
+    export = clean_queries._export
+    monkeypatch.setattr(clean_queries, "order_lines", lambda *a: (calls.append(a), lines)[1])
+
+    def listed(*given):
+        path = export(*given)
+        exports.extend(spark.read.format("binaryFile").load(path).select("path").collect())
+        return path
+
+    monkeypatch.setattr(clean_queries, "_export", listed)
+    found = clean_queries.quarantine_replay(spark, "nowhere")
+    assert len(calls) == 1 and exports and all(r.path.endswith(".gz") for r in exports)
+    whole = {r.row_id for r in clean_queries._exported(spark, "").selectExpr(f"cast({clean_queries._ROW_ID} as int) as row_id").collect()}
+    got = [r.row_id for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) <= whole and len(got) > len(whole) / 3
