@@ -115,3 +115,17 @@ def test_grid_search_fits_each_fold_once(spark, monkeypatch):
     wanted = CrossValidator(estimator=forest, estimatorParamMaps=maps, evaluator=by_error, numFolds=3, seed=models.SEED).fit(frame).avgMetrics
     assert [p for p, _ in got] == [{p.name: v for p, v in m.items()} for m in maps]
     assert [e for (p, e) in got] == pytest.approx(wanted, rel=0.1)
+
+
+def test_vectors_move_the_training_lines_once(spark):
+    """As codes; the test lines stay where they are, and both get the codes of the training lines."""
+    rows = [(i, float(i % 13), 1.0 * i, 2.0, 0.1, 3.0, *["abc"[i % 3]] * 6) for i in range(300)]
+    names = ", ".join(f"{c} string" for c in features.CATEGORIES)
+    base = spark.createDataFrame(rows, f"order_id bigint, sales double, profit double, quantity double, discount double, shipment_days double, {names}")
+    train, test = models.vectors(base, ["order_id"])
+    plans = [f._jdf.queryExecution().executedPlan().toString() for f in (train, test)]
+    assert plans[0].count("Exchange") == 1 and "Exchange" not in plans[1]
+    assert train.columns == test.columns == ["label", "features"] and train.count() + test.count() == 300
+    assert train.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+    is_train = {r.order_id: r.t for r in base.select("order_id", features.is_train(["order_id"]).alias("t")).collect()}
+    assert sorted(r.features[0] for r in test.collect()) == [float(i) for i, t in sorted(is_train.items()) if not t]
